@@ -61,8 +61,11 @@ def semi(df: DataFrame, keys: DataFrame, on: list[str], rows: int | None = None)
     return df.join(F.broadcast(keys) if rows <= BROADCAST_ROWS else keys, on, "left_semi")
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with at most BATCH_CHARS bytes of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str | None) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about BATCH_CHARS code points of text, or one row; without a column, the batch."""
+    if column is None:
+        yield batch
+        return
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     ends, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < batch.num_rows:
@@ -72,7 +75,7 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
-def arrow_map(df: DataFrame, column: str, schema: str, kernel: Callable[[pa.RecordBatch], dict | None]) -> DataFrame:
+def arrow_map(df: DataFrame, column: str | None, schema: str, kernel: Callable[[pa.RecordBatch], dict | None]) -> DataFrame:
     """mapInArrow over bounded pieces; kernel returns the columns of the result by name, or None for no rows."""
     target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     names = target.fieldNames()

@@ -11,7 +11,8 @@ that share a key are joined, thinned by the distance of 64 bits of the fingerpri
 the exact measure.
 
 Exact copies are one class before anything is joined, so a text that a third of all rows repeat is one
-row; a key that many different texts share is split by the join's skew handling. Nothing is capped.
+row. Keys whose anchor many different texts share (counted first) are paired by a join that splits
+skewed partitions, the others within the tasks of one shuffle. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunk_texts, code_points, gram_hashes, mixed, semi, written
+from .common import BROADCAST_ROWS, arrow_map, chunk_texts, code_points, gram_hashes, mixed, semi, written
 from .golaycode import N, near_codewords
 from .textform import canonical
 
@@ -33,7 +34,8 @@ SEGMENTS = 7
 SKETCH_BITS = 20
 GRAM, THRESHOLD = 5, 0.6
 _ANCHOR, _FEATURE = 12, 3
-_RECORD = np.dtype([("anchor", "<u8"), ("word", "<u4")])
+#: Rows of one anchor up to which its keys are paired within a task; more frequent ones go through a skew-splitting join.
+HOT_ROWS = 20_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _strip = re.compile(r"\s+").sub
 
@@ -49,8 +51,8 @@ def _minima(hashes: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.ndar
     return low.reshape(n, bins)
 
 
-def fingerprints(flat: list[str], salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Records (n x SEGMENTS) and 64-bit sketches of texts without white space, each of GRAM code points or more."""
+def fingerprints(flat: list[str], salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors and words (n x SEGMENTS) and 64-bit sketches of texts without white space, each of GRAM code points or more."""
     n, pad = len(flat), "\0" * (_ANCHOR - 1)
     codes, ends = code_points([x + pad for x in flat])
     owner = np.repeat(np.arange(n), np.diff(ends))
@@ -70,17 +72,16 @@ def fingerprints(flat: list[str], salt: np.ndarray) -> tuple[np.ndarray, np.ndar
     small = _minima(features[keep], owner[: len(features)][keep], n, SEGMENTS * N)
     bits = (mixed(small) & np.uint64(1)).astype(np.uint32)
     bits[small == _NONE] = 0
-    record = np.empty((n, SEGMENTS), _RECORD)
-    record["anchor"] = mixed(low ^ salt[:, None] ^ np.arange(SEGMENTS, dtype=np.uint64))
-    record["word"] = (bits.reshape(n, SEGMENTS, N) << np.arange(N, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+    anchors = mixed(low ^ salt[:, None] ^ np.arange(SEGMENTS, dtype=np.uint64))
+    words = (bits.reshape(n, SEGMENTS, N) << np.arange(N, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
     sketch = (bits[:, :64].astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-    return record, sketch.view(np.int64)
+    return anchors.view(np.int64), words.astype(np.int32), sketch.view(np.int64)
 
 
 def classes(df: DataFrame) -> DataFrame:
-    """(tbl, key, cls, sketch, record) of (tbl, key, text): the class of equal forms, and its fingerprint.
+    """(tbl, key, cls, sketch, anchors, words) of (tbl, key, text): the class of equal forms, and its fingerprint.
 
-    record is null for a form with fewer than five characters that aren't white space.
+    anchors and words are null for a form with fewer than five characters that aren't white space.
     """
 
     def kernel(batch: pa.RecordBatch) -> dict:
@@ -88,38 +89,72 @@ def classes(df: DataFrame) -> DataFrame:
         cls = np.array([class_id(a, b) for a, b in zip(tbl, forms, strict=True)], np.int64)
         _, first, back = np.unique(cls, return_index=True, return_inverse=True)
         flat = [_strip("", forms[i]) for i in first]
-        long = [i for i, x in enumerate(flat) if len(x) >= GRAM]
-        record, sketch = [None] * len(flat), np.zeros(len(flat), np.int64)
-        if long:
+        long = np.array([i for i, x in enumerate(flat) if len(x) >= GRAM], np.int64)
+        place, sketch = np.full(len(flat), -1), np.zeros(len(flat), np.int64)
+        anchors, words = np.zeros((1, SEGMENTS), np.int64), np.zeros((1, SEGMENTS), np.int32)
+        if len(long):
             salt = np.array([xxhash.xxh3_64_intdigest(tbl[first[i]].encode()) for i in long], np.uint64)
-            made, sketch[long] = fingerprints([flat[i] for i in long], salt)
-            for i, x in zip(long, made, strict=True):
-                record[i] = x.tobytes()
-        return {"tbl": batch.column("tbl"), "key": batch.column("key"), "cls": cls, "sketch": sketch[back], "record": [record[i] for i in back]}
+            anchors, words, sketch[long] = fingerprints([flat[i] for i in long], salt)
+            place[long] = np.arange(len(long))
+        at = pa.array(place[back], mask=place[back] < 0)
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), SEGMENTS).take(at) for x in (anchors, words)]
+        return {"tbl": batch.column("tbl"), "key": batch.column("key"), "cls": cls, "sketch": sketch[back], "anchors": lists[0], "words": lists[1]}
 
-    return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, sketch long, record binary", kernel)
+    return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, sketch long, anchors array<long>, words array<int>", kernel)
 
 
-def _keys(fingerprint: DataFrame) -> DataFrame:
-    """(k, cls, sketch): the keys of each class."""
+def _keys(segments: DataFrame) -> DataFrame:
+    """(k, cls, sketch): the keys of rows (cls, sketch, anchor, word)."""
 
     def kernel(batch: pa.RecordBatch) -> dict:
-        record = np.frombuffer(b"".join(batch.column("record").to_pylist()), _RECORD)
-        near, counts = near_codewords(record["word"])
-        key = mixed(record["anchor"][:, None] + near.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        anchor, word, cls, sketch = (np.asarray(batch.column(c)) for c in ("anchor", "word", "cls", "sketch"))
+        near, counts = near_codewords(word)
+        key = mixed(anchor.view(np.uint64)[:, None] + near.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         use = np.arange(6) < counts[:, None]
-        row = np.repeat(np.arange(batch.num_rows), SEGMENTS)[:, None].repeat(6, axis=1)[use]
-        return {"k": key[use].view(np.int64), "cls": np.asarray(batch.column("cls"))[row], "sketch": np.asarray(batch.column("sketch"))[row]}
+        row = np.repeat(np.arange(batch.num_rows)[:, None], 6, axis=1)[use]
+        return {"k": key[use].view(np.int64), "cls": cls[row], "sketch": sketch[row]}
 
-    return arrow_map(fingerprint.select("cls", "sketch", "record"), "record", "k long, cls long, sketch long", kernel)
+    return arrow_map(segments, None, "k long, cls long, sketch long", kernel)
+
+
+def _pairs_in_task(keys: DataFrame) -> DataFrame:
+    """(cls_a, cls_b) of keys (k, cls, sketch) that are together in a partition, k being frequent nowhere."""
+
+    def run(batches):
+        parts = [[np.asarray(b.column(c)) for c in ("k", "cls", "sketch")] for b in batches]
+        if not parts:
+            return
+        k, cls, sketch = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((cls, k))
+        k, cls, sketch = k[order], cls[order], sketch[order]
+        found, at, lag = [], np.arange(len(k)), 0
+        while len(at):
+            lag += 1
+            at = at[at + lag < len(k)]
+            at = at[k[at] == k[at + lag]]
+            near = at[np.bitwise_count((sketch[at] ^ sketch[at + lag]).view(np.uint64)) <= SKETCH_BITS]
+            near = near[cls[near] != cls[near + lag]]
+            found.append(np.stack([cls[near], cls[near + lag]], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["cls_a", "cls_b"])
+
+    return keys.repartition("k").mapInArrow(run, "cls_a long, cls_b long")
 
 
 def candidates(members: DataFrame) -> DataFrame:
     """(cls_a, cls_b): classes that share a key and whose sketches are close, cls_a < cls_b."""
-    keys = _keys(members.where("record is not null").dropDuplicates(["cls"]))
+    one = members.where("anchors is not null").select("cls", "sketch", "anchors", "words").dropDuplicates(["cls"])
+    segments = written(one.select("cls", "sketch", F.explode(F.arrays_zip("anchors", "words")).alias("s")).select("cls", "sketch", F.col("s.anchors").alias("anchor"), F.col("s.words").alias("word")), "segments")
+    hot = written(segments.groupBy("anchor").count().where(F.col("count") > HOT_ROWS).select("anchor"), "hot")
+    n_hot = hot.count()
+    if not n_hot:
+        return _pairs_in_task(_keys(segments)).distinct()
+    small = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+    cold = _pairs_in_task(_keys(segments.join(small, "anchor", "left_anti")))
+    keys = written(_keys(segments.join(small, "anchor", "left_semi")), "hotkeys")
     a, b = (keys.select("k", F.col("cls").alias(f"cls_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
     near = (F.col("cls_a") < F.col("cls_b")) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= SKETCH_BITS)
-    return a.join(b.hint("merge"), "k").where(near).select("cls_a", "cls_b").distinct()
+    return cold.union(a.join(b.hint("merge"), "k").where(near).select("cls_a", "cls_b")).distinct()
 
 
 def similarity(a: str, b: str) -> float:
