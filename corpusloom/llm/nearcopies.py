@@ -6,8 +6,8 @@ do. Each word is decoded with the perfect Golay code to the indices of the codew
 six): words at distance 2 or less always share an index, words at distance 3 or 4 mostly. By the
 pigeonhole principle SEGMENTS * 3 - 1 differing bits leave a segment with two at most. An index of 12
 bits doesn't select in a large collection, so each segment's keys are also bound to the minimum of the
-segment's share of the text's 12-character strings (found alike with the texts' similarity). Texts
-that share a key are joined, thinned by the distance of 64 bits of the fingerprint, and verified by
+segment's share of the text's 16-character strings (found alike with the texts' similarity). Texts
+that share a key are joined, thinned by the distance of 128 bits of the fingerprint, and verified by
 the exact measure.
 
 Exact copies are one class before anything is joined, so a text that a third of all rows repeat is one
@@ -29,11 +29,11 @@ from .common import BROADCAST_ROWS, arrow_map, chunk_texts, code_points, gram_ha
 from .golaycode import N, near_codewords
 from .textform import canonical
 
-SEGMENTS = 7
-#: Differing bits of 64 up to which a pair is verified; pairs at the threshold differ in about 8, unrelated ones in about 29.
-SKETCH_BITS = 20
+SEGMENTS = 9
+#: Differing bits of 128 up to which a pair is verified; pairs at the threshold differ in about 15, unrelated ones in about 58.
+SKETCH_BITS = 32
 GRAM, THRESHOLD = 5, 0.6
-_ANCHOR, _FEATURE = 12, 3
+_ANCHOR, _FEATURE = 16, 3
 #: Rows of one anchor up to which its keys are paired within a task; more frequent ones go through a skew-splitting join.
 HOT_ROWS = 20_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -52,7 +52,7 @@ def _minima(hashes: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.ndar
 
 
 def fingerprints(flat: list[str], salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors and words (n x SEGMENTS) and 64-bit sketches of texts without white space, each of GRAM code points or more."""
+    """Anchors and words (n x SEGMENTS) and 128-bit sketches (two columns) of texts without white space, each of GRAM code points or more."""
     n, pad = len(flat), "\0" * (_ANCHOR - 1)
     codes, ends = code_points([x + pad for x in flat])
     owner = np.repeat(np.arange(n), np.diff(ends))
@@ -74,12 +74,12 @@ def fingerprints(flat: list[str], salt: np.ndarray) -> tuple[np.ndarray, np.ndar
     bits[small == _NONE] = 0
     anchors = mixed(low ^ salt[:, None] ^ np.arange(SEGMENTS, dtype=np.uint64))
     words = (bits.reshape(n, SEGMENTS, N) << np.arange(N, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
-    sketch = (bits[:, :64].astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    sketch = (bits[:, :128].reshape(n, 2, 64).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
     return anchors.view(np.int64), words.astype(np.int32), sketch.view(np.int64)
 
 
 def classes(df: DataFrame) -> DataFrame:
-    """(tbl, key, cls, sketch, anchors, words) of (tbl, key, text): the class of equal forms, and its fingerprint.
+    """(tbl, key, cls, sk1, sk2, anchors, words) of (tbl, key, text): the class of equal forms, and its fingerprint.
 
     anchors and words are null for a form with fewer than five characters that aren't white space.
     """
@@ -90,7 +90,7 @@ def classes(df: DataFrame) -> DataFrame:
         _, first, back = np.unique(cls, return_index=True, return_inverse=True)
         flat = [_strip("", forms[i]) for i in first]
         long = np.array([i for i, x in enumerate(flat) if len(x) >= GRAM], np.int64)
-        place, sketch = np.full(len(flat), -1), np.zeros(len(flat), np.int64)
+        place, sketch = np.full(len(flat), -1), np.zeros((len(flat), 2), np.int64)
         anchors, words = np.zeros((1, SEGMENTS), np.int64), np.zeros((1, SEGMENTS), np.int32)
         if len(long):
             salt = np.array([xxhash.xxh3_64_intdigest(tbl[first[i]].encode()) for i in long], np.uint64)
@@ -98,44 +98,45 @@ def classes(df: DataFrame) -> DataFrame:
             place[long] = np.arange(len(long))
         at = pa.array(place[back], mask=place[back] < 0)
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), SEGMENTS).take(at) for x in (anchors, words)]
-        return {"tbl": batch.column("tbl"), "key": batch.column("key"), "cls": cls, "sketch": sketch[back], "anchors": lists[0], "words": lists[1]}
+        return {"tbl": batch.column("tbl"), "key": batch.column("key"), "cls": cls, "sk1": sketch[back, 0], "sk2": sketch[back, 1], "anchors": lists[0], "words": lists[1]}
 
-    return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, sketch long, anchors array<long>, words array<int>", kernel)
+    return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, sk1 long, sk2 long, anchors array<long>, words array<int>", kernel)
 
 
 def _keys(segments: DataFrame) -> DataFrame:
-    """(k, cls, sketch): the keys of rows (cls, sketch, anchor, word)."""
+    """(k, cls, sk1, sk2): the keys of rows (cls, sk1, sk2, anchor, word)."""
 
     def kernel(batch: pa.RecordBatch) -> dict:
-        anchor, word, cls, sketch = (np.asarray(batch.column(c)) for c in ("anchor", "word", "cls", "sketch"))
+        anchor, word = np.asarray(batch.column("anchor")), np.asarray(batch.column("word"))
         near, counts = near_codewords(word)
         key = mixed(anchor.view(np.uint64)[:, None] + near.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         use = np.arange(6) < counts[:, None]
         row = np.repeat(np.arange(batch.num_rows)[:, None], 6, axis=1)[use]
-        return {"k": key[use].view(np.int64), "cls": cls[row], "sketch": sketch[row]}
+        return {"k": key[use].view(np.int64)} | {c: np.asarray(batch.column(c))[row] for c in ("cls", "sk1", "sk2")}
 
-    return arrow_map(segments, None, "k long, cls long, sketch long", kernel)
+    return arrow_map(segments, None, "k long, cls long, sk1 long, sk2 long", kernel)
 
 
 def _pairs_in_task(keys: DataFrame) -> DataFrame:
-    """(cls_a, cls_b) of keys (k, cls, sketch) that are together in a partition, k being frequent nowhere."""
+    """(cls_a, cls_b) of keys that are together in a partition, none of which is frequent."""
 
     def run(batches):
-        parts = [[np.asarray(b.column(c)) for c in ("k", "cls", "sketch")] for b in batches]
+        parts = [[np.asarray(b.column(c)) for c in ("k", "cls", "sk1", "sk2")] for b in batches]
         if not parts:
             return
-        k, cls, sketch = (np.concatenate(x) for x in zip(*parts, strict=True))
+        k, cls, sk1, sk2 = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         order = np.lexsort((cls, k))
-        k, cls, sketch = k[order], cls[order], sketch[order]
-        found, at, lag = [], np.arange(len(k)), 0
+        k, cls, sk1, sk2 = k[order], cls[order], sk1[order].view(np.uint64), sk2[order].view(np.uint64)
+        found, at, lag = [np.zeros((0, 2), np.int64)], np.arange(len(k)), 0
         while len(at):
             lag += 1
             at = at[at + lag < len(k)]
             at = at[k[at] == k[at + lag]]
-            near = at[np.bitwise_count((sketch[at] ^ sketch[at + lag]).view(np.uint64)) <= SKETCH_BITS]
-            near = near[cls[near] != cls[near + lag]]
-            found.append(np.stack([cls[near], cls[near + lag]], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            to = at + lag
+            near = (np.bitwise_count(sk1[at] ^ sk1[to]) + np.bitwise_count(sk2[at] ^ sk2[to]) <= SKETCH_BITS) & (cls[at] != cls[to])
+            found.append(np.stack([cls[at[near]], cls[to[near]]], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["cls_a", "cls_b"])
 
     return keys.repartition("k").mapInArrow(run, "cls_a long, cls_b long")
@@ -143,18 +144,20 @@ def _pairs_in_task(keys: DataFrame) -> DataFrame:
 
 def candidates(members: DataFrame) -> DataFrame:
     """(cls_a, cls_b): classes that share a key and whose sketches are close, cls_a < cls_b."""
-    one = members.where("anchors is not null").select("cls", "sketch", "anchors", "words").dropDuplicates(["cls"])
-    segments = written(one.select("cls", "sketch", F.explode(F.arrays_zip("anchors", "words")).alias("s")).select("cls", "sketch", F.col("s.anchors").alias("anchor"), F.col("s.words").alias("word")), "segments")
+    sk = ["cls", "sk1", "sk2"]
+    one = members.where("anchors is not null").select(*sk, "anchors", "words").dropDuplicates(["cls"])
+    segments = one.select(*sk, F.explode(F.arrays_zip("anchors", "words")).alias("s")).select(*sk, F.col("s.anchors").alias("anchor"), F.col("s.words").alias("word"))
+    segments = written(segments, "segments")
     hot = written(segments.groupBy("anchor").count().where(F.col("count") > HOT_ROWS).select("anchor"), "hot")
     n_hot = hot.count()
     if not n_hot:
         return _pairs_in_task(_keys(segments)).distinct()
     small = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-    cold = _pairs_in_task(_keys(segments.join(small, "anchor", "left_anti")))
-    keys = written(_keys(segments.join(small, "anchor", "left_semi")), "hotkeys")
-    a, b = (keys.select("k", F.col("cls").alias(f"cls_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
-    near = (F.col("cls_a") < F.col("cls_b")) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= SKETCH_BITS)
-    return cold.union(a.join(b.hint("merge"), "k").where(near).select("cls_a", "cls_b")).distinct()
+    cold = _pairs_in_task(_keys(segments.join(small, "anchor", "left_anti").select(*segments.columns)))
+    keys = written(_keys(segments.join(small, "anchor", "left_semi").select(*segments.columns)), "hotkeys")
+    a, b = (keys.select("k", *[F.col(c).alias(f"{c}_{x}") for c in sk]) for x in "ab")
+    apart = F.bit_count(F.col("sk1_a").bitwiseXOR(F.col("sk1_b"))) + F.bit_count(F.col("sk2_a").bitwiseXOR(F.col("sk2_b")))
+    return cold.union(a.join(b.hint("merge"), "k").where((F.col("cls_a") < F.col("cls_b")) & (apart <= SKETCH_BITS)).select("cls_a", "cls_b")).distinct()
 
 
 def similarity(a: str, b: str) -> float:
