@@ -135,3 +135,34 @@ def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
         have = (have * _M3) + mixed(part[at : at + size])
         at += width
     return mixed(have)
+
+
+def _sliding(values: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
+    """op over each full window of values; one entry per window start, n - width + 1 of them."""
+    n = len(values)
+    blocks = -(-n // width)
+    padded = np.full(blocks * width, fill, values.dtype)
+    padded[:n] = values
+    grid = padded.reshape(blocks, width)
+    ahead = op.accumulate(grid, axis=1).ravel()
+    behind = op.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return op(behind[: n - width + 1], ahead[width - 1 : n])
+
+
+def sampled_places(codes: np.ndarray, owner: np.ndarray, gram: int, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places chosen by content so that any run of code points that two texts share has one chosen in both.
+
+    A place is chosen if the hash of its gram is the least of a window of run - gram + 1 grams; a run
+    of that many code points holds a whole window. Texts are told apart by owner. Returns places and hashes.
+    """
+    hashes = gram_hashes(codes, gram)
+    if not len(hashes):
+        return np.zeros(0, np.int64), hashes
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    hashes[owner[: len(hashes)] != owner[gram - 1 :]] = none
+    width = run - gram + 1
+    spread = np.concatenate([np.full(width - 1, none), hashes, np.full(width - 1, none)])
+    least = _sliding(spread, width, np.minimum, int(none))
+    best = _sliding(np.where(least == none, np.uint64(0), least), width, np.maximum, 0)
+    places = np.flatnonzero((best == hashes) & (hashes != none))
+    return places, hashes[places]

@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import nearcopies, visual
+from . import leakage, nearcopies, splitoverlap, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": visual.p1_found,
     "p1_forms": visual.p1_forms,
     "p2_found": nearcopies.p2_found,
     "p2_groups": nearcopies.p2_groups,
+    "p3_found": splitoverlap.p3_found,
+    "p3_report": splitoverlap.p3_report,
+    "p7_found": leakage.p7_found,
+    "p7_leaked_items": leakage.p7_leaked_items,
+    "p7_clean_documents": leakage.p7_clean_documents,
 }
 
 ORACLE: dict[str, str] = {}
