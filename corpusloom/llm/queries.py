@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leakage, nearcopies, splitoverlap, visual
+from . import leakage, mixing, nearcopies, pieces, splitoverlap, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": visual.p1_found,
@@ -15,9 +15,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_groups": nearcopies.p2_groups,
     "p3_found": splitoverlap.p3_found,
     "p3_report": splitoverlap.p3_report,
+    "p4_found": pieces.p4_found,
+    "p4_pieces": pieces.p4_pieces,
     "p7_found": leakage.p7_found,
     "p7_leaked_items": leakage.p7_leaked_items,
     "p7_clean_documents": leakage.p7_clean_documents,
+    "p8_found": mixing.p8_found,
+    "p8_mix": mixing.p8_mix,
+    "p8_shares": mixing.p8_shares,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"p4_found": pieces.P4_FOUND_SQL}
