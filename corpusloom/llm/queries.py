@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leakage, mixing, nearcopies, pieces, splitoverlap, visual
+from . import leakage, mixing, nearcopies, pieces, splitoverlap, truncation, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": visual.p1_found,
@@ -17,6 +17,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_report": splitoverlap.p3_report,
     "p4_found": pieces.p4_found,
     "p4_pieces": pieces.p4_pieces,
+    "p5_found": truncation.p5_found,
+    "p5_lengths": truncation.p5_lengths,
+    "p5_rates": truncation.p5_rates,
     "p7_found": leakage.p7_found,
     "p7_leaked_items": leakage.p7_leaked_items,
     "p7_clean_documents": leakage.p7_clean_documents,
