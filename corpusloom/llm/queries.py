@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leakage, mixing, nearcopies, pieces, splitoverlap, truncation, visual
+from . import leakage, mixing, nearcopies, pairs, pieces, splitoverlap, truncation, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": visual.p1_found,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": truncation.p5_found,
     "p5_lengths": truncation.p5_lengths,
     "p5_rates": truncation.p5_rates,
+    "p6_found": pairs.p6_found,
+    "p6_rates": pairs.p6_rates,
     "p7_found": leakage.p7_found,
     "p7_leaked_items": leakage.p7_leaked_items,
     "p7_clean_documents": leakage.p7_clean_documents,
