@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leakage, mixing, nearcopies, pairs, pieces, splitoverlap, truncation, visual
+from . import leakage, mixing, nearcopies, pairs, pieces, splitoverlap, subjects, truncation, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": visual.p1_found,
@@ -28,6 +28,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_found": mixing.p8_found,
     "p8_mix": mixing.p8_mix,
     "p8_shares": mixing.p8_shares,
+    "p9_found": subjects.p9_found,
+    "p9_subjects": subjects.p9_subjects,
+    "p9_composition": subjects.p9_composition,
 }
 
 ORACLE: dict[str, str] = {"p4_found": pieces.P4_FOUND_SQL}
