@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -39,13 +40,15 @@ def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.union(paragraphs).where(~blank(F.col("text")))
 
 
+@functools.lru_cache
+def _own_dir(_application: str) -> str:
+    return f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, and only where that is unset one of this machine (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, and only where that is unset (tests) one of this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return (found or _own_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -61,8 +61,12 @@ def _changeable(c: Column) -> Column:
 def _forms(texts: DataFrame) -> DataFrame:
     """(d_1, d_2, form) of the distinct texts in column t; a text of invisible code points alone has no row."""
     safe, invisible = textform.safe_class(), "".join(f"\\u{ord(x):04x}" for x in textform.INVISIBLE)
-    pieces = rf"(?s){_JAMO}|[{safe}]+(?![{invisible}]*\p{{M}})|."
-    exploded = texts.distinct().select(*_digest(F.col("t"), "d"), F.posexplode(F.regexp_extract_all("t", F.lit(pieces), 0)).alias("pos", "src"))
+    # code points that become a mark, halfwidth voicing signs for instance, also take their base out of its run
+    classes = textform.mark_classes()
+    marking = "".join(f"\\u{ord(a):04x}" for a, b in textform.fold_table().items() if b and b[0] in classes and ord(a) < 0x10000)
+    pieces = rf"(?s){_JAMO}|[{safe}]+(?![\p{{M}}{marking}])|."
+    visible = F.regexp_replace("t", f"[{invisible}]", "")
+    exploded = texts.distinct().select(*_digest(F.col("t"), "d"), F.posexplode(F.regexp_extract_all(visible, F.lit(pieces), 0)).alias("pos", "src"))
     points = exploded.join(F.broadcast(code_point_table(texts.sparkSession)), "src", "left").select(
         "d_1", "d_2", "pos", F.posexplode(F.coalesce("seq", F.array(F.struct(F.col("src").alias("ch"), F.lit(0).alias("ccc"))))).alias("k", "x")
     )
