@@ -36,6 +36,8 @@ GRAM, THRESHOLD = 5, 0.6
 _ANCHOR, _FEATURE = 16, 3
 #: Rows of one anchor up to which its keys are paired within a task; more frequent ones go through a skew-splitting join.
 HOT_ROWS = 20_000
+#: Keys that a task holds at once, about (32 bytes each).
+TASK_KEYS = 1_000_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _strip = re.compile(r"\s+").sub
 
@@ -117,8 +119,9 @@ def _keys(segments: DataFrame) -> DataFrame:
     return arrow_map(segments, None, "k long, cls long, sk1 long, sk2 long", kernel)
 
 
-def _pairs_in_task(keys: DataFrame) -> DataFrame:
-    """(cls_a, cls_b) of keys that are together in a partition, none of which is frequent."""
+def _pairs_in_task(keys: DataFrame, n_keys: int) -> DataFrame:
+    """(cls_a, cls_b) of keys that are together in a partition, none of which is frequent; a partition holds a bounded number of keys."""
+    partitions = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_keys // TASK_KEYS))
 
     def run(batches):
         parts = [[np.asarray(b.column(c)) for c in ("k", "cls", "sk1", "sk2")] for b in batches]
@@ -139,7 +142,7 @@ def _pairs_in_task(keys: DataFrame) -> DataFrame:
         pairs = np.unique(np.concatenate(found), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["cls_a", "cls_b"])
 
-    return keys.repartition("k").mapInArrow(run, "cls_a long, cls_b long")
+    return keys.repartition(partitions, "k").mapInArrow(run, "cls_a long, cls_b long")
 
 
 def candidates(members: DataFrame) -> DataFrame:
@@ -149,11 +152,11 @@ def candidates(members: DataFrame) -> DataFrame:
     segments = one.select(*sk, F.explode(F.arrays_zip("anchors", "words")).alias("s")).select(*sk, F.col("s.anchors").alias("anchor"), F.col("s.words").alias("word"))
     segments = written(segments, "segments")
     hot = written(segments.groupBy("anchor").count().where(F.col("count") > HOT_ROWS).select("anchor"), "hot")
-    n_hot = hot.count()
+    n_hot, n_keys = hot.count(), 6 * segments.count()
     if not n_hot:
-        return _pairs_in_task(_keys(segments)).distinct()
+        return _pairs_in_task(_keys(segments), n_keys).distinct()
     small = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-    cold = _pairs_in_task(_keys(segments.join(small, "anchor", "left_anti").select(*segments.columns)))
+    cold = _pairs_in_task(_keys(segments.join(small, "anchor", "left_anti").select(*segments.columns)), n_keys)
     keys = written(_keys(segments.join(small, "anchor", "left_semi").select(*segments.columns)), "hotkeys")
     a, b = (keys.select("k", *[F.col(c).alias(f"{c}_{x}") for c in sk]) for x in "ab")
     apart = F.bit_count(F.col("sk1_a").bitwiseXOR(F.col("sk1_b"))) + F.bit_count(F.col("sk2_a").bitwiseXOR(F.col("sk2_b")))
