@@ -24,7 +24,7 @@ KEPT_TAGS = ("", "<wide>", "<narrow>", "<noBreak>", "<compat>", "<isolated>", "<
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνο", "ABEZHIKMNOPTYXvo")
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХаеорсухѕіјԁһԛԝ", "ABESIJKMHOPCTYXaeopcyxsijdhqw")
 LATIN_FORMS = ("ıɡɑ", "iga")
-HYPHENS = ("‐‑‒–−", "-----")
+HYPHENS = ("‐‑‒–−〜", "-----~")
 KANA_HAN = ("一二八口力工夕卜丿ヘベペ", "ーニハロカエタトノへべぺ")
 
 # Invisible format characters.
