@@ -37,14 +37,14 @@ MISSING_LABELS, LEAST_USUAL = 0.5, 5
 #: Share of a document's discriminative terms from which on a subject is assigned; occurrences that tell anything at all, by number and per term.
 LARGE_PART, LEAST_OCCURRENCES, LEAST_DENSITY = 0.28, 3, 0.04
 
-_TERM = re.compile(r"[ァ-ヺー]{2,}|[一-鿿々ニ]{2,}|[A-Za-zÀ-ɏ]{3,}")
+_TERM = re.compile(r"[ァ-ヺー]{2,}|[一-鿿々]{2,}|[A-Za-zÀ-ɏ]{3,}")
 
 
 def terms_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, terms): words in Latin script, runs of Han or katakana, with repeats."""
 
     def kernel(batch: pa.RecordBatch) -> dict:
-        found = [[w.lower() for w in _TERM.findall(canonical(t))] for t in batch.column("text").to_pylist()]
+        found = [_TERM.findall(canonical(t).lower()) for t in batch.column("text").to_pylist()]
         return {"doc_id": batch.column("doc_id"), "terms": found}
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(~blank(F.col(text)))
