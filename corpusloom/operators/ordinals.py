@@ -5,34 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import written
 
-def with_ordinal(df: DataFrame, order: list[str | Column], name: str = "ordinal", buckets: int = 64) -> DataFrame:
-    """Row numbers from 1 in a total order.
 
-    The first order column is cut into ranges by approximate quantile points; rows are counted per range, and numbered
-    within their range after the offset of the ranges before. Equal values of the first column share a range. Two
-    shuffles of the data, none through one task. Ties of the whole order are numbered in any way.
+def with_ordinal(df: DataFrame, order: list[str | Column], name: str = "ordinal") -> DataFrame:
+    """Row numbers from 1 in a total order, nulls first; ties are numbered in any way.
+
+    Rows are range-partitioned by the whole order and sorted within partitions, so neither a frequent first key nor the
+    number of rows makes one task large. The sorted rows are a table in the shared folder, whose places in their
+    partitions are then raised by the sizes of the partitions before.
     """
-    keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    rows = df.select(F.struct(*df.columns).alias("_row"), *[k.alias(f"_o{i}") for i, k in enumerate(keys)])
-    kind = dict(rows.dtypes)["_o0"]
-    if kind in ("int", "bigint", "smallint", "tinyint", "double", "float"):
-        points = rows.select(F.percentile_approx("_o0", [i / buckets for i in range(1, buckets)], 1000).alias("p")).first()["p"] or []
-        part = F.lit(0)
-        for p in sorted(set(points)):
-            part = part + F.when(F.col("_o0") > F.lit(p).cast(kind), 1).otherwise(0)
-    else:  # strings and the like: ranges between values of a regular sample of the distinct ones
-        distinct = rows.groupBy("_o0").agg(F.count("*").alias("n")).where("_o0 is not null")
-        step = max(1, distinct.count() // buckets)
-        points = [r["p"] for r in distinct.where(F.pmod(F.xxhash64("_o0"), F.lit(step)) == 0).orderBy("_o0").limit(4 * buckets).select(F.col("_o0").alias("p")).collect()]
-        part = F.lit(0)
-        for p in points[:: max(1, len(points) // buckets)]:
-            part = part + F.when(F.col("_o0") > F.lit(p), 1).otherwise(0)
-    rows = rows.withColumn("_part", part.cast("int"))
-    o = ", ".join(f"_o{i}" for i in range(len(keys)))
-    offsets = rows.groupBy("_part").agg(F.count("*").alias("_size")).select("_part", F.expr("sum(_size) over (order by _part) - _size").alias("_before"))
-    numbered = rows.withColumn("_in", F.expr(f"row_number() over (partition by _part order by {o})")).join(F.broadcast(offsets), "_part")  # one row per range
-    return numbered.select("_row.*", (F.col("_before") + F.col("_in")).alias(name))
+    rows = df.select(F.struct(*df.columns).alias("_row"), *[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)])
+    keys = [f"_o{i}" for i in range(len(order))]
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = written(ranged.select("_row", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")), "ordered")
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))  # one row per partition
+    offsets = sizes.select("_part", F.expr("sum(_size) over (order by _part) - _size").alias("_before"))
+    return placed.join(F.broadcast(offsets), "_part").select("_row.*", (F.col("_before") + F.col("_place") + 1).alias(name))
 
 
 def shuffle_key(*columns: str, seed: int = 42) -> Column:

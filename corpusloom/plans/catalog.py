@@ -6,9 +6,6 @@ chains in Python, streams) there is no SQL; those are tested against small cases
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +13,7 @@ from ..functions import text as tx
 from ..functions import wikitext as wt
 from ..functions.text import WHITE
 from ..operators import chat, dedup, entries, ordinals, similarity, upload
+from ..operators.tables import new_path
 from ..settings import CptSettings, QaSettings
 from ..sources import wiki
 from . import cpt, dialect, qa
@@ -477,16 +475,11 @@ def dialect_rewrite(spark, sf_dir):
 # --- sources and streams over files written from the tables -----------------------------------------------------------
 
 
-def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
-    return f"{base.rstrip('/')}/corpusloom/{uuid.uuid4().hex}"
-
-
 @query("select cast(doc_id as varchar) as id, title, text as content from documents where text is not null")
 def json_lines_round_trip(spark, sf_dir):
     from ..sources import files
 
-    path = _folder(spark)
+    path = new_path(spark, "lines")
     _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "title", F.col("text").alias("content")).write.json(path)
     rows = files.read_json_lines(spark, path)
     return rows.select(files.field("id").alias("id"), files.field("title").alias("title"), files.field("content").alias("content")).where("content is not null")
@@ -496,7 +489,7 @@ def json_lines_round_trip(spark, sf_dir):
 def streaming_chunks(spark, sf_dir):
     from ..streaming.chunks import stream_chunks
 
-    base = _folder(spark)
+    base = new_path(spark, "stream")
     _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "title", F.col("text").alias("content")).write.json(f"{base}/in")
     settings = CptSettings(min_chars=MIN, max_chars=MAX, overlap_chars=OVERLAP, output_path=f"{base}/out")
     stream_chunks(spark, f"{base}/in", f"{base}/checkpoint", settings).awaitTermination()
