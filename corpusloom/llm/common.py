@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.tables import shared_dir, written  # noqa: F401
+
 #: Code points that a kernel handles at once; a single longer text is handled alone.
 BATCH_CHARS = 1_000_000
 #: Rows of 16 bytes that a broadcast hash side may have; larger sides are joined by shuffle.
@@ -40,24 +39,6 @@ def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.union(paragraphs).where(~blank(F.col("text")))
 
 
-@functools.lru_cache
-def _own_dir(_application: str) -> str:
-    return f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, and only where that is unset (tests) one of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    return (found or _own_dir(spark.sparkContext.applicationId)).rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: what follows survives the loss of executors and nothing is computed twice."""
-    path = f"{shared_dir(df.sparkSession)}/corpusloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def semi(df: DataFrame, keys: DataFrame, on: list[str], rows: int | None = None) -> DataFrame:
     """Left semi join; keys is broadcast only if it was counted and is small."""
     rows = keys.count() if rows is None else rows
