@@ -33,6 +33,8 @@ SEGMENTS = 9
 #: Differing bits of 128 up to which a pair is verified; pairs at the threshold differ in about 15, unrelated ones in about 58.
 SKETCH_BITS = 32
 GRAM, THRESHOLD = 5, 0.6
+#: Classes to verify whose rows' keys are broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 200_000
 _ANCHOR, _FEATURE = 16, 3
 #: Rows of one anchor up to which its keys are paired within a task; more frequent ones go through a skew-splitting join.
 HOT_ROWS = 20_000
@@ -169,13 +171,25 @@ def similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y) if x or y else 0.0
 
 
+def _of_class(texts: DataFrame) -> DataFrame:
+    """(cls, text) of the rows (tbl, cls, text) whose text is of that class: a key may stand for several texts."""
+
+    def kernel(batch: pa.RecordBatch) -> dict:
+        columns = (batch.column(c).to_pylist() for c in ("tbl", "cls", "text"))
+        keep = pa.array([class_id(t, canonical(x)) == c for t, c, x in zip(*columns, strict=True)], pa.bool_())
+        return {c: batch.column(c).filter(keep) for c in ("cls", "text")}
+
+    return arrow_map(texts, "text", "cls long, text string", kernel)
+
+
 def verified(pairs: DataFrame, members: DataFrame, df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(cls_a, cls_b, similarity) of the pairs that reach the threshold; texts are fetched for the classes in pairs only."""
     involved = written(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "involved")
     count = involved.count()
     rows = semi(members.select("tbl", "key", "cls"), involved, ["cls"], count).groupBy("cls").agg(F.min_by(F.struct("tbl", "key"), F.struct("tbl", "key")).alias("r"))
     rows = rows.select("cls", "r.tbl", "r.key")
-    texts = df.join(F.broadcast(rows) if count <= 200_000 else rows, ["tbl", "key"]).select("cls", "text")
+    texts = df.join(F.broadcast(rows) if count <= BROADCAST_KEYS else rows, ["tbl", "key"])
+    texts = _of_class(texts.select("tbl", "cls", "text")).dropDuplicates(["cls"])
     joined = pairs.join(texts.withColumnsRenamed({"cls": "cls_a", "text": "text_a"}), "cls_a").join(texts.withColumnsRenamed({"cls": "cls_b", "text": "text_b"}), "cls_b")
 
     def kernel(batch: pa.RecordBatch) -> dict | None:
@@ -196,8 +210,8 @@ def near_copies(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
     """Members (tbl, key, cls) and links (cls_a, cls_b, similarity) of rows (tbl, key, text).
 
     Rows of a class have the same form and table; a link joins two classes of one table whose forms
-    differ and whose similarity reaches the threshold. Null and blank texts must be left out before; a
-    form with fewer than five characters has no link. Repeated rows, ties and very long texts pass; an
+    differ and whose similarity reaches the threshold. Null and blank texts must be left out before; a key
+    may repeat with equal or other texts; a form with fewer than five characters has no link. Repeated rows, ties and very long texts pass; an
     empty frame gives empty results. Both results are tables in the shared folder.
     """
     df = df.select("tbl", "key", "text")

@@ -109,6 +109,18 @@ def test_near_copies_against_brute_force(spark, collection, hot, monkeypatch):
     assert len(got) >= 0.97 * len(want) and all(want[p] < 0.75 for p in set(want) - got)
 
 
+def test_repeated_keys(spark, collection):
+    """A key that stands for several texts, and rows that are there twice."""
+    t, k, x = collection[0]
+    rng = random.Random(8)
+    y, z = edited(rng, x, 2), "".join(chr(0x5200 + i) for i in range(200))
+    rows = [("a", "k", z), ("a", "k", x), ("a", "k", x), ("a", "j", y), ("a", "j", y)]
+    members, links = nearcopies.near_copies(rows_of(spark, [(*r, 0) for r in rows]))
+    assert links.count() == 1 and members.count() == 5
+    df = spark.createDataFrame([(k, k == "k", x) for _, k, x in rows], "key string, train boolean, text string")
+    assert splitoverlap.overlaps(df)[1].count() == 1
+
+
 def test_groups(spark, collection):
     members, links = nearcopies.near_copies(rows_of(spark, [(*r, 0) for r in collection]))
     got = {(r["tbl"], r["key"]): (r["group_id"], r["n_links"]) for r in nearcopies.groups(members, links).collect()}
