@@ -34,8 +34,9 @@ LEAF_DOCUMENTS = 30
 PURITY, CLEAR_PART = 0.6, 0.8
 #: Part of the usual number of labels of a leaf's size below which it counts as about nothing, and the usual number from which this can be told.
 MISSING_LABELS, LEAST_USUAL = 0.5, 5
-#: Share of a document's discriminative terms from which on a subject is assigned; occurrences that tell anything at all, by number and per term.
-LARGE_PART, LEAST_OCCURRENCES, LEAST_DENSITY = 0.28, 3, 0.04
+#: Share of a document's discriminative terms from which on a subject is assigned, and the occurrences that a second one needs (a passing mention is
+#: one sentence, however short the document); occurrences that tell anything at all, by number and per term.
+LARGE_PART, SECOND_OCCURRENCES, LEAST_OCCURRENCES, LEAST_DENSITY = 0.26, 6, 3, 0.04
 
 _TERM = re.compile(r"[ァ-ヺー]{2,}|[一-鿿々]{2,}|[A-Za-zÀ-ɏ]{3,}")
 
@@ -237,7 +238,7 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, d
     vocabulary, weights = term_subjects(terms, labels, names) if names else ([], np.zeros((0, 1)))
     found = mixtures(terms, vocabulary, weights, names)
     ranked = found.withColumn("rank", F.row_number().over(_by_doc().orderBy(F.desc("share"), "subject")))
-    return ranked.where(f"rank <= 2 and share >= {LARGE_PART}").select("doc_id", "subject", "share")
+    return ranked.where(f"share >= {LARGE_PART} and (rank = 1 or rank = 2 and n_occurrences >= {SECOND_OCCURRENCES})").select("doc_id", "subject", "share")
 
 
 def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
