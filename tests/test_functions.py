@@ -104,6 +104,6 @@ def test_wiki_kernels(kernel, text, want):
 
 
 def test_clean_wiki_text(spark):
-    text = "{{t|{{u}}}}'''今治'''は[[愛媛県|愛媛]]<br/>の__TOC__<span>市</span>。\n{|\n|x\n|}\n== 脚注 ==\ny"
-    assert column(spark, wikitext.clean_wiki_text, [text, None, ""]) == ["今治は愛媛\nの市。", None, ""]
+    text = "{{t|{{u}}}}'''霧浜'''は[[浦県|浦]]<br/>の__TOC__<span>市</span>。\n{|\n|x\n|}\n== 脚注 ==\ny"
+    assert column(spark, wikitext.clean_wiki_text, [text, None, ""]) == ["霧浜は浦\nの市。", None, ""]
     assert column(spark, lambda c: wikitext.strip_residue(wikitext.strip_markup(c)), ["''a''<b>c</b>[[d]]{{e}}"]) == ["acde"]
