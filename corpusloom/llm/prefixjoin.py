@@ -1,0 +1,172 @@
+"""Exact candidate pairs of texts by their 5-character strings: prefix, length and position filters.
+
+The distinct strings of a text are put in one order for all texts, rare ones first. Two texts whose strings
+agree to NUMER / DENOM or more (shared, divided by all of both) share HITS strings, or all that they must
+share, among the first ones of both; each of these stands early enough in both that the rest can
+still make up the shared number. So nothing that reaches the threshold is left out, whatever the
+order is. The order is by counts in a table of fixed size; strings that a count proves to be without
+a partner come first and are not sent.
+
+Strings go to shards; a text sends one row to a shard it has strings in. Shards grow in number with the texts.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import arrow_map, code_points, gram_hashes, mixed, slices
+
+GRAM = 5
+#: The threshold of similarity as a fraction, and the strings that a pair must share among the first ones.
+NUMER, DENOM, HITS = 3, 5, 4
+#: Counters of the order, as a power of two, and tasks that count: a bounded number of such tables is added up.
+COUNTER_BITS, COUNT_TASKS = 22, 24
+#: Code points of text per shard, about; pairs that a kernel looks at in one go.
+SHARD_CHARS, PAIRS_AT_ONCE = 5_000_000, 2_000_000
+_SLICES = 32
+#: A string as it is sent: 32 bits of its hash, and its place, at most 65,535 (a smaller place only passes more).
+_SENT = np.dtype([("gram", "<u4"), ("place", "<u2")])
+_LOW = np.uint64((1 << COUNTER_BITS) - 1)
+
+
+def _grams(flat: list[str], salt: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all strings and their owners; only equal salts share strings."""
+    codes, ends = code_points(flat)
+    owner = np.repeat(np.arange(len(flat)), np.diff(ends))
+    hashes = gram_hashes(codes, GRAM)
+    keep = owner[: len(hashes)] == owner[GRAM - 1 :]
+    hashes, owner = hashes[keep], owner[: len(hashes)][keep]
+    return (hashes if salt is None else mixed(hashes ^ salt[owner])), owner
+
+
+def _salts(batch: pa.RecordBatch) -> np.ndarray:
+    return np.asarray(batch.column("salt")).view(np.uint64)
+
+
+def _order(texts: DataFrame, two_sides: bool) -> np.ndarray:
+    """Per counter the place in the order (a byte); 0: no partner anywhere."""
+
+    def count(batches):
+        tables = np.zeros((2, 1 << COUNTER_BITS), np.int32)
+        for batch in batches:
+            for piece in slices(batch, "flat"):
+                hashes, owner = _grams(piece.column("flat").to_pylist(), _salts(piece))
+                side = np.asarray(piece.column("train")).astype(np.int64)[owner]
+                np.add.at(tables, (side, (hashes & _LOW).astype(np.int64)), 1)
+        parts = np.minimum(tables, 255).astype(np.uint8).reshape(2, _SLICES, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array([parts[:, i].tobytes() for i in range(_SLICES)])], ["slice", "counts"])
+
+    def add(part: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in part.column("counts")).reshape(2, -1)
+        n = total.sum(axis=0)
+        rank = np.clip(np.round(8 * np.log2(np.maximum(n, 1))), 1, 255).astype(np.uint8)
+        rank[(total == 0).any(axis=0) if two_sides else n < 2] = 0
+        return pa.table({"slice": part.column("slice")[:1].cast(pa.int32()), "rank": pa.array([rank.tobytes()])})
+
+    counts = texts.select("salt", "train", "flat").coalesce(COUNT_TASKS).mapInArrow(count, "slice int, counts binary")
+    rows = counts.groupBy("slice").applyInArrow(add, "slice int, rank binary").collect()
+    out = np.zeros((_SLICES, (1 << COUNTER_BITS) // _SLICES), np.uint8)
+    for r in rows:
+        out[r["slice"]] = np.frombuffer(r["rank"], np.uint8)
+    return out.ravel()
+
+
+def first_grams(flat: list[str], salt: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, owner, place in the order) of the strings to send, and each text's number of distinct strings."""
+    hashes, owner = _grams(flat, salt)
+    of = rank[(hashes & _LOW).astype(np.int64)]
+    # by text, place in the order and hash: the upper bits of the hash tell strings of equal place apart
+    high = (owner.astype(np.uint64) << np.uint64(8)) | of
+    order = np.lexsort((hashes, high))
+    hashes, owner, of = hashes[order], owner[order], of[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    hashes, owner, of = hashes[new], owner[new], of[new]
+    size = np.bincount(owner, minlength=len(flat))
+    place = np.arange(len(hashes)) - (np.cumsum(size) - size)[owner]
+    use = (of > 0) & (place < (size - -(-NUMER * size // DENOM) + HITS)[owner])
+    return hashes[use], owner[use], place[use], size
+
+
+def _sent(texts: DataFrame, rank, shards: int) -> DataFrame:
+    def kernel(batch: pa.RecordBatch) -> dict | None:
+        hashes, owner, place, size = first_grams(batch.column("flat").to_pylist(), _salts(batch), rank.value)
+        if not len(hashes):
+            return None
+        shard = ((hashes >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(owner * shards + shard, kind="stable")
+        shard, owner = shard[order], owner[order]
+        tokens = np.empty(len(order), _SENT)
+        tokens["gram"], tokens["place"] = hashes[order].astype(np.uint32), np.minimum(place[order], 0xFFFF)
+        start = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (owner[1:] != owner[:-1])])
+        cut = (np.r_[start, len(shard)] * _SENT.itemsize).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(cut), pa.py_buffer(tokens.tobytes())])
+        at = owner[start]
+        return {"shard": shard[start], "cls": np.asarray(batch.column("cls"))[at], "size": size[at], "tokens": packed}
+
+    return arrow_map(texts.select("cls", "salt", "flat"), "flat", "shard int, cls long, size int, tokens binary", kernel)
+
+
+def _entries(part: pa.Table) -> tuple[np.ndarray, ...]:
+    """(key, row, place) by key, and class and size of the rows; a key is a string's hash and the size."""
+    cls, size = part.column("cls").to_numpy(), part.column("size").to_numpy().astype(np.int64)
+    packed = part.column("tokens").to_pylist()
+    row = np.repeat(np.arange(len(packed)), np.fromiter(map(len, packed), np.int64, len(packed)) // _SENT.itemsize)
+    tokens = np.frombuffer(b"".join(packed), _SENT)
+    gram, place = tokens["gram"].astype(np.uint64), tokens["place"].astype(np.int64)
+    key = (gram << np.uint64(32)) | size[row].astype(np.uint64)
+    order = np.argsort(key)
+    return key[order], row[order], place[order], cls, size
+
+
+def shared_first(left: pa.Table, right: pa.Table | None, at_once: int) -> pa.Table:
+    """(cls_a, cls_b, n, need): shared strings that stand early enough in both; without right, pairs within left, cls_a < cls_b."""
+    key, row, place, cls, size = _entries(left)
+    key_r, row_r, place_r, cls_r, size_r = (key, row, place, cls, size) if right is None else _entries(right)
+    gram, own = key & np.uint64(0xFFFFFFFF00000000), size[row]
+    low = np.arange(1, len(key) + 1) if right is None else np.searchsorted(key_r, gram | (-(-NUMER * own // DENOM)).astype(np.uint64))
+    width = np.maximum(np.searchsorted(key_r, gram | (DENOM * own // NUMER).astype(np.uint64), side="right") - low, 0)
+    ends, start, found = np.cumsum(width), 0, [np.zeros((2, 0), np.int64)]
+    while start < len(key):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + at_once, side="right")))
+        w = width[start:stop]
+        i = np.repeat(np.arange(start, stop), w)
+        j = np.arange(len(i)) + np.repeat(low[start:stop] - (np.cumsum(w) - w), w)
+        x, y = own[i], size_r[row_r[j]]
+        least = -(-NUMER * (x + y) // (NUMER + DENOM))
+        ok = np.minimum(x - place[i], y - place_r[j]) > least - HITS
+        found.append(np.stack([row[i[ok]], row_r[j[ok]]]))
+        start = stop
+    a, b = np.concatenate(found, axis=1)
+    # a class may have several rows in a shard (repeated rows): they only add to the count
+    pair, n = np.unique(a * max(1, len(cls_r)) + b, return_counts=True)
+    a, b = pair // max(1, len(cls_r)), pair % max(1, len(cls_r))
+    need = np.minimum(HITS, -(-NUMER * (size[a] + size_r[b]) // (NUMER + DENOM)))
+    a, b = cls[a], cls_r[b]
+    if right is None:
+        a, b = np.minimum(a, b), np.maximum(a, b)
+    other = a != b
+    return pa.table({"cls_a": a[other], "cls_b": b[other], "n": n[other].astype(np.int64), "need": need[other].astype(np.int64)})
+
+
+def prefix_pairs(texts: DataFrame, two_sides: bool, at_once: int = PAIRS_AT_ONCE) -> DataFrame:
+    """(cls_a, cls_b) of (cls, salt, train, flat): a superset of the pairs that reach the threshold, without those of equal class.
+
+    With two sides cls_a is of a training text and cls_b of another; else cls_a < cls_b. Only texts of
+    equal salt meet. A class should have one text on a side; texts that are there twice cost, but change nothing.
+    """
+    spark = texts.sparkSession
+    chars = texts.agg(F.coalesce(F.sum(F.length("flat")), F.lit(0))).first()[0]
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // SHARD_CHARS)
+    rank = spark.sparkContext.broadcast(_order(texts, two_sides))
+    schema = "cls_a long, cls_b long, n long, need long"
+    if two_sides:
+        left, right = (_sent(texts.where(c), rank, shards).groupBy("shard") for c in ("train", "not train"))
+        hits = left.cogroup(right).applyInArrow(lambda a, b: shared_first(a, b, at_once), schema)
+    else:
+        hits = _sent(texts, rank, shards).groupBy("shard").applyInArrow(lambda a: shared_first(a, None, at_once), schema)
+    return hits.groupBy("cls_a", "cls_b").agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need").select("cls_a", "cls_b")

@@ -1,17 +1,13 @@
 """Problem 3: records of held-out splits that recur, exactly or nearly, in the training split.
 
-Stretches of the evaluation texts form full-text index shards (FM-index: the Burrows-Wheeler transform, kept
-as the ordered positions of each symbol, with sampled locations). The training texts are streamed
-against them: backward search finds the places of a seed, and each place is extended to the maximal match.
-Matches are merged to spans per pair of texts, counted, and the pairs verified by the exact measure.
-
-One index of all evaluation texts would have to be visited by every training text in each of its shards.
-Here seeds are chosen by content, so that any run of RUN code points that two texts share has a seed
-chosen in both; a shard holds the stretches around the seeds that fall to it and is visited by the
-training stretches around the same seeds, so the work follows the data. Only seeds that both sides
-have come this far. A seed that very many texts have is dealt to a grid of shards by counts taken
-before; where such seeds are at most a tenth of a text's, its other seeds stand for it. Equal texts are one
-class. Texts shorter than RUN have no sure seed: they are matched if equal.
+Pairs that can meet the measure come from an exact join of the texts' 5-character strings (prefixjoin), so
+no common run of any length is asked for; each is verified by the exact measure. The held-out texts of
+the pairs form full-text index shards (FM-index: the Burrows-Wheeler transform, kept as the ordered
+positions of each symbol, with sampled locations), and the training texts of the pairs are streamed
+against them: backward search finds the places of a seed, and each place is extended to the maximal
+match. Matches of RUN code points or more are merged to spans per pair and counted.
+
+Seeds are chosen by content, so that any run of RUN code points has one. Equal texts are one class.
 """
 
 from __future__ import annotations
@@ -20,24 +16,18 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, arrow_map, blank, code_points, mixed, row_key, sampled_places, semi, table, written
-from .nearcopies import class_id, verified
+from .common import arrow_map, blank, code_points, mixed, row_key, sampled_places, semi, table, written
+from .nearcopies import THRESHOLD, class_id, similarity
+from .prefixjoin import prefix_pairs
 from .textform import canonical
 
 SEED, RUN = 22, 30
-#: Stretches of one seed and side up to which they stay in one shard; pairs of stretches from which a seed is frequent.
-GRID, FREQUENT_PAIRS = 20_000, 1_000_000
-#: A text goes on if this part of its seeds is on the other side, a pair if matches cover twice this part of the shorter text. Pairs at
-#: the threshold of similarity share about a third of their seeds and more than half of their text in runs.
-LEAST_PART = 0.05
-#: Evaluation stretches per shard, about; training stretches may be twice as many.
-SHARD_ROWS = 30_000
+#: Pairs of texts that one index serves at most.
+GRID = 256
 SAMPLE = 8
-_AROUND = RUN - SEED
 _strip = re.compile(r"\s+").sub
 
 
@@ -127,95 +117,72 @@ def _agreeing(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, step:
     return out
 
 
-def maximal_matches(index_texts: list[str], index_seed: np.ndarray, texts: list[str], seed_at: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """Rows (text, index text, start in text, length): the maximal matches of RUN or more around the seed of each text.
-
-    index_seed and seed_at tell where the seed starts in each text; equal values of seed are equal seeds.
-    """
+def span_sums(texts: list[str], held: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Per pair of a text and a held-out text: the maximal matches of RUN or more (distinct spans of the text), and the code points in them."""
+    index_texts = list(dict.fromkeys(held))
+    number = {x: i for i, x in enumerate(index_texts)}
+    mate = np.fromiter((number[x] for x in held), np.int64, len(held))
     codes, ends = code_points([x + "\0" for x in index_texts])
     other, other_ends = code_points([x + "\1" for x in texts])
+    of = np.repeat(np.arange(len(texts)), np.diff(other_ends))
+    start, _ = sampled_places(other, of, SEED, RUN)
+    start = start[other[np.minimum(start + SEED - 1, len(other) - 1)] != 1]
+    counts, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    if not len(start) or not len(codes):
+        return counts, sums
     index = FullTextIndex(codes)
-    start = other_ends[:-1] + seed_at
-    _, first, back = np.unique(seed, return_index=True, return_inverse=True)
-    low, high = index.search(other[start[first][:, None] + np.arange(SEED)])
-    low, width = low[back], (high - low)[back]
-    text = np.repeat(np.arange(len(texts)), width)
-    place = index.locate(low[text] + np.arange(len(text)) - np.repeat(np.cumsum(width) - width, width))
-    owner = np.searchsorted(ends, place, side="right") - 1
-    own = place - ends[owner] == index_seed[owner]  # other places of the seed have stretches of their own
-    text, place, owner = text[own], place[own], owner[own]
-    left = _agreeing(other, codes, start[text] - 1, place - 1, -1)
-    right = _agreeing(other, codes, start[text], place, 1)
-    found = np.stack([text, owner, seed_at[text] - left, left + right], axis=1)
-    return found[left + right >= RUN]
-
-
-def _seeds(flat: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    codes, ends = code_points(flat)
-    owner = np.repeat(np.arange(len(flat)), np.diff(ends))
-    places, hashes = sampled_places(codes, owner, SEED, RUN)
-    return places - ends[owner[places]], owner[places], hashes.view(np.int64), np.diff(ends)
-
-
-def seeded(df: DataFrame) -> DataFrame:
-    """(key, train, cls, short, seeds) of (key, train, text); of equal texts some have no seeds, at least one has."""
+    low, high = index.search(other[start[:, None] + np.arange(SEED)])
+    width = high - low
+    seed = np.repeat(np.arange(len(start)), width)
+    place = index.locate(low[seed] + np.arange(len(seed)) - np.repeat(np.cumsum(width) - width, width))
+    own = np.searchsorted(ends, place, side="right") - 1 == mate[of[start[seed]]]
+    at, place = start[seed[own]], place[own]
+    left = _agreeing(other, codes, at - 1, place - 1, -1)
+    right = _agreeing(other, codes, at, place, 1)
+    long = left + right >= RUN
+    spans = np.unique(np.stack([at[long] - left[long], at[long] + right[long]], axis=1), axis=0)
+    if not len(spans):
+        return counts, sums
+    # the spans of a text end before the next text begins
+    reach = np.r_[0, np.maximum.accumulate(spans[:, 1])[:-1]]
+    np.add.at(counts, of[spans[:, 0]], 1)
+    np.add.at(sums, of[spans[:, 0]], np.maximum(0, spans[:, 1] - np.maximum(reach, spans[:, 0])))
+    return counts, sums
+
+
+def classed(df: DataFrame) -> DataFrame:
+    """(key, train, cls, flat) of (key, train, text): the class of equal forms; of equal texts at least one has its form without white space."""
 
     def kernel(batch: pa.RecordBatch) -> dict:
         forms = [canonical(x) for x in batch.column("text").to_pylist()]
         cls = np.array([class_id("cpt_chunk", x) for x in forms], np.int64)
-        flat = [_strip("", x) for x in forms]
-        # copies in a batch carry no seeds of their own: the first stands for them
+        # copies in a batch carry no text of their own: the first stands for them
         _, first = np.unique(mixed(cls.view(np.uint64)) + np.asarray(batch.column("train")).astype(np.uint64), return_index=True)
-        carries = np.zeros(len(forms), bool)
-        carries[first] = True
-        _, owner, seed, _ = _seeds([x if ok else "" for x, ok in zip(flat, carries, strict=True)])
-        offsets = np.searchsorted(owner, np.arange(len(forms) + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed))
-        sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        return {"key": batch.column("key"), "train": batch.column("train"), "cls": cls, "short": pa.array(sizes < RUN), "seeds": lists}
-
-    return arrow_map(df.select("key", "train", "text"), "text", "key string, train boolean, cls long, short boolean, seeds array<long>", kernel)
+        flat: list[str | None] = [None] * len(forms)
+        for i in first:
+            flat[i] = _strip("", forms[i])
+        return {"key": batch.column("key"), "train": batch.column("train"), "cls": cls, "flat": pa.array(flat, pa.string())}
 
+    return arrow_map(df.select("key", "train", "text"), "text", "key string, train boolean, cls long, flat string", kernel)
 
-def _bound(owner: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    return mixed(seed.view(np.uint64) + mixed(owner.astype(np.uint64)))
 
-
-def _stretches(texts: DataFrame) -> DataFrame:
-    """(seed, cls, at, n, start, stretch) of (cls, text, wanted): the surroundings of the wanted seeds."""
+def _measured(joined: DataFrame) -> DataFrame:
+    """(cls_a, cls_b, similarity, n_matches, matched) of those (cls_a, cls_b, flat_a, flat_b) that are equal or reach the threshold."""
 
     def kernel(batch: pa.RecordBatch) -> dict | None:
-        forms = [canonical(x) for x in batch.column("text").to_pylist()]
-        # a key may stand for several texts: only the one of the class is meant
-        meant = [class_id("cpt_chunk", x) == c for x, c in zip(forms, batch.column("cls").to_pylist(), strict=True)]
-        flat = [_strip("", x) if ok else "" for x, ok in zip(forms, meant, strict=True)]
-        places, owner, seed, sizes_of = _seeds(flat)
-        wanted = batch.column("wanted")
-        sizes = np.asarray(pc.list_value_length(wanted))
-        want = _bound(np.repeat(np.arange(len(flat)), sizes), np.asarray(wanted.flatten()))
-        use = np.flatnonzero(np.isin(_bound(owner, seed), want))
-        if not len(use):
+        a, b, flat_a, flat_b = (batch.column(c).to_pylist() for c in ("cls_a", "cls_b", "flat_a", "flat_b"))
+        found = [1.0 if i == j else similarity(x, y) for i, j, x, y in zip(a, b, flat_a, flat_b, strict=True)]
+        use = [i for i, s in enumerate(found) if s >= THRESHOLD]
+        if not use:
             return None
-        first = np.maximum(places[use] - _AROUND, 0)
-        cut = [flat[i][a:b] for i, a, b in zip(owner[use], first, places[use] + RUN, strict=True)]
-        return {"seed": seed[use], "cls": np.asarray(batch.column("cls"))[owner[use]], "at": (places[use] - first).astype(np.int32), "n": sizes_of[owner[use]].astype(np.int32), "start": first.astype(np.int32), "stretch": cut}
-
-    return arrow_map(texts.select("cls", "text", "wanted"), "text", "seed long, cls long, at int, n int, start int, stretch string", kernel)
-
-
-def _shard_matches(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(cls_t, cls_e, start, length, least size) of training and evaluation stretches that have a column shard."""
-
-    def run(train: pa.Table, held: pa.Table) -> pa.Table:
-        names = ["cls_t", "cls_e", "start", "length", "least"]
-        if not train.num_rows or not held.num_rows:
-            return pa.table({n: pa.array([], pa.int64()) for n in names})
-        found = maximal_matches(held.column("stretch").to_pylist(), held.column("at").to_numpy(), train.column("stretch").to_pylist(), train.column("at").to_numpy(), train.column("seed").to_numpy())
-        start = train.column("start").to_numpy()[found[:, 0]] + found[:, 2]
-        least = np.minimum(train.column("n").to_numpy()[found[:, 0]], held.column("n").to_numpy()[found[:, 1]]).astype(np.int64)
-        return pa.table(dict(zip(names, (train.column("cls").to_numpy()[found[:, 0]], held.column("cls").to_numpy()[found[:, 1]], start.astype(np.int64), found[:, 3], least), strict=True)))
+        parts = [use[i : i + GRID] for i in range(0, len(use), GRID)]
+        counts, sums = (np.concatenate(x) for x in zip(*(span_sums([flat_a[i] for i in p], [flat_b[i] for i in p]) for p in parts), strict=True))
+        # an equal text below RUN is one match, too
+        whole = np.array([a[i] == b[i] and len(flat_a[i]) < RUN for i in use])
+        counts[whole], sums[whole] = 1, [len(flat_a[i]) for i, w in zip(use, whole, strict=True) if w]
+        return {"cls_a": [a[i] for i in use], "cls_b": [b[i] for i in use], "similarity": [found[i] for i in use], "n_matches": counts, "matched": sums}
 
-    return left.groupBy("shard").cogroup(right.groupBy("shard")).applyInArrow(run, "cls_t long, cls_e long, start long, length long, least long")
+    return arrow_map(joined.select("cls_a", "cls_b", "flat_a", "flat_b"), "flat_a", "cls_a long, cls_b long, similarity double, n_matches long, matched long", kernel)
 
 
 def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -223,53 +190,24 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A link joins the class of a training text (cls_a) and that of a held-out text (cls_b); equal classes
     are linked with similarity 1. matched counts the code points of the training text in merged maximal
-    matches. Null and blank texts are left out by the caller; a null train is no
+    matches of RUN or more, of which a near copy need not have any. Null and blank texts are left out by the caller; a null train is no
     training row; repeated rows and long texts pass.
     """
     df = df.select("key", F.coalesce("train", F.lit(False)).alias("train"), "text")
-    rows = written(seeded(df), "seeded")
-    sides = rows.select("train", F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count_if("train").alias("n_t"), F.count_if(~F.col("train")).alias("n_e"))
-    shared = written(sides.where("n_t > 0 and n_e > 0"), "shared")
-    totals = shared.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_e"), F.lit(0)).alias("e"), F.coalesce(F.sum("n_t"), F.lit(0)).alias("t")).first()
-    small = totals["n"] <= BROADCAST_ROWS
-    pick = F.broadcast(shared) if small else shared
-    hits = rows.select("cls", "train", "key", F.size("seeds").alias("n_seeds"), F.explode("seeds").alias("seed")).join(pick, "seed")
-    frequent = F.col("n_t") * F.col("n_e") > FREQUENT_PAIRS
-    by_row = hits.groupBy("cls", "train", "key", "n_seeds").agg(F.collect_list(F.when(~frequent, F.col("seed"))).alias("rare"), F.collect_list(F.when(frequent, F.col("seed"))).alias("often"))
+    rows = written(classed(df), "classed")
     # one row stands for its class on a side
-    by_class = by_row.groupBy("cls", "train").agg(F.min_by(F.struct("key", "n_seeds", "rare", "often"), "key").alias("r")).select("cls", "train", "r.*")
-    kept = F.when(F.size("often") * 10 <= F.col("n_seeds"), F.col("rare")).otherwise(F.concat("rare", "often"))
-    enough = F.size("rare") + F.size("often") >= F.greatest(F.lit(1), F.ceil(LEAST_PART * F.col("n_seeds")))
-    wanted = written(by_class.where(enough).select("cls", "train", "key", kept.alias("wanted")).where(F.size("wanted") > 0), "wanted")
-    n_wanted = wanted.count()
-    # only the keys of the texts that are needed are broadcast, and only if they are few; their seeds meet them by shuffle
-    chosen = semi(df, wanted.select("key", "train"), ["key", "train"], n_wanted)
-    texts = chosen.join(wanted.hint("merge"), ["key", "train"]).select("cls", "train", "text", "wanted")
-    train, held = (_stretches(texts.where(c)) for c in ("train", "not train"))
-    shards = max(1, totals["e"] // SHARD_ROWS, totals["t"] // (2 * SHARD_ROWS))
-    grid = shared.select("seed", F.ceil(F.col("n_t") / GRID).cast("int").alias("g_t"), F.ceil(F.col("n_e") / GRID).cast("int").alias("g_e"))
-    grid = written(grid.where("g_t > 1 or g_e > 1"), "grid")
-    spread = F.broadcast(grid) if grid.count() <= BROADCAST_ROWS else grid
-
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-        cell = side.join(spread, "seed", "left").withColumn("mine", F.pmod(F.xxhash64("cls"), F.coalesce(own, F.lit(1))).cast("int"))
-        cell = cell.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
-        t, e = ("mine", "theirs") if own == "g_t" else ("theirs", "mine")
-        return cell.select(F.pmod(F.xxhash64("seed", t, e), F.lit(shards)).alias("shard"), "seed", "cls", "at", "n", "start", "stretch")
-
-    found = _shard_matches(dealt(train, "g_t", "g_e"), dealt(held, "g_e", "g_t"))
-    spans = found.groupBy("cls_t", "cls_e").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("stop")))).alias("spans"), F.min("least").alias("least"))
-    first = F.struct(F.lit(0).cast("long").alias("reach"), F.lit(0).cast("long").alias("sum"))
-    merged = F.aggregate("spans", first, lambda a, s: F.struct(F.greatest(a["reach"], s["stop"]).alias("reach"), (a["sum"] + F.greatest(F.lit(0), s["stop"] - F.greatest(a["reach"], s["start"]))).alias("sum")), lambda a: a["sum"])
-    pairs = written(spans.select(F.col("cls_t").alias("cls_a"), F.col("cls_e").alias("cls_b"), F.size("spans").alias("n_matches"), merged.alias("matched"), "least").where(F.col("matched") >= 2 * LEAST_PART * F.col("least")).drop("least"), "matches")
-    keyed = df.select(F.lit("cpt_chunk").alias("tbl"), "key", "text")
-    members = rows.select(F.lit("cpt_chunk").alias("tbl"), "key", "cls")
-    near = verified(pairs.where("cls_a <> cls_b").select("cls_a", "cls_b"), members, keyed)
-    links = near.join(pairs, ["cls_a", "cls_b"])
-    equal = pairs.where("cls_a = cls_b").select("cls_a", "cls_b", F.lit(1.0).alias("similarity"), "n_matches", "matched")
-    short = rows.where("short").groupBy("cls").agg(F.bool_or("train").alias("t"), F.bool_or(~F.col("train")).alias("e")).where("t and e")
-    short = short.select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b"), F.lit(1.0), F.lit(1), F.lit(None).cast("long"))
-    return rows.select("key", "train", "cls"), written(links.unionByName(equal).union(short), "overlaps")
+    chosen = written(rows.where("flat is not null").groupBy("cls", "train").agg(F.min("key").alias("key")), "chosen")
+    texts = semi(rows.where("flat is not null"), chosen, ["cls", "train", "key"]).select("cls", F.lit(0).cast("long").alias("salt"), "train", "flat")
+    both = chosen.groupBy("cls").agg(F.count_if("train").alias("t"), F.count_if(~F.col("train")).alias("e")).where("t > 0 and e > 0")
+    pairs = prefix_pairs(texts, two_sides=True).union(both.select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b")))
+    pairs = written(pairs, "pairs")
+
+    def fetched(c: str, side: str) -> DataFrame:
+        involved = pairs.select(F.col(c).alias("cls")).distinct()
+        return semi(texts.where(side), written(involved, "involved"), ["cls"]).dropDuplicates(["cls"]).select(F.col("cls").alias(c), F.col("flat").alias(f"flat_{c[-1]}"))
+
+    joined = pairs.join(fetched("cls_a", "train"), "cls_a").join(fetched("cls_b", "not train"), "cls_b")
+    return rows.select("key", "train", "cls"), written(_measured(joined), "overlaps")
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,3 +180,26 @@ def test_queries_on_small_tables(spark, small):
         seen.setdefault((t, canonical(x)), []).append((k, x))
     want = {(t, *sorted((a, b))) for (t, _), v in seen.items() for i, (a, x) in enumerate(v) for b, y in v[:i] if x != y}
     assert {tuple(r) for r in QUERIES["p1_found"](spark, small).collect()} == want
+
+
+def scattered(rng, text, step):
+    """One substitution every step code points."""
+    return "".join(chr(0x5200 + rng.randrange(0x400)) if i % step == step // 2 else c for i, c in enumerate(text))
+
+
+def dense_edits(rng):
+    """Pairs of texts whose edits leave no common run of 30 code points, short ones and ends among them."""
+    text = lambda n: "".join(chr(rng.randrange(0x4E10, 0x5100)) for _ in range(n))
+    base = [text(n) for n in [*range(60, 600, 12)] * 2] + [text(n) for n in [*range(5, 60)] * 2]
+    other = [scattered(rng, x, rng.randrange(20, 29)) for x in base[:90]] + [x[:-1] + "亜" if i % 2 else x + "亜" for i, x in enumerate(base[90:])]
+    return base, other
+
+
+def test_overlaps_without_long_runs(spark):
+    base, other = dense_edits(random.Random(21))
+    rows = [(f"a{i}", True, x) for i, x in enumerate(base)] + [(f"b{i}", False, x) for i, x in enumerate(other)]
+    members, links = splitoverlap.overlaps(spark.createDataFrame(rows, "key string, train boolean, text string"))
+    cls = {r["key"]: r["cls"] for r in members.collect()}
+    want = {(cls[a if a[0] == "a" else b], cls[b if a[0] == "a" else a]) for _, a, b in brute([("t", k, x) for k, _, x in rows])}
+    got = {(r["cls_a"], r["cls_b"]) for r in links.collect()}
+    assert got == want and len(want) > 120
