@@ -1,18 +1,9 @@
-"""Problem 2: records that share most of their content, by Golay-code fuzzy hashing.
-
-A text's fingerprint has SEGMENTS words of 23 bits, each bit the one-bit minimum hash of its own share of
-the text's 3-character strings, so that a bit differs with half the probability by which the strings
-do. Each word is decoded with the perfect Golay code to the indices of the codewords near it (one or
-six): words at distance 2 or less always share an index, words at distance 3 or 4 mostly. By the
-pigeonhole principle SEGMENTS * 3 - 1 differing bits leave a segment with two at most. An index of 12
-bits doesn't select in a large collection, so each segment's keys are also bound to the minimum of the
-segment's share of the text's 16-character strings (found alike with the texts' similarity). Texts
-that share a key are joined, thinned by the distance of 128 bits of the fingerprint, and verified by
-the exact measure.
-
-Exact copies are one class before anything is joined, so a text that a third of all rows repeat is one
-row. Keys whose anchor many different texts share (counted first) are paired by a join that splits
-skewed partitions, the others within the tasks of one shuffle. Nothing is capped.
+"""Problem 2: records that share most of their content, by an exact join of their 5-character strings.
+
+Every pair that can reach the threshold is a candidate (prefixjoin: prefix, length and position filters),
+whatever the kind and place of the edits and however short the texts are, and is verified by the exact
+measure. Exact copies are one class before anything is joined, so a text that a third of all rows
+repeat is one row. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -25,22 +16,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, arrow_map, chunk_texts, code_points, gram_hashes, mixed, semi, written
-from .golaycode import N, near_codewords
+from .common import arrow_map, chunk_texts, semi, written
+from .prefixjoin import prefix_pairs
 from .textform import canonical
 
-SEGMENTS = 9
-#: Differing bits of 128 up to which a pair is verified; pairs at the threshold differ in about 15, unrelated ones in about 58.
-SKETCH_BITS = 32
 GRAM, THRESHOLD = 5, 0.6
-#: Classes to verify whose rows' keys are broadcast; more are joined by shuffle.
-BROADCAST_KEYS = 200_000
-_ANCHOR, _FEATURE = 16, 3
-#: Rows of one anchor up to which its keys are paired within a task; more frequent ones go through a skew-splitting join.
-HOT_ROWS = 20_000
-#: Keys that a task holds at once, about (32 bytes each).
-TASK_KEYS = 1_000_000
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Pairs that share a string and are looked at in one go.
+HOT_ROWS = 2_000_000
 _strip = re.compile(r"\s+").sub
 
 
@@ -48,121 +30,27 @@ def class_id(tbl: str, form: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{tbl}\t{form}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _minima(hashes: np.ndarray, owner: np.ndarray, n: int, bins: int) -> np.ndarray:
-    """Per owner the minimum hash in each of the bins (one pass: the hash also chooses the bin)."""
-    low = np.full(n * bins, _NONE)
-    np.minimum.at(low, owner * bins + (hashes % np.uint64(bins)).astype(np.int64), hashes >> np.uint64(8))
-    return low.reshape(n, bins)
-
-
-def fingerprints(flat: list[str], salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors and words (n x SEGMENTS) and 128-bit sketches (two columns) of texts without white space, each of GRAM code points or more."""
-    n, pad = len(flat), "\0" * (_ANCHOR - 1)
-    codes, ends = code_points([x + pad for x in flat])
-    owner = np.repeat(np.arange(n), np.diff(ends))
-    place = np.arange(len(codes)) - ends[:-1][owner]
-    size = (np.diff(ends) - len(pad))[owner]
-    inside = place < size
-    anchors = gram_hashes(codes, _ANCHOR)
-    keep = inside[: len(anchors)]
-    low = _minima(anchors[keep], owner[: len(anchors)][keep], n, SEGMENTS)
-    for _ in range(SEGMENTS - 1):  # an empty share takes the next one's minimum
-        empty = low == _NONE
-        if not empty.any():
-            break
-        low = np.where(empty, np.roll(low, -1, axis=1), low)
-    features = gram_hashes(codes, _FEATURE)
-    keep = (place < size - _FEATURE + 1)[: len(features)]
-    small = _minima(features[keep], owner[: len(features)][keep], n, SEGMENTS * N)
-    bits = (mixed(small) & np.uint64(1)).astype(np.uint32)
-    bits[small == _NONE] = 0
-    anchors = mixed(low ^ salt[:, None] ^ np.arange(SEGMENTS, dtype=np.uint64))
-    words = (bits.reshape(n, SEGMENTS, N) << np.arange(N, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
-    sketch = (bits[:, :128].reshape(n, 2, 64).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
-    return anchors.view(np.int64), words.astype(np.int32), sketch.view(np.int64)
-
-
 def classes(df: DataFrame) -> DataFrame:
-    """(tbl, key, cls, sk1, sk2, anchors, words) of (tbl, key, text): the class of equal forms, and its fingerprint.
-
-    anchors and words are null for a form with fewer than five characters that aren't white space.
-    """
+    """(tbl, key, cls, salt, flat) of (tbl, key, text): the class of equal forms, and of at least one of a class the form without white space; only equal salts meet."""
 
     def kernel(batch: pa.RecordBatch) -> dict:
         tbl, forms = batch.column("tbl").to_pylist(), [canonical(x) for x in batch.column("text").to_pylist()]
         cls = np.array([class_id(a, b) for a, b in zip(tbl, forms, strict=True)], np.int64)
-        _, first, back = np.unique(cls, return_index=True, return_inverse=True)
-        flat = [_strip("", forms[i]) for i in first]
-        long = np.array([i for i, x in enumerate(flat) if len(x) >= GRAM], np.int64)
-        place, sketch = np.full(len(flat), -1), np.zeros((len(flat), 2), np.int64)
-        anchors, words = np.zeros((1, SEGMENTS), np.int64), np.zeros((1, SEGMENTS), np.int32)
-        if len(long):
-            salt = np.array([xxhash.xxh3_64_intdigest(tbl[first[i]].encode()) for i in long], np.uint64)
-            anchors, words, sketch[long] = fingerprints([flat[i] for i in long], salt)
-            place[long] = np.arange(len(long))
-        at = pa.array(place[back], mask=place[back] < 0)
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), SEGMENTS).take(at) for x in (anchors, words)]
-        return {"tbl": batch.column("tbl"), "key": batch.column("key"), "cls": cls, "sk1": sketch[back, 0], "sk2": sketch[back, 1], "anchors": lists[0], "words": lists[1]}
+        flat: list[str | None] = [None] * len(forms)
+        for i in np.unique(cls, return_index=True)[1]:
+            flat[i] = _strip("", forms[i])
+        return {"tbl": batch.column("tbl"), "key": batch.column("key"), "cls": cls, "salt": np.array([class_id(t, "") for t in tbl], np.int64), "flat": pa.array(flat, pa.string())}
 
-    return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, sk1 long, sk2 long, anchors array<long>, words array<int>", kernel)
+    return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, salt long, flat string", kernel)
 
 
-def _keys(segments: DataFrame) -> DataFrame:
-    """(k, cls, sk1, sk2): the keys of rows (cls, sk1, sk2, anchor, word)."""
-
-    def kernel(batch: pa.RecordBatch) -> dict:
-        anchor, word = np.asarray(batch.column("anchor")), np.asarray(batch.column("word"))
-        near, counts = near_codewords(word)
-        key = mixed(anchor.view(np.uint64)[:, None] + near.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        use = np.arange(6) < counts[:, None]
-        row = np.repeat(np.arange(batch.num_rows)[:, None], 6, axis=1)[use]
-        return {"k": key[use].view(np.int64)} | {c: np.asarray(batch.column(c))[row] for c in ("cls", "sk1", "sk2")}
-
-    return arrow_map(segments, None, "k long, cls long, sk1 long, sk2 long", kernel)
-
-
-def _pairs_in_task(keys: DataFrame, n_keys: int) -> DataFrame:
-    """(cls_a, cls_b) of keys that are together in a partition, none of which is frequent; a partition holds a bounded number of keys."""
-    partitions = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_keys // TASK_KEYS))
-
-    def run(batches):
-        parts = [[np.asarray(b.column(c)) for c in ("k", "cls", "sk1", "sk2")] for b in batches]
-        if not parts:
-            return
-        k, cls, sk1, sk2 = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts
-        order = np.lexsort((cls, k))
-        k, cls, sk1, sk2 = k[order], cls[order], sk1[order].view(np.uint64), sk2[order].view(np.uint64)
-        found, at, lag = [np.zeros((0, 2), np.int64)], np.arange(len(k)), 0
-        while len(at):
-            lag += 1
-            at = at[at + lag < len(k)]
-            at = at[k[at] == k[at + lag]]
-            to = at + lag
-            near = (np.bitwise_count(sk1[at] ^ sk1[to]) + np.bitwise_count(sk2[at] ^ sk2[to]) <= SKETCH_BITS) & (cls[at] != cls[to])
-            found.append(np.stack([cls[at[near]], cls[to[near]]], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["cls_a", "cls_b"])
-
-    return keys.repartition(partitions, "k").mapInArrow(run, "cls_a long, cls_b long")
-
-
-def candidates(members: DataFrame) -> DataFrame:
-    """(cls_a, cls_b): classes that share a key and whose sketches are close, cls_a < cls_b."""
-    sk = ["cls", "sk1", "sk2"]
-    one = members.where("anchors is not null").select(*sk, "anchors", "words").dropDuplicates(["cls"])
-    segments = one.select(*sk, F.explode(F.arrays_zip("anchors", "words")).alias("s")).select(*sk, F.col("s.anchors").alias("anchor"), F.col("s.words").alias("word"))
-    segments = written(segments, "segments")
-    hot = written(segments.groupBy("anchor").count().where(F.col("count") > HOT_ROWS).select("anchor"), "hot")
-    n_hot, n_keys = hot.count(), 6 * segments.count()
-    if not n_hot:
-        return _pairs_in_task(_keys(segments), n_keys).distinct()
-    small = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-    cold = _pairs_in_task(_keys(segments.join(small, "anchor", "left_anti").select(*segments.columns)), n_keys)
-    keys = written(_keys(segments.join(small, "anchor", "left_semi").select(*segments.columns)), "hotkeys")
-    a, b = (keys.select("k", *[F.col(c).alias(f"{c}_{x}") for c in sk]) for x in "ab")
-    apart = F.bit_count(F.col("sk1_a").bitwiseXOR(F.col("sk1_b"))) + F.bit_count(F.col("sk2_a").bitwiseXOR(F.col("sk2_b")))
-    return cold.union(a.join(b.hint("merge"), "k").where((F.col("cls_a") < F.col("cls_b")) & (apart <= SKETCH_BITS)).select("cls_a", "cls_b")).distinct()
+def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cls_a, cls_b) of the classes that can reach the threshold, cls_a < cls_b; and (cls, flat), a row of each class at least."""
+    full = members.where("flat is not null")
+    # one row stands for its class
+    chosen = written(full.groupBy("cls").agg(F.min(F.struct("tbl", "key")).alias("r")).select("cls", "r.tbl", "r.key"), "chosen")
+    texts = semi(full, chosen, ["cls", "tbl", "key"]).select("cls", "salt", F.lit(True).alias("train"), "flat")
+    return prefix_pairs(texts, two_sides=False, at_once=HOT_ROWS), texts.select("cls", "flat")
 
 
 def similarity(a: str, b: str) -> float:
@@ -171,53 +59,32 @@ def similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y) if x or y else 0.0
 
 
-def _of_class(texts: DataFrame) -> DataFrame:
-    """(cls, text) of the rows (tbl, cls, text) whose text is of that class: a key may stand for several texts."""
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(cls_a, cls_b, similarity) of the pairs that reach the threshold; of the (cls, flat) only those in pairs are moved."""
+    involved = written(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "involved")
+    texts = semi(texts, involved, ["cls"]).dropDuplicates(["cls"])
+    joined = pairs.join(texts.withColumnsRenamed({"cls": "cls_a", "flat": "flat_a"}), "cls_a").join(texts.withColumnsRenamed({"cls": "cls_b", "flat": "flat_b"}), "cls_b")
 
     def kernel(batch: pa.RecordBatch) -> dict:
-        columns = (batch.column(c).to_pylist() for c in ("tbl", "cls", "text"))
-        keep = pa.array([class_id(t, canonical(x)) == c for t, c, x in zip(*columns, strict=True)], pa.bool_())
-        return {c: batch.column(c).filter(keep) for c in ("cls", "text")}
-
-    return arrow_map(texts, "text", "cls long, text string", kernel)
-
-
-def verified(pairs: DataFrame, members: DataFrame, df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(cls_a, cls_b, similarity) of the pairs that reach the threshold; texts are fetched for the classes in pairs only."""
-    involved = written(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "involved")
-    count = involved.count()
-    rows = semi(members.select("tbl", "key", "cls"), involved, ["cls"], count).groupBy("cls").agg(F.min_by(F.struct("tbl", "key"), F.struct("tbl", "key")).alias("r"))
-    rows = rows.select("cls", "r.tbl", "r.key")
-    texts = df.join(F.broadcast(rows) if count <= BROADCAST_KEYS else rows, ["tbl", "key"])
-    texts = _of_class(texts.select("tbl", "cls", "text")).dropDuplicates(["cls"])
-    joined = pairs.join(texts.withColumnsRenamed({"cls": "cls_a", "text": "text_a"}), "cls_a").join(texts.withColumnsRenamed({"cls": "cls_b", "text": "text_b"}), "cls_b")
-
-    def kernel(batch: pa.RecordBatch) -> dict | None:
-        flat: dict[str, str] = {}
-        found = np.zeros(batch.num_rows)
-        for i, (a, b) in enumerate(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)):
-            for t in (a, b):
-                if t not in flat:
-                    flat[t] = _strip("", canonical(t))
-            found[i] = similarity(flat[a], flat[b])
+        found = np.array([similarity(a, b) for a, b in zip(batch.column("flat_a").to_pylist(), batch.column("flat_b").to_pylist(), strict=True)], np.float64)
         keep = pa.array(found >= threshold)
         return {"cls_a": batch.column("cls_a").filter(keep), "cls_b": batch.column("cls_b").filter(keep), "similarity": pa.array(found).filter(keep)}
 
-    return arrow_map(joined.select("cls_a", "cls_b", "text_a", "text_b"), "text_a", "cls_a long, cls_b long, similarity double", kernel)
+    return arrow_map(joined.select("cls_a", "cls_b", "flat_a", "flat_b"), "flat_a", "cls_a long, cls_b long, similarity double", kernel)
 
 
 def near_copies(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Members (tbl, key, cls) and links (cls_a, cls_b, similarity) of rows (tbl, key, text).
 
     Rows of a class have the same form and table; a link joins two classes of one table whose forms
-    differ and whose similarity reaches the threshold. Null and blank texts must be left out before; a key
+    differ and whose similarity reaches the threshold, which is THRESHOLD at least. Null and blank texts must be left out before; a key
     may repeat with equal or other texts; a form with fewer than five characters has no link. Repeated rows, ties and very long texts pass; an
     empty frame gives empty results. Both results are tables in the shared folder.
     """
     df = df.select("tbl", "key", "text")
     members = written(classes(df), "members")
-    pairs = written(candidates(members), "pairs")
-    return members.select("tbl", "key", "cls"), written(verified(pairs, members, df, threshold), "links")
+    pairs, texts = candidates(members)
+    return members.select("tbl", "key", "cls"), written(verified(written(pairs, "pairs"), texts, threshold), "links")
 
 
 def groups(members: DataFrame, links: DataFrame) -> DataFrame:

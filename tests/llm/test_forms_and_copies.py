@@ -203,3 +203,11 @@ def test_overlaps_without_long_runs(spark):
     want = {(cls[a if a[0] == "a" else b], cls[b if a[0] == "a" else a]) for _, a, b in brute([("t", k, x) for k, _, x in rows])}
     got = {(r["cls_a"], r["cls_b"]) for r in links.collect()}
     assert got == want and len(want) > 120
+
+
+def test_near_copies_without_long_runs(spark):
+    base, other = dense_edits(random.Random(22))
+    rows = [("t", f"{s}{i}", x) for s, texts in (("a", base), ("b", other)) for i, x in enumerate(texts)] + [("u", k, x) for k, x in enumerate(base[:5])]
+    rows = [(t, str(k), x) for t, k, x in rows]
+    want = brute(rows)
+    assert found_pairs(*nearcopies.near_copies(rows_of(spark, [(*r, 0) for r in rows]))) == set(want) and len(want) > 120
