@@ -1,9 +1,18 @@
-"""Problem 2: records that share most of their content, by an exact join of their 5-character strings.
+"""Problem 2: records that share most of their content, by Golay-code fuzzy hashing.
 
-Every pair that can reach the threshold is a candidate (prefixjoin: prefix, length and position filters),
-whatever the kind and place of the edits and however short the texts are, and is verified by the exact
-measure. Exact copies are one class before anything is joined, so a text that a third of all rows
-repeat is one row. Nothing is capped.
+A text's distinct 5-character strings stand in one order for all texts (by hash, frequent strings later); the
+first ANCHORS of them are its anchors, so two texts that agree to 0.6 nearly always have several in common, wherever
+their edits are. Beside each anchor stands a segment of SEGMENT characters, on the side that the anchor's hash
+names. The segment's fingerprint is a 23-bit word with one bit per class of characters: the parity of their
+number. A replaced character flips two bits at most, an inserted or a lost one (with the one that it pushes out of the segment)
+two as well. Each word is decoded to the indices of the Golay codewords near it, and words at a distance of two
+or less share one, so a segment with one edit still gives an equal key. At the threshold a text has about one edit in 20
+characters, so by the pigeonhole principle the segments of the shared anchors have one edit or less on average, and some have
+no more than that. Texts with few strings have all of them as anchors, and are paired by the anchor alone. Pairs with an equal
+key are filtered by sizes and by a sketch, and then verified by the exact measure.
+
+Exact copies are one class before anything is joined, so a text that a third of all rows repeat is one row. An
+anchor that very many texts have is split over a grid of cells. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -16,13 +25,21 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunk_texts, semi, written
-from .prefixjoin import prefix_pairs
+from .common import arrow_map, chunk_texts, code_points, gram_hashes, mixed, semi, written
+from .golaycode import near_codewords
 from .textform import canonical
 
 GRAM, THRESHOLD = 5, 0.6
-#: Pairs that share a string and are looked at in one go.
-HOT_ROWS = 2_000_000
+#: Anchors of a text, characters of a segment, and strings up to which all of a text's strings are anchors.
+ANCHORS, SEGMENT, SHORT = 10, 20, 24
+#: A string is frequent if so many texts have it among their first COUNTED ones; it then stands later in the order by that factor.
+FREQUENT, COUNTED = 50, 32
+#: Frequent strings at most, by raising FREQUENT with the number of texts: what is sent to all tasks is 12 bytes each.
+MOST_FREQUENT = 1 << 22
+#: Bits of a sketch, and those that may differ: at the threshold a fifth of them does, and this is 4.5 deviations more.
+SKETCH, DIFFER = 128, 46
+#: Texts of an anchor that one cell takes, about; rows of a shard, about; pairs looked at in one go.
+HOT_ROWS, SHARD_ROWS, PAIRS_AT_ONCE = 20_000, 400_000, 2_000_000
 _strip = re.compile(r"\s+").sub
 
 
@@ -44,13 +61,175 @@ def classes(df: DataFrame) -> DataFrame:
     return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, salt long, flat string", kernel)
 
 
+class Strings:
+    """The distinct strings of several texts by text and hash: hash, text, a place of each; and each text's number of them."""
+
+    def __init__(self, flat: list[str], salt: np.ndarray):
+        self.codes, self.ends = code_points(flat)
+        owner = np.repeat(np.arange(len(flat)), np.diff(self.ends))
+        hashes = gram_hashes(self.codes, GRAM)
+        at = np.flatnonzero(owner[: len(hashes)] == owner[GRAM - 1 :])
+        # only equal salts share strings
+        hashes, owner = mixed(hashes[at] ^ salt[owner[at]]), owner[at]
+        order = np.lexsort((hashes, owner))
+        hashes, owner, at = hashes[order], owner[order], at[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        self.hash, self.owner, self.at = hashes[new], owner[new], at[new]
+        self.size = np.bincount(self.owner, minlength=len(flat))
+        self.nth = np.arange(len(self.hash)) - (np.cumsum(self.size) - self.size)[self.owner]
+
+    def anchors(self, frequent: np.ndarray, factor: np.ndarray) -> np.ndarray:
+        """Numbers of the strings that are anchors."""
+        order = self.hash.astype(np.float64)
+        if len(frequent):
+            found = np.minimum(np.searchsorted(frequent, self.hash), len(frequent) - 1)
+            order *= np.where(frequent[found] == self.hash, factor[found], 1.0)
+        ranked = np.lexsort((order, self.owner))
+        use = self.size[self.owner] <= SHORT
+        use[ranked[self.nth < ANCHORS]] = True
+        return np.flatnonzero(use)
+
+    def words(self, of: np.ndarray) -> np.ndarray:
+        """The 23-bit words of the segments beside the strings with these numbers."""
+        kind = (mixed(self.codes.astype(np.uint64)) % np.uint64(23)).astype(np.int32)
+        parity = np.r_[np.int32(0), np.bitwise_xor.accumulate(np.int32(1) << kind)]
+        at, text = self.at[of], self.owner[of]
+        right = (self.hash[of] & np.uint64(1)).astype(bool)
+        start = np.where(right, at + GRAM, np.maximum(at - SEGMENT, self.ends[text]))
+        stop = np.where(right, np.minimum(at + GRAM + SEGMENT, self.ends[text + 1]), at)
+        return parity[stop] ^ parity[start]
+
+    def sketches(self) -> np.ndarray:
+        """SKETCH bits a text, as words of 64: a bit of the least hash in each of as many ranges of hashes."""
+        place = (self.hash >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+        first = np.ones(len(place), bool)
+        first[1:] = (place[1:] != place[:-1]) | (self.owner[1:] != self.owner[:-1])
+        bits = np.zeros((len(self.size), SKETCH), bool)
+        bits[self.owner[first], place[first]] = mixed(self.hash[first]) & np.uint64(1)
+        return np.packbits(bits, axis=1).view(np.uint64)
+
+
+def _strings(batch: pa.RecordBatch) -> Strings:
+    return Strings(batch.column("flat").to_pylist(), np.asarray(batch.column("salt")).view(np.uint64))
+
+
+def frequent_strings(texts: DataFrame, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of frequent strings, ascending, and how much later each stands; MOST_FREQUENT at most."""
+
+    def kernel(batch: pa.RecordBatch) -> dict:
+        s = _strings(batch)
+        found, n = np.unique(s.hash[s.nth < COUNTED], return_counts=True)
+        return {"gram": found.view(np.int64), "n": n}
+
+    least = max(FREQUENT, -(-COUNTED * n_texts // MOST_FREQUENT))
+    counts = arrow_map(texts, "flat", "gram long, n long", kernel).groupBy("gram").agg(F.sum("n").cast("int").alias("n")).where(F.col("n") >= least)
+    rows = counts.toArrow()
+    gram, n = np.asarray(rows.column("gram").combine_chunks()).view(np.uint64), np.asarray(rows.column("n").combine_chunks())
+    order = np.argsort(gram)
+    return gram[order], (n[order] / least).astype(np.float32)
+
+
+def keyed(texts: DataFrame, n_texts: int) -> DataFrame:
+    """(shard, anchor, side, word, cls, size, sketch): a row for each anchor of a text; of an anchor that very many texts have, a row in each cell of its block."""
+    least = max(FREQUENT, -(-COUNTED * n_texts // MOST_FREQUENT))
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_strings(texts, n_texts))
+    shards = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_texts * ANCHORS // SHARD_ROWS)
+
+    def kernel(batch: pa.RecordBatch) -> dict | None:
+        s, (gram, factor) = _strings(batch), frequent.value
+        of = s.anchors(gram, factor)
+        if not len(of):
+            return None
+        anchor, cls = s.hash[of], np.asarray(batch.column("cls"))[s.owner[of]]
+        blocks = np.ones(len(of), np.int64)
+        if len(gram):
+            found = np.minimum(np.searchsorted(gram, anchor), len(gram) - 1)
+            blocks = np.where(gram[found] == anchor, np.ceil(factor[found].astype(np.float64) * least / HOT_ROWS), 1).astype(np.int64)
+        # a block meets itself and every other one in a cell
+        row = np.repeat(np.arange(len(of)), blocks)
+        own = (mixed(cls.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)[row]
+        other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        cell = np.minimum(own, other) * blocks[row] + np.maximum(own, other)
+        key = np.where(blocks[row] > 1, mixed(anchor[row] ^ mixed(cell.astype(np.uint64))), anchor[row])
+        at = s.owner[of][row]
+        packed = s.sketches()[at]
+        sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH // 8), len(at), [None, pa.py_buffer(np.ascontiguousarray(packed).tobytes())])
+        return {
+            "shard": ((key >> np.uint64(20)) % np.uint64(shards)).astype(np.int32), "anchor": key.view(np.int64), "side": np.sign(other - own).astype(np.int8),
+            "word": s.words(of)[row], "cls": cls[row], "size": s.size[at].astype(np.int32), "sketch": sketch.cast(pa.binary()),
+        }
+
+    return arrow_map(texts.select("cls", "salt", "flat"), "flat", "shard int, anchor long, side byte, word int, cls long, size int, sketch binary", kernel)
+
+
+def _pairs_of(key: np.ndarray, row: np.ndarray, leads: np.ndarray | None, alike) -> np.ndarray:
+    """Pairs of rows (as 2 x n) with an equal key that are alike; with leads, only those whose first one leads. Keys are in order."""
+    end = np.searchsorted(key, key, side="right")
+    width = end - np.arange(1, len(key) + 1)
+    if leads is not None:
+        width = np.where(leads, width, 0)
+    ends, start, found = np.cumsum(width), 0, [np.zeros((2, 0), np.int64)]
+    while start < len(key):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, side="right")))
+        w = width[start:stop]
+        i = np.repeat(np.arange(start, stop), w)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + i + 1
+        a, b = row[i], row[j]
+        ok = alike(a, b)
+        found.append(np.unique(np.sort(np.stack([a[ok], b[ok]]), axis=0), axis=1))
+        start = stop
+    return np.unique(np.concatenate(found, axis=1), axis=1)
+
+
+def pairs_of_shard(part: pa.Table) -> pa.Table:
+    """(cls_a, cls_b), cls_a < cls_b, of the rows that share a key."""
+    anchor = np.asarray(part.column("anchor").combine_chunks())
+    order = np.argsort(anchor, kind="stable")
+    anchor = anchor[order]
+    several = np.zeros(len(anchor), bool)
+    equal = anchor[1:] == anchor[:-1]
+    several[1:] |= equal
+    several[:-1] |= equal
+    order, anchor = order[several], anchor[several]
+    columns = part.select(["side", "word", "cls", "size", "sketch"]).take(pa.array(order)).combine_chunks()
+    side, word, cls, size = (columns.column(c).to_numpy() for c in ("side", "word", "cls", "size"))
+    sketch = np.frombuffer(b"".join(columns.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+    # a group counts from 0, so that group and codeword index fit a number
+    group = np.cumsum(np.r_[False, anchor[1:] != anchor[:-1]])
+
+    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, y = size[a].astype(np.int64), size[b].astype(np.int64)
+        ok = (np.minimum(x, y) * 5 >= np.maximum(x, y) * 3) & (cls[a] != cls[b]) & ((side[a] == 0) | (side[a] != side[b]))
+        at = np.flatnonzero(ok)
+        ok[at] = np.bitwise_count(sketch[a[at]] ^ sketch[b[at]]).sum(axis=1, dtype=np.int64) <= DIFFER
+        return ok
+
+    index, count = near_codewords(word)
+    count = count.astype(np.int64)
+    row = np.repeat(np.arange(len(word)), count)
+    key = (group[row] << 12) | index[row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)]
+    by_key = np.argsort(key, kind="stable")
+    found = [_pairs_of(key[by_key], row[by_key], None, alike)]
+    short = size <= SHORT
+    if short.any():
+        by_group = np.lexsort((~short, group))
+        found.append(_pairs_of(group[by_group], by_group, short[by_group], alike))
+    a, b = np.concatenate(found, axis=1)
+    pairs = np.unique(np.stack([np.minimum(cls[a], cls[b]), np.maximum(cls[a], cls[b])]), axis=1)
+    return pa.table({"cls_a": pairs[0], "cls_b": pairs[1]})
+
+
 def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cls_a, cls_b) of the classes that can reach the threshold, cls_a < cls_b; and (cls, flat), a row of each class at least."""
+    """(cls_a, cls_b) of the classes that share a key and may reach the threshold, cls_a < cls_b; and (cls, flat), a row of each class at least."""
     full = members.where("flat is not null")
     # one row stands for its class
     chosen = written(full.groupBy("cls").agg(F.min(F.struct("tbl", "key")).alias("r")).select("cls", "r.tbl", "r.key"), "chosen")
-    texts = semi(full, chosen, ["cls", "tbl", "key"]).select("cls", "salt", F.lit(True).alias("train"), "flat")
-    return prefix_pairs(texts, two_sides=False, at_once=HOT_ROWS), texts.select("cls", "flat")
+    n = chosen.count()
+    texts = semi(full, chosen, ["cls", "tbl", "key"], n).select("cls", "salt", "flat")
+    found = keyed(texts, n).groupBy("shard").applyInArrow(pairs_of_shard, "cls_a long, cls_b long")
+    return found.distinct(), texts.select("cls", "flat")
 
 
 def similarity(a: str, b: str) -> float:
