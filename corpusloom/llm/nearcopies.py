@@ -17,6 +17,7 @@ anchor that very many texts have is split over a grid of cells. Nothing is cappe
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunk_texts, code_points, gram_hashes, mixed, semi, written
+from .common import arrow_map, chunk_texts, code_points, mixed, semi, written
 from .golaycode import near_codewords
 from .textform import canonical
 
@@ -37,7 +38,7 @@ FREQUENT, COUNTED = 50, 32
 #: Frequent strings at most, by raising FREQUENT with the number of texts: what is sent to all tasks is 12 bytes each.
 MOST_FREQUENT = 1 << 22
 #: Bits of a sketch, and those that may differ: at the threshold a fifth of them does, and this is 4.5 deviations more.
-SKETCH, DIFFER = 128, 46
+SKETCH, DIFFER = 256, 80
 #: Texts of an anchor that one cell takes, about; rows of a shard, about; pairs looked at in one go.
 HOT_ROWS, SHARD_ROWS, PAIRS_AT_ONCE = 20_000, 400_000, 2_000_000
 _strip = re.compile(r"\s+").sub
@@ -61,39 +62,79 @@ def classes(df: DataFrame) -> DataFrame:
     return arrow_map(df.select("tbl", "key", "text"), "text", "tbl string, key string, cls long, salt long, flat string", kernel)
 
 
+@functools.cache
+def _bit_of() -> np.ndarray:
+    """The bit of a 23-bit word that each code point toggles."""
+    return np.left_shift(np.int32(1), (mixed(np.arange(0x110000, dtype=np.uint64)) % np.uint64(23)).astype(np.int32))
+
+
+# Odd multipliers of the places of a string.
+_PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
+#: Bits of a string's hash; the rest of a number holds the text, of which a batch has fewer.
+_BITS = 48
+
+
 class Strings:
     """The distinct strings of several texts by text and hash: hash, text, a place of each; and each text's number of them."""
 
-    def __init__(self, flat: list[str], salt: np.ndarray):
+    def __init__(self, flat: list[str], salt: np.ndarray, places: bool = True):
         self.codes, self.ends = code_points(flat)
-        owner = np.repeat(np.arange(len(flat)), np.diff(self.ends))
-        hashes = gram_hashes(self.codes, GRAM)
-        at = np.flatnonzero(owner[: len(hashes)] == owner[GRAM - 1 :])
+        n, fit = len(flat), max(0, len(self.codes) - GRAM + 1)
+        wide = self.codes.astype(np.uint64)
+        hashes = np.zeros(fit, np.uint64)
+        for i, m in enumerate(_PLACES):
+            hashes += wide[i : i + fit] * np.uint64(m)
+        owner = np.repeat(np.arange(n, dtype=np.uint64), np.diff(self.ends))
+        inside = np.ones(fit, bool)
+        for i in range(1, GRAM):
+            inside[np.maximum(self.ends[1:-1] - i, 0)[self.ends[1:-1] - i < fit]] = False
+        at = np.flatnonzero(inside & (owner[:fit] == owner[GRAM - 1 :][:fit]))
         # only equal salts share strings
-        hashes, owner = mixed(hashes[at] ^ salt[owner[at]]), owner[at]
-        order = np.lexsort((hashes, owner))
-        hashes, owner, at = hashes[order], owner[order], at[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        self.hash, self.owner, self.at = hashes[new], owner[new], at[new]
-        self.size = np.bincount(self.owner, minlength=len(flat))
+        owner = owner[at]
+        key = (mixed(hashes[at] ^ (salt[0] if n and (salt == salt[0]).all() else salt[owner.astype(np.int64)])) >> np.uint64(64 - _BITS)) | (owner << np.uint64(_BITS))
+        if places:
+            order = np.argsort(key)
+            key = key[order]
+        else:
+            key = np.sort(key)
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        key = key[new]
+        self.at = at[order[new]] if places else None
+        self.hash, self.owner = key & np.uint64((1 << _BITS) - 1), (key >> np.uint64(_BITS)).astype(np.int64)
+        self.size = np.bincount(self.owner, minlength=n)
         self.nth = np.arange(len(self.hash)) - (np.cumsum(self.size) - self.size)[self.owner]
 
     def anchors(self, frequent: np.ndarray, factor: np.ndarray) -> np.ndarray:
         """Numbers of the strings that are anchors."""
-        order = self.hash.astype(np.float64)
-        if len(frequent):
-            found = np.minimum(np.searchsorted(frequent, self.hash), len(frequent) - 1)
-            order *= np.where(frequent[found] == self.hash, factor[found], 1.0)
-        ranked = np.lexsort((order, self.owner))
         use = self.size[self.owner] <= SHORT
-        use[ranked[self.nth < ANCHORS]] = True
+        # no string stands earlier than its hash says, so the first ones by hash mostly have all anchors among them
+        todo = np.ones(len(self.size), bool)
+        for ahead in (COUNTED, 4 * COUNTED, len(self.hash) + 1):
+            near = np.flatnonzero(todo[self.owner] & (self.nth < ahead))
+            order = self.hash[near].astype(np.float64)
+            last = np.zeros(len(self.size))
+            np.maximum.at(last, self.owner[near], order)
+            last[self.size <= ahead] = np.inf
+            if len(frequent):
+                found = np.minimum(np.searchsorted(frequent, self.hash[near]), len(frequent) - 1)
+                order *= np.where(frequent[found] == self.hash[near], factor[found], 1.0)
+            ranked = np.lexsort((order, self.owner[near]))
+            near, order = near[ranked], order[ranked]
+            owner = self.owner[near]
+            count = np.bincount(owner, minlength=len(self.size))
+            nth = np.arange(len(near)) - (np.cumsum(count) - count)[owner]
+            # complete if the last anchor stands before all strings that were not looked at
+            short_of = np.bincount(owner, weights=(nth < ANCHORS) & (order > last[owner]), minlength=len(self.size)) > 0
+            use[near[(nth < ANCHORS) & ~short_of[owner]]] = True
+            todo &= short_of
+            if not todo.any():
+                break
         return np.flatnonzero(use)
 
     def words(self, of: np.ndarray) -> np.ndarray:
         """The 23-bit words of the segments beside the strings with these numbers."""
-        kind = (mixed(self.codes.astype(np.uint64)) % np.uint64(23)).astype(np.int32)
-        parity = np.r_[np.int32(0), np.bitwise_xor.accumulate(np.int32(1) << kind)]
+        parity = np.r_[np.int32(0), np.bitwise_xor.accumulate(_bit_of()[self.codes])]
         at, text = self.at[of], self.owner[of]
         right = (self.hash[of] & np.uint64(1)).astype(bool)
         start = np.where(right, at + GRAM, np.maximum(at - SEGMENT, self.ends[text]))
@@ -102,7 +143,7 @@ class Strings:
 
     def sketches(self) -> np.ndarray:
         """SKETCH bits a text, as words of 64: a bit of the least hash in each of as many ranges of hashes."""
-        place = (self.hash >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+        place = (self.hash >> np.uint64(_BITS - SKETCH.bit_length() + 1)).astype(np.int64)
         first = np.ones(len(place), bool)
         first[1:] = (place[1:] != place[:-1]) | (self.owner[1:] != self.owner[:-1])
         bits = np.zeros((len(self.size), SKETCH), bool)
@@ -110,15 +151,15 @@ class Strings:
         return np.packbits(bits, axis=1).view(np.uint64)
 
 
-def _strings(batch: pa.RecordBatch) -> Strings:
-    return Strings(batch.column("flat").to_pylist(), np.asarray(batch.column("salt")).view(np.uint64))
+def _strings(batch: pa.RecordBatch, places: bool = True) -> Strings:
+    return Strings(batch.column("flat").to_pylist(), np.asarray(batch.column("salt")).view(np.uint64), places)
 
 
 def frequent_strings(texts: DataFrame, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of frequent strings, ascending, and how much later each stands; MOST_FREQUENT at most."""
 
     def kernel(batch: pa.RecordBatch) -> dict:
-        s = _strings(batch)
+        s = _strings(batch, places=False)
         found, n = np.unique(s.hash[s.nth < COUNTED], return_counts=True)
         return {"gram": found.view(np.int64), "n": n}
 
@@ -151,7 +192,8 @@ def keyed(texts: DataFrame, n_texts: int) -> DataFrame:
         own = (mixed(cls.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)[row]
         other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         cell = np.minimum(own, other) * blocks[row] + np.maximum(own, other)
-        key = np.where(blocks[row] > 1, mixed(anchor[row] ^ mixed(cell.astype(np.uint64))), anchor[row])
+        key = mixed(anchor)[row]
+        key = np.where(blocks[row] > 1, mixed(key ^ mixed(cell.astype(np.uint64))), key)
         at = s.owner[of][row]
         packed = s.sketches()[at]
         sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH // 8), len(at), [None, pa.py_buffer(np.ascontiguousarray(packed).tobytes())])
@@ -238,6 +280,21 @@ def similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y) if x or y else 0.0
 
 
+def similar(a: list[str], b: list[str], threshold: float) -> np.ndarray:
+    """The similarity of each pair; 0 where hashes of the strings show that the threshold is not reached."""
+    n = len(a)
+    s = [Strings(x, np.zeros(n, np.uint64), places=False) for x in (a, b)]
+    both = np.concatenate([(x.owner.astype(np.uint64) << np.uint64(_BITS)) | x.hash for x in s])
+    both.sort()
+    twice = both[1:][both[1:] == both[:-1]] >> np.uint64(_BITS)
+    shared = np.bincount(twice.astype(np.int64), minlength=n)
+    out = shared / np.maximum(1, s[0].size + s[1].size - shared)
+    # equal hashes of different strings can only raise a similarity, or lower it by a string or two
+    for i in np.flatnonzero(out >= threshold - 0.02):
+        out[i] = similarity(a[i], b[i])
+    return np.where(out >= threshold, out, 0)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(cls_a, cls_b, similarity) of the pairs that reach the threshold; of the (cls, flat) only those in pairs are moved."""
     involved = written(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "involved")
@@ -245,8 +302,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     joined = pairs.join(texts.withColumnsRenamed({"cls": "cls_a", "flat": "flat_a"}), "cls_a").join(texts.withColumnsRenamed({"cls": "cls_b", "flat": "flat_b"}), "cls_b")
 
     def kernel(batch: pa.RecordBatch) -> dict:
-        found = np.array([similarity(a, b) for a, b in zip(batch.column("flat_a").to_pylist(), batch.column("flat_b").to_pylist(), strict=True)], np.float64)
-        keep = pa.array(found >= threshold)
+        found = similar(batch.column("flat_a").to_pylist(), batch.column("flat_b").to_pylist(), threshold)
+        keep = pa.array(found > 0)
         return {"cls_a": batch.column("cls_a").filter(keep), "cls_b": batch.column("cls_b").filter(keep), "similarity": pa.array(found).filter(keep)}
 
     return arrow_map(joined.select("cls_a", "cls_b", "flat_a", "flat_b"), "flat_a", "cls_a long, cls_b long, similarity double", kernel)
