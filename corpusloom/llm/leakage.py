@@ -1,10 +1,12 @@
 """Problem 7: evaluation texts in the corpus, by suffix arrays of the corpus shards.
 
-Each task builds suffix arrays of its own documents and binary-searches every suffix of the test items in
-them, so the corpus is read once and never shuffled. The arrays are sparse: only suffixes at places that are
-chosen by content are kept (about one in 15), and the same choice is made in the items. Every shared run
-of the least length holds a chosen place in both texts, so no run is lost; each hit is extended to the
-left and to the right to its longest verbatim match. Compared are letters and digits of the one form.
+Each task builds the suffix array of its own documents and binary-searches every suffix of the test items in
+it, so the corpus is read once and never shuffled. Suffixes that cannot hold a match (one of the short strings at the
+ends of their first LEAST_RUN code points is in no item) are left out before sorting, which loses no match. Suffixes
+stand in the order of these first code points, and within equal ones of the code point before them: an item's suffix
+then finds the suffixes that agree with it for the least length, and passes over those whose match would also go on to the left.
+What remains is one place per maximal match, even in a text of one repeated character, and is extended
+to the right to its longest verbatim match. Compared are letters and digits of the one form.
 
 The items go to all tasks as a bounded block; more items than a block holds take one pass for each block.
 """
@@ -18,14 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, blank, code_points, sampled_places, table
+from .common import BATCH_CHARS, arrow_map, blank, code_points, mixed, table
 from .textform import canonical
 
 #: Letters and digits of the least run that counts, by language of the item.
 LEAST_RUN, LEAST_RUN_BY_LANG = 40, {"en": 80}
 #: Code points of items that are sent to the tasks at once.
 BLOCK_CHARS = 8_000_000
-_GRAM = 12
+#: Code points of the strings that tell whether a suffix can match, and bits of the table of those that items have.
+_GRAM, _TABLE_BITS = 8, 24
+#: Matches that are extended at once, and the code points compared in a step.
+_EXTEND, _STEP = 50_000, 64
 
 
 @functools.cache
@@ -33,50 +38,137 @@ def _kept() -> np.ndarray:
     return np.array([chr(c).isalnum() for c in range(0x110000)])
 
 
-def letters_and_digits(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the letters and digits of all forms, and the number of the text of each."""
-    codes, ends = code_points([canonical(x) for x in texts])
+def letters_and_digits(texts: list[str], bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the letters and digits of all forms, and the number of the text of each; bare texts are made of them already."""
+    codes, ends = code_points(texts if bare else [canonical(x) for x in texts])
     keep = _kept()[codes]
     return codes[keep], np.repeat(np.arange(len(texts)), np.diff(ends))[keep]
 
 
-class Suffixes:
-    """Suffixes of several texts at the chosen places, in the order of their first _GRAM code points."""
-
-    def __init__(self, texts: list[str], run: int):
-        self.codes, self.owner = letters_and_digits(texts)
-        self.places, _ = sampled_places(self.codes, self.owner, _GRAM, run)
-        window = self.codes[self.places[:, None] + np.arange(_GRAM)] if len(self.places) else np.zeros((0, _GRAM), np.uint32)
-        self.heads = np.ascontiguousarray(window.astype(">u4")).view(f"S{4 * _GRAM}").ravel()
-        order = np.argsort(self.heads, kind="stable")
-        self.places, self.heads = self.places[order], self.heads[order]
-
-
-def _extent(a: Suffixes, b: Suffixes, x: np.ndarray, y: np.ndarray, step: int) -> np.ndarray:
-    """How many code points agree from places x of a and y of b on, in one direction, within one text."""
-    out, at, i = np.zeros(len(x), np.int64), np.arange(len(x)), 0
+def _slots(codes: np.ndarray) -> np.ndarray:
+    """For each place the slot of the string of _GRAM code points from there on."""
+    n, wide = max(0, len(codes) - _GRAM + 1), codes.astype(np.uint64)
+    out = np.zeros(n, np.uint64)
+    for i in range(_GRAM):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += wide[i : i + n]
+    return (mixed(out) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+
+
+class Texts:
+    """Letters and digits of several texts, the place after the end of each place's text, and the code point before each place (0 where a text begins)."""
+
+    def __init__(self, texts: list[str], bare: bool = False):
+        self.codes, self.owner = letters_and_digits(texts, bare)
+        count = np.bincount(self.owner, minlength=len(texts))
+        self.stop = np.repeat(np.cumsum(count), count)
+        self.before = np.r_[np.zeros(min(1, len(self.codes)), np.uint32), self.codes[:-1]]
+        self.before[np.flatnonzero(np.r_[True, self.owner[1:] != self.owner[:-1]][: len(self.owner)])] = 0
+
+    def heads(self, at: np.ndarray, run: int, before: np.ndarray) -> np.ndarray:
+        """The first run code points of the suffixes at these places, with the code point before them last, as strings in their order."""
+        window = np.empty((len(at), run + 1), ">u4")
+        window[:, :run] = self.codes[at[:, None] + np.arange(run)]
+        window[:, run] = before
+        return window.view(f"S{4 * (run + 1)}").ravel()
+
+
+class Items(Texts):
+    """The test items, with the suffixes that are long enough to hold a match."""
+
+    def __init__(self, texts: list[str], least: np.ndarray):
+        super().__init__(texts)
+        self.least, self.run = least, int(least.min())
+        self.longest = int(np.bincount(self.owner, minlength=1).max()) if len(self.owner) else 0
+        self.places = np.flatnonzero(self.stop - np.arange(len(self.codes)) >= least[self.owner])
+        self.seen = np.zeros(1 << _TABLE_BITS, bool)
+        self.seen[_slots(self.codes)] = True
+        # every suffix of an item, from its first code points without and with the one before it on
+        self.low, self.own, self.high = (self.heads(self.places, self.run, x) for x in (0, self.before[self.places], 0xFFFFFFFF))
+
+
+class Suffixes(Texts):
+    """The suffix array of several documents, to the depth of the least match."""
+
+    def __init__(self, texts: list[str], items: Items, bare: bool = False):
+        super().__init__(texts, bare)
+        run = items.run
+        at = np.flatnonzero(self.stop - np.arange(len(self.codes)) >= run)
+        can = items.seen[_slots(self.codes)]
+        at = at[can[at]]
+        at = at[can[at + run - _GRAM]]
+        keys = self.heads(at, run, self.before[at])
+        order = np.argsort(keys, kind="stable")
+        self.places, self.keys = at[order], keys[order]
+
+
+def _agreeing(a: Texts, b: Texts, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many code points agree from places x of a and y of b on, within one text each."""
+    most = np.minimum(a.stop[x] - x, b.stop[y] - y)
+    out, at, done = np.zeros(len(x), np.int64), np.arange(len(x)), 0
+    steps = np.arange(_STEP)
     while len(at):
-        p, q = x[at] + i * step, y[at] + i * step
-        ok = (p >= 0) & (q >= 0) & (p < len(a.codes)) & (q < len(b.codes))
-        at, p, q = at[ok], p[ok], q[ok]
-        ok = (a.codes[p] == b.codes[q]) & (a.owner[p] == a.owner[x[at]]) & (b.owner[q] == b.owner[y[at]])
-        at = at[ok]
-        out[at] += 1
-        i += 1
+        p, q = (np.minimum((z[at] + done)[:, None] + steps, len(t.codes) - 1) for t, z in ((a, x), (b, y)))
+        differ = a.codes[p] != b.codes[q]
+        first = np.where(differ.any(axis=1), differ.argmax(axis=1), _STEP)
+        out[at] = np.minimum(done + first, most[at])
+        done += _STEP
+        at = at[(first == _STEP) & (most[at] > done)]
     return out
 
 
-def matches(docs: Suffixes, items: Suffixes, least: np.ndarray) -> np.ndarray:
-    """Rows (text of docs, text of items, place in docs, place in items, length) of the maximal matches that are long enough."""
-    low, high = (np.searchsorted(docs.heads, items.heads, side=s) for s in ("left", "right"))
-    count = high - low
-    which = np.repeat(np.arange(len(count)), count)
-    x = docs.places[np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which]]
-    y = items.places[which]
-    right = _extent(docs, items, x, y, 1)
-    left = _extent(docs, items, x - 1, y - 1, -1) if len(x) else right
-    rows = np.stack([docs.owner[x], items.owner[y], x - left, y - left, left + right], axis=1) if len(x) else np.zeros((0, 5), np.int64)
-    return np.unique(rows[rows[:, 4] >= least[rows[:, 1]]], axis=0) if len(rows) else rows
+def matches(docs: Suffixes, items: Items) -> np.ndarray:
+    """Rows (text of docs, text of items, length): the longest match of each pair that has one of the least length."""
+    low, own_low, own_high, high = (np.searchsorted(docs.keys, k, side=s) for k, s in ((items.low, "left"), (items.own, "left"), (items.own, "right"), (items.high, "right")))
+    # where both texts begin, or the code points before differ, a match is maximal to the left
+    starts = items.before[items.places] == 0
+    own_low, own_high = np.where(starts, low, own_low), np.where(starts, low, own_high)
+    found = [np.zeros((0, 3), np.int64)]
+    for a, b in ((low, own_low), (own_high, high)):
+        count = b - a
+        ends, start = np.cumsum(count), 0
+        while start < len(count):
+            base = ends[start - 1] if start else 0
+            # one suffix of an item can have more places than are extended at once
+            stop = max(start + 1, int(np.searchsorted(ends, base + _EXTEND, side="right")))
+            n = count[start:stop]
+            which = np.repeat(np.arange(start, stop), n)
+            place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + a[which]
+            for i in range(0, len(which), _EXTEND):
+                x, y = docs.places[place[i : i + _EXTEND]], items.places[which[i : i + _EXTEND]]
+                size = _agreeing(docs, items, x, y)
+                item = items.owner[y]
+                ok = size >= items.least[item]
+                found.append(_longest(np.stack([docs.owner[x[ok]], item[ok], size[ok]], axis=1)))
+            start = stop
+    return _longest(np.concatenate(found))
+
+
+def _longest(rows: np.ndarray) -> np.ndarray:
+    rows = rows[np.lexsort((-rows[:, 2], rows[:, 1], rows[:, 0]))]
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    return rows[first]
+
+
+def parts(text: str, longest: int) -> list[str]:
+    """The letters and digits of a text of extreme length in parts that overlap by more than the longest item, so that every match is whole in one of them."""
+    codes, _ = letters_and_digits([text])
+    bare = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return [bare[i : i + BATCH_CHARS + longest + 1] for i in range(0, len(bare), BATCH_CHARS)]
+
+
+def found_in(texts: list[str], items: Items) -> np.ndarray:
+    """Rows (text, item, length) as matches gives them, with texts of extreme length taken in parts."""
+    long = {i for i, t in enumerate(texts) if len(t) > 2 * BATCH_CHARS}
+    usual = np.array([i for i in range(len(texts)) if i not in long], np.int64)
+    out = [matches(Suffixes([texts[i] for i in usual], items), items)]
+    out[0][:, 0] = usual[out[0][:, 0]]
+    for i in sorted(long):
+        for part in parts(texts[i], items.longest):
+            out.append(matches(Suffixes([part], items, bare=True), items))
+            out[-1][:, 0] = i
+    return _longest(np.concatenate(out))
 
 
 def _least(lang: str | None) -> int:
@@ -100,20 +192,14 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
         if not rows:
             continue
-        least = np.array([_least(r["lang"]) for r in rows])
-        run = int(least.min())
-        index = Suffixes([r["text"] for r in rows], run)
+        items_of_block = Items([r["text"] for r in rows], np.array([_least(r["lang"]) for r in rows]))
         ids = np.array([r["item_id"] for r in rows], np.int64)
 
-        def kernel(batch: pa.RecordBatch, index=index, ids=ids, least=least, run=run) -> dict | None:
-            found = matches(Suffixes(batch.column("text").to_pylist(), run), index, least)
-            if not len(found):
+        def kernel(batch: pa.RecordBatch, index=items_of_block, ids=ids) -> dict | None:
+            rows = found_in(batch.column("text").to_pylist(), index)
+            if not len(rows):
                 return None
-            found = found[np.lexsort((-found[:, 4], found[:, 1], found[:, 0]))]
-            first = np.ones(len(found), bool)
-            first[1:] = (found[1:, :2] != found[:-1, :2]).any(axis=1)
-            found = found[first]
-            return {"doc_id": np.asarray(batch.column("doc_id"))[found[:, 0]], "item_id": ids[found[:, 1]], "n_chars": found[:, 4]}
+            return {"doc_id": np.asarray(batch.column("doc_id"))[rows[:, 0]], "item_id": ids[rows[:, 1]], "n_chars": rows[:, 2]}
 
         part = arrow_map(source, "text", schema, kernel)
         out = part if out is None else out.union(part)

@@ -37,6 +37,32 @@ def test_leaks_against_brute_force(spark):
     assert leakage.leaks(d.limit(0), q).count() == leakage.leaks(d, q.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("unit", ["あ", "いろは"])
+def test_leaks_of_repeats_stay_linear(unit):
+    import time
+
+    import numpy as np
+
+    items = leakage.Items([unit * 1000, "え" * 39, "うえ" * 30 + "あ" * 50], np.array([40, 40, 40]))
+    began = time.time()
+    got = leakage.matches(leakage.Suffixes([unit * (1_000_000 // len(unit)), "短い", unit * 45 + "え" * 45], items), items)
+    assert time.time() - began < 40
+    want = [[0, 0, 1000 * len(unit)], [0, 2, 50], [2, 0, 45 * len(unit)], [2, 2, 45]] if unit == "あ" else [[0, 0, 3000], [2, 0, 135]]
+    assert got.tolist() == want
+
+
+def test_leaks_in_parts(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(6)
+    body = "".join(chr(0x5200 + rng.randrange(900)) + rng.choice(["", "、"]) for _ in range(1000))
+    bare = body.replace("、", "")
+    items = leakage.Items([bare[i : i + 60] for i in range(0, 900, 50)] + [bare[500:539]], np.array([40] * 19))
+    want = leakage.found_in(["x", body], items).tolist()
+    monkeypatch.setattr(leakage, "BATCH_CHARS", 100)
+    assert leakage.found_in(["x", body], items).tolist() == want and len(want) == 18 and all(n == 60 for _, _, n in want)
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(leakage, "BLOCK_CHARS", 100)
     body = "".join(chr(0x4E00 + i) for i in range(100))
