@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from .session import local_session
+from pyspark.sql import SparkSession
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -27,7 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     up.add_argument("-r", "--repo_id", "--repo-id", default="")
     up.add_argument("-t", "--hf_token", "--hf-token", default="")
     up.add_argument("-d", "--dataset_dir", "--dataset-dir", required=True)
-    up.add_argument("-p", "--staging", default="/tmp/corpusloom-upload")
+    up.add_argument("-p", "--staging", help="folder of the staged files; upload_staging in the data set's folder if left out")
     up.add_argument("--private", action="store_true")
     up.add_argument("--include-splits", action="store_true")
     up.add_argument("--dry-run", action="store_true")
@@ -36,9 +36,9 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, client=None, publish=None) -> int:
-    """Runs a command; client and publish replace the HTTP client and the (absent) hub."""
+    """Runs a command in the active session, or in one with the settings of spark-submit; client and publish replace the HTTP client and the hub."""
     args = _parser().parse_args(argv)
-    spark = local_session()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName("corpusloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     from .operators.chat import HttpChat
     from .plans import cpt, qa
     from .settings import CptSettings, Endpoint, QaSettings, load_yaml
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None, client=None, publish=None) -> int:
             sinks.overwrite_json(found.drop("match_reason"), args.output)
         elif args.command == "cpt":
             raw = load_yaml(args.settings_path)
-            settings = CptSettings.of(raw)
+            settings = CptSettings.of({"max_in_flight": Endpoint.of(raw).max_in_flight, **raw})
             thinking = {} if settings.enable_thinking is None else dict.fromkeys(("to_bullet_points", "bullet_points_to_text"), settings.enable_thinking)
             chat = client or (HttpChat(Endpoint.of(raw), thinking) if settings.copyright_mitigation else None)
             print(cpt.build(spark, args.source, settings, chat))
@@ -58,11 +58,13 @@ def main(argv: list[str] | None = None, client=None, publish=None) -> int:
             raw = load_yaml(args.settings_path)
             settings = QaSettings.of(raw)
             endpoint = Endpoint.of(raw, max_retries=8, wait_seconds=0.25)
-            qa.generate(spark, args.source, args.target_key, settings, client or HttpChat(endpoint, dict(settings.thinking)), args.start_index, endpoint.max_in_flight)
+            print(qa.generate(spark, args.source, args.target_key, settings, client or HttpChat(endpoint, dict(settings.thinking)), args.start_index, endpoint.max_in_flight))
         else:
             if not args.dry_run and not args.hf_token:
                 raise FileNotFoundError("a token is needed unless it is a dry run")
-            sinks.stage_upload(spark, args.dataset_dir, args.staging, args.include_splits, publish, args.dry_run).show(truncate=False)
+            publish = publish or sinks.hub_publisher(args.repo_id, args.hf_token, args.private, args.commit_message)
+            staging = args.staging or f"{args.dataset_dir.rstrip('/')}/upload_staging"
+            sinks.stage_upload(spark, args.dataset_dir, staging, args.include_splits, publish, args.dry_run).show(truncate=False)
     except FileNotFoundError as e:
         print(e, file=sys.stderr)
         return 1

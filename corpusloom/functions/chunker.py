@@ -7,7 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import col
+from .text import col, normal_form, text_udf
+from .wikitext import clean
 
 # Separators by priority; the first that occurs in the second half decides, at its last place.
 SEPARATORS = ("\n\n", "\n", "。", "、")
@@ -47,8 +48,29 @@ def chunk_texts(c: Column | str, size: int, overlap: int) -> Column:
     return run(col(c))
 
 
+def body_chunks(c: Column | str, title: Column | str, least: int, size: int, overlap: int) -> Column:
+    """array<string> of the chunks of normalised texts, each with its title before it; empty for null, blank and shorter texts.
+
+    The body is normalised where it is cut: once, in the same pass over the batch.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(bodies: pd.Series, titles: pd.Series) -> pd.Series:
+        out = []
+        for body, name in zip(bodies, titles, strict=True):
+            text = normal_form(body) if body is not None else ""
+            name = name.strip() if name is not None else ""
+            out.append(chunks(f"{name}\n\n{text}" if name else text, size, overlap) if text and len(text) >= least else [])
+        return pd.Series(out)
+
+    return run(col(c), col(title))
+
+
 def register(spark) -> None:
-    """chunk_text(text, size, overlap) as a table function for SQL: rows (chunk_index, chunk)."""
+    """Functions for SQL: chunk_text(text, size, overlap) as a table function with rows (chunk_index, chunk), and the scalars normal_text, clean_wiki and tag_content."""
+    spark.udf.register("normal_text", text_udf(normal_form))
+    spark.udf.register("clean_wiki", text_udf(clean))
+    spark.sql("create or replace temporary function tag_content(t string, tag string) returns string return coalesce(trim(both from substring_index(substring_index(t, concat('<', tag, '>'), -1), concat('</', tag, '>'), 1)), '')")
 
     @F.udtf(returnType="chunk_index: int, chunk: string")
     class ChunkText:

@@ -30,6 +30,12 @@ def normalized(c: Column | str) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(lines, "[ \t]+", " "), "\n{3,}", "\n\n"))
 
 
+def normal_form(text: str) -> str:
+    """The same as normalized, of one text, for kernels that work on batches anyway."""
+    text = re.sub("[ \t]+", " ", re.sub("\r\n?", "\n", text))
+    return re.sub("\n{3,}", "\n\n", text).strip()
+
+
 def with_title(title: Column | str, body: Column | str) -> Column:
     """Title, empty line, body; the body alone where the title is null or blank."""
     name = strip(title)
@@ -82,12 +88,25 @@ def rendered(template: str, values: Mapping[str, Column | str]) -> Column:
 
 
 def random_token(c: Column | str, key: Column | str, seed: int = 0, size: int = 10) -> Column:
-    """Up to size characters of the text, drawn without repetition of a place; the same for the same key and seed."""
+    """Up to size characters of the text, drawn without repetition of a place; the same for the same key and seed.
+
+    The draw is a partial shuffle of the places: the k-th of them comes from a digest of key, k and seed among those that
+    are left, so the work does not grow with the text.
+    """
     text = col(c)
-    places = F.sequence(F.lit(1), F.length(text))
-    drawn = F.transform(places, lambda i: F.struct(F.md5(F.concat_ws(":", col(key).cast("string"), i.cast("string"), F.lit(str(seed)))).alias("o"), F.substring(text, i, F.lit(1)).alias("ch")))
-    token = F.array_join(F.transform(F.slice(F.array_sort(drawn), 1, size), lambda x: x["ch"]), "")
-    return F.when(F.length(text) > 0, token).otherwise("")
+    n = F.length(text)
+
+    def draw(chosen: Column, k: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", col(key).cast("string"), k.cast("string"), F.lit(str(seed))))
+        rest = n - F.size(chosen)
+        rank = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") % F.greatest(rest, F.lit(1))
+        # the rank-th place that is not taken: go through the taken ones in order and step over those before it
+        place = F.aggregate(F.array_sort(chosen), rank.cast("int"), lambda p, taken: F.when(taken <= p, p + 1).otherwise(p))
+        return F.when(rest > 0, F.concat(chosen, F.array(place))).otherwise(chosen)
+
+    places = F.aggregate(F.sequence(F.lit(1), F.lit(size)), F.array().cast("array<int>"), draw)
+    token = F.array_join(F.transform(places, lambda p: F.substring(text, p + 1, F.lit(1))), "")
+    return F.when(n > 0, token).otherwise("")
 
 
 def chat_messages(question: Column | str, thinking: Column | str, answer: Column | str) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.chunker import chunk_texts
-from ..functions.text import fallback_id, normalized, strip, with_title
+from ..functions.chunker import body_chunks
+from ..functions.text import fallback_id, strip
 
 #: Rows of a key side that may be broadcast; beyond it the anti-join is shuffled.
 BROADCAST_KEYS = 2_000_000
@@ -28,9 +28,9 @@ def candidates(entries: DataFrame, target: str = "content", title: str = "title"
 
     Null targets and bodies shorter than min_chars (after normalising, before the title) have none.
     """
-    body = entries.withColumn("_body", normalized(target)).where((F.length("_body") > 0) & (F.length("_body") >= min_chars))
-    text = with_title(title, "_body") if include_title else F.col("_body")
-    return body.select(*[c for c in entries.columns if c != target], F.posexplode(chunk_texts(text, max_chars, overlap_chars)).alias("chunk_index", "chunk"))
+    kept = [c for c in entries.columns if c != target]
+    name = F.col(title) if include_title else F.lit(None).cast("string")
+    return entries.select(*kept, F.posexplode(body_chunks(target, name, min_chars, max_chars, overlap_chars)).alias("chunk_index", "chunk"))
 
 
 def pending_entries(entries: DataFrame, processed: DataFrame, key: str = "entry_id") -> DataFrame:

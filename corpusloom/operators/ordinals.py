@@ -31,12 +31,8 @@ def shuffle_key(*columns: str, seed: int = 42) -> Column:
 
 
 def shuffled(df: DataFrame, by: list[str], seed: int = 42, name: str = "ordinal") -> DataFrame:
-    """Rows in seeded random order, numbered from 1: ranges of the key's first characters are numbered apart."""
-    rows = df.withColumn("_key", shuffle_key(*by, seed=seed)).withColumn("_part", F.substring("_key", 1, 2))
-    w = Window.partitionBy("_part").orderBy("_key", *by)
-    sizes = rows.groupBy("_part").agg(F.count("*").alias("_size"))
-    offsets = sizes.select("_part", F.expr("sum(_size) over (order by _part) - _size").alias("_before"))  # 256 rows at most
-    return rows.withColumn("_in", F.row_number().over(w)).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_in")).drop("_key", "_part", "_in", "_before")
+    """Rows in seeded random order, numbered from 1, by ranges whose number grows with the rows."""
+    return with_ordinal(df, [shuffle_key(*by, seed=seed), *by], name)
 
 
 def split_size(n: int, ratio: float) -> int:
@@ -48,7 +44,8 @@ def split_size(n: int, ratio: float) -> int:
 def train_validation(df: DataFrame, by: list[str], ratio: float = 0.98, seed: int = 42, shuffle: bool = True) -> DataFrame:
     """df with its ordinal and split: the first split_size rows in seeded (or given) order are train, the rest validation."""
     rows = shuffled(df, by, seed) if shuffle else with_ordinal(df, list(by))
-    return rows.withColumn("split", F.when(F.col("ordinal") <= split_size(df.count(), ratio), "train").otherwise("validation"))
+    # the rows are a written table, so their number is read from its footers
+    return rows.withColumn("split", F.when(F.col("ordinal") <= split_size(rows.count(), ratio), "train").otherwise("validation"))
 
 
 def batches(df: DataFrame, size: int, ordinal: str = "ordinal", start: int = 1, drop_last: bool = False) -> DataFrame:
@@ -61,7 +58,22 @@ def batches(df: DataFrame, size: int, ordinal: str = "ordinal", start: int = 1,
 
 
 def lead_pairs(df: DataFrame, text: str, order: str, group: list[str]) -> DataFrame:
-    """Each text with the next one of its group after an empty line, and the places of both; the last one with nothing."""
-    w = Window.partitionBy(*group).orderBy(order)
-    pair = F.concat(F.coalesce(F.col(text), F.lit("")), F.lit("\n\n"), F.coalesce(F.lead(text).over(w), F.lit("")))
-    return df.select(*group, order, pair.alias("pair"), F.array(F.col(order), F.col(order) + 1).alias("sources"))
+    """Each text with the next one of its group after an empty line, and the places of both; the last one with nothing.
+
+    Rows are range-partitioned by group and order, so a frequent group is spread over many tasks. The next row of a
+    partition's last one is the first row of the next partition that has any: one row per partition, carried over.
+    """
+    keys = [*group, order]
+    rows = df.select(*keys, F.col(text).alias("_text")).repartitionByRange(*keys)
+    rows = written(rows.sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id()), "ranges")
+    w = Window.partitionBy("_part").orderBy(*keys)
+    following = F.lead(F.struct(*group, F.lit(True).alias("_is"), "_text")).over(w).alias("_next")
+    inner = rows.select("*", following)
+    heads = rows.groupBy("_part").agg(F.min_by(F.struct(*group, F.lit(True).alias("_is"), "_text"), F.struct(*keys)).alias("_head"))  # a row per partition
+    heads = heads.select((F.lag("_part").over(Window.orderBy("_part"))).alias("_part"), "_head").where("_part is not null")
+    joined = inner.join(F.broadcast(heads), "_part", "left").withColumn("_next", F.coalesce("_next", "_head"))
+    same = F.col("_next._is").isNotNull()
+    for c in group:
+        same = same & F.col(f"_next.{c}").eqNullSafe(F.col(c))
+    pair = F.concat(F.coalesce("_text", F.lit("")), F.lit("\n\n"), F.when(same, F.coalesce("_next._text", F.lit(""))).otherwise(""))
+    return joined.select(*keys, pair.alias("pair"), F.array(F.col(order), F.col(order) + 1).alias("sources"))

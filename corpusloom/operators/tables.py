@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -14,14 +15,45 @@ def _own_dir(_application: str) -> str:
     return f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = file_system(spark, path)
+    return system.exists(target)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder; nothing happens where there is none."""
+    system, target = file_system(spark, path)
+    system.delete(target, True)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, and only where that is unset (tests) a folder of this machine."""
+    """spark.checkpoint.dir; where that is unset, a folder of this machine for a local master, and an error for a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if found is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
     return (found or _own_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 
+@functools.lru_cache
+def _application_dir(shared: str, application: str) -> str:
+    spark = SparkSession.getActiveSession()
+    base = f"{shared}/corpusloom/{application}"
+    # results read these tables lazily, so they stay until the application ends
+    system, target = file_system(spark, base)
+    system.mkdirs(target)
+    system.deleteOnExit(target)
+    return base
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder; it is deleted when the application ends."""
+    return f"{_application_dir(shared_dir(spark), spark.sparkContext.applicationId)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Named queries over the driver's tables and the SQL that must give the same rows.
 
-Each query runs an operator over its whole tables. Where SQL cannot state an operator (nested markup, model
-chains in Python, streams) there is no SQL; those are tested against small cases in tests/.
+Each query runs an operator over its whole tables. Markup that SQL cannot parse is put around every text in a known form, so that
+the result follows from the text.
 """
 
 from __future__ import annotations
@@ -144,10 +144,13 @@ def render_prompt(spark, sf_dir):
     return q.select("item_id", tx.rendered("Q: {question} {{x}} A: {answer}", {"question": "question", "answer": "answer", "unused": "eval"}).alias("prompt"))
 
 
-@query("""select id, string_agg(ch, '' order by o, ch) as token from (
-            select id, md5(id || ':' || i || ':0') as o, substring(context, i, 1) as ch, row_number() over (partition by id order by md5(id || ':' || i || ':0')) as r
-            from (select id, context, unnest(generate_series(1, length(context))) as i from dummy where length(context) > 0)
-          ) where r <= 10 group by id""")
+@query("""with recursive r as (
+            select id, context, length(context) as n, 0 as k, []::bigint[] as chosen from dummy where length(context) > 0
+            union all
+            select id, context, n, k + 1, case when n > len(chosen) then list_append(chosen, list_reduce(
+                list_prepend(('0x' || substring(md5(id || ':' || (k + 1) || ':0'), 1, 12))::bigint % greatest(n - len(chosen), 1), list_sort(chosen)), lambda p, taken: case when taken <= p then p + 1 else p end)) else chosen end
+            from r where k < 10)
+          select id, array_to_string(list_transform(chosen, lambda p: substring(context, p + 1, 1)), '') as token from r where k = 10""")
 def random_tokens(spark, sf_dir):
     d = _t(spark, sf_dir, "dummy").where("length(context) > 0")
     return d.select("id", tx.random_token("context", "id").alias("token"))
@@ -214,21 +217,50 @@ def strip_markup_and_residue(spark, sf_dir):
     return _pages(spark, sf_dir).select("doc_id", wt.strip_residue(wt.strip_markup("text")).alias("text"))
 
 
-@query()
+def _sql_lines(x: str) -> str:
+    """Lines without their marks, by the definition: one list of lines, each by cases."""
+    line, bare = _sql_strip("l"), _sql_strip("regexp_replace(l, '^[*:;#]+', '')")
+    shown = f"""case when regexp_full_match(l, '={{2,6}}\\s*(.*?)\\s*={{2,6}}') then regexp_extract(l, '^={{2,6}}\\s*(.*?)\\s*={{2,6}}$', 1)
+        when {bare}[1] = '|' then '' when {bare}[1] = '!' then substring({bare}, 2) else {bare} end"""
+    collapsed = _sql_strip(f"regexp_replace({shown}, '{_W}+', ' ', 'g')")
+    kept = f"case when l = '' then '' when regexp_matches(l, '(?i)\\.(jpg|jpeg|png|svg|gif|webp)\\s*(\\||$)') then null else nullif({collapsed}, '') end"
+    lines = f"list_filter(list_transform(list_transform(string_split({x}, chr(10)), lambda l: {line}), lambda l: {kept}), lambda l: l is not null)"
+    return _sql_strip(f"regexp_replace(array_to_string({lines}, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+@query(f"""select cast(doc_id as varchar) as id, title, content from (select doc_id, p.title, {_sql_lines("d.text || chr(10) || 'sx'")} as content
+    from {_SQL_REASON} r join {_SQL_PAGES} p using (doc_id) join documents d using (doc_id) where match_reason is not null) where content <> ''""")
 def clean_wiki_text(spark, sf_dir):
     return wiki.articles(_pages(spark, sf_dir), _KEYWORD).select("id", "title", "content")
 
 
-def _kernel_query(name: str, kernel):
+def _around(name: str, kernel, before: str, after: str, sql: str) -> None:
+    """Registers a kernel over all texts with markup before and after them; sql gives the result from the bare text."""
+
     def run(spark, sf_dir):
-        return _pages(spark, sf_dir).select("doc_id", tx.text_udf(kernel)("text").alias("text"))
+        d = _t(spark, sf_dir, "documents").where("text is not null")
+        return d.select("doc_id", tx.text_udf(kernel)(F.concat(F.lit(before), "text", F.lit(after))).alias("text"))
 
     run.__name__ = name
-    query()(run)
-
-
-for _name, _kernel in (("drop_tail_sections", wt.without_tail_sections), ("strip_file_links", wt.without_file_links), ("simplify_links", lambda t: wt.plain_links(wt.plain_external_links(t))), ("remove_templates", lambda t: wt.without_blocks(wt.without_blocks(t, "{|", "|}"), "{{", "}}")), ("normalize_lines", wt.plain_lines), ("unescape_entities", wt.unescaped)):
-    _kernel_query(_name, _kernel)
+    query(f"select doc_id, {sql} as text from documents where text is not null")(run)
+
+
+_BOLD = 3 * chr(39)
+_TAIL_BEFORE, _TAIL_AFTER = "導入\n== 歴史 ==\n", "\n=== 脚注 ===\n捨\n==== 細目 ====\n捨\n== 地理 ==\n末尾\n== 参考文献 ==\n捨"
+_FILES_BEFORE, _FILES_AFTER = "[[ファイル:a.jpg|thumb|[[x]]の図]]", "[[File:b.png]][[:画像:c.svg|d]] [[記事|名]] [[閉じない"
+_LINKS_BEFORE, _LINKS_AFTER = "[[記事]]と[[記事|名]]と[[記事#節]]と[[:記事2]]と[[外|[[内|中]]の]]。[[Category:x]]", "[https://a.example/x 外部][https://b.example]https://c.example/y 終"
+_BLOCKS_BEFORE, _BLOCKS_AFTER = '{| class="x"\n|-\n| {{t|{{u}}}}\n|}{{v|[[w]]}}', "}}x{{開いたまま y"
+_LINES_BEFORE, _LINES_AFTER = "  * 項目  1\n== 見出し ==\n|- 行\n! 表頭\na.jpg\n\n\n\n", "\n#; 番号\n"
+_around("drop_tail_sections", wt.without_tail_sections, _TAIL_BEFORE, _TAIL_AFTER, "'導入' || chr(10) || '== 歴史 ==' || chr(10) || text || chr(10) || '== 地理 ==' || chr(10) || '末尾'")
+_around("strip_file_links", wt.without_file_links, _FILES_BEFORE, _FILES_AFTER, "text || ' [[記事|名]] [[閉じない'")
+_around("simplify_links", lambda t: wt.plain_links(wt.plain_external_links(t)), _LINKS_BEFORE, _LINKS_AFTER, "'記事と名と節と記事2と中の。' || text || '外部 終'")
+_around("remove_templates", lambda t: wt.without_blocks(wt.without_blocks(t, "{|", "|}"), "{{", "}}"), _BLOCKS_BEFORE, _BLOCKS_AFTER, "text || '}}x'")
+_around("normalize_lines", wt.plain_lines, _LINES_BEFORE, _LINES_AFTER, _sql_lines("'項目 1' || chr(10) || '見出し' || chr(10) || '表頭' || chr(10) || chr(10) || text || chr(10) || '番号'"))
+_around("unescape_entities", wt.unescaped, "&amp;&lt;b&gt;&quot;&#39;&#x3042;", "\r\nx\ry&amp;lt;", """'&<b>"''あ' || text || chr(10) || 'x' || chr(10) || 'y&lt;'""")
+_around(
+    "clean_rich_article", wt.clean, f"{_FILES_BEFORE}{_BOLD}題{_BOLD}<ref>r</ref>&amp;\n{_BLOCKS_BEFORE}\n== 見出し ==\n* [[記事|名]] [https://a.example/x 外部]\n", f"\n[[Category:x]]\n{_TAIL_AFTER.removeprefix(chr(10))}",
+    _sql_lines("'題&' || chr(10) || chr(10) || '見出し' || chr(10) || '名 外部' || chr(10) || text || chr(10) || chr(10) || '地理' || chr(10) || '末尾'"),
+)
 
 
 # --- duplicates, resume, completion ------------------------------------------------------------------------------
@@ -272,25 +304,35 @@ _SQL_OUTCOME = """(select id as entry_id, chunk_index, text is not null as saved
     union all select entry_id, chunk_index, false, true from cpt_failure where entry_id is not null)"""
 
 
+# a chunk that was saved or failed several times is one candidate; an entry has as many as its highest chunk number says
+_SQL_DONE = f"""(select entry_id from (select entry_id, chunk_index, bool_or(saved) as saved, bool_or(failed) as failed from {_SQL_OUTCOME} group by all)
+    group by entry_id having count(*) >= max(chunk_index) + 1 and bool_or(saved) and not bool_or(failed))"""
+
+
 def _outcome(spark, sf_dir) -> DataFrame:
     ok = _chunks(spark, sf_dir).where("entry_id is not null").select("entry_id", "chunk_index", F.col("text").isNotNull().alias("saved"), F.lit(False).alias("failed"))
     bad = _t(spark, sf_dir, "cpt_failure").where("entry_id is not null").select("entry_id", "chunk_index", F.lit(False).alias("saved"), F.lit(True).alias("failed"))
-    both = ok.union(bad)
-    return both.join(entries.candidates_per_entry(both), "entry_id")
+    return ok.union(bad)
+
+
+def _done(outcome: DataFrame) -> DataFrame:
+    chunks = outcome.groupBy("entry_id", "chunk_index").agg(F.bool_or("saved").alias("saved"), F.bool_or("failed").alias("failed"))
+    candidates = outcome.groupBy("entry_id").agg((F.max("chunk_index") + 1).alias("n_candidates"))
+    return entries.completed_entries(chunks.join(candidates, "entry_id"))
 
 
-@query(f"select entry_id from {_SQL_OUTCOME} group by entry_id having bool_or(saved) and not bool_or(failed)")
+@query(f"select entry_id from {_SQL_DONE}")
 def entry_completion_gate(spark, sf_dir):
-    return entries.completed_entries(_outcome(spark, sf_dir))
+    return _done(_outcome(spark, sf_dir))
 
 
-@query(f"""with o as (select entry_id, chunk_index, failed from {_SQL_OUTCOME}), d as (select entry_id from {_SQL_OUTCOME} group by entry_id having bool_or(saved) and not bool_or(failed))
+@query(f"""with o as (select entry_id, chunk_index, failed from {_SQL_OUTCOME}), d as (select entry_id from {_SQL_DONE})
     select chunk_index as batch, count(*) as input_records, count(*) filter (not failed) as output_chunks, count(*) filter (failed) as failed_chunks,
     coalesce(string_agg(distinct d.entry_id, ',' order by d.entry_id), '') as cached_ids from o left join d using (entry_id) group by chunk_index""")
 def batch_status(spark, sf_dir):
     o = _outcome(spark, sf_dir)
     rows = o.withColumn("error", F.when(F.col("failed"), "x")).withColumn("batch", F.col("chunk_index"))
-    return cpt.batch_status(rows, entries.completed_entries(o)).withColumn("cached_ids", F.array_join("cached_ids", ","))
+    return cpt.batch_status(rows, _done(o)).withColumn("cached_ids", F.array_join("cached_ids", ","))
 
 
 @query("select failed_step, count(*) as n from cpt_failure group by failed_step union all select cast(failed_step as varchar), count(*) from qa_failure group by failed_step")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cache_key, strip
 from ..operators import chat, dedup, entries, ordinals
+from ..operators.tables import removed
 from ..settings import CptSettings
 from ..sources import files, sinks
 
@@ -45,14 +46,19 @@ def rewrite_chain(settings: CptSettings):
     return chain
 
 
-def outcomes(candidates: DataFrame, settings: CptSettings, client: chat.ChatClient | None) -> DataFrame:
-    """Candidates with their outcome. Without mitigation no model is called and the plan has no Python step for it."""
+def outcomes(candidates: DataFrame, settings: CptSettings, client: chat.ChatClient | None, saved_at: str | None = None, counters: chat.RunCounters | None = None) -> DataFrame:
+    """Candidates with their outcome. Without mitigation no model is called and the plan has no Python step for it.
+
+    With saved_at the results are appended to a table there in batches, and those it has are not asked for again.
+    """
     if not settings.copyright_mitigation:
         none = F.lit(None).cast("string")
         return candidates.withColumns({"generated": F.col("chunk"), "bullet_points": F.lit(""), "failed_step": none, "error": none, "fell_back": F.lit(False)})
     if client is None:
         raise ValueError("copyright_mitigation needs a chat client")
-    return chat.run_chain(candidates, client, rewrite_chain(settings), _OUTCOME)
+    if saved_at is None:
+        return chat.run_chain(candidates, client, rewrite_chain(settings), _OUTCOME, settings.max_in_flight, counters)
+    return chat.run_saved(candidates, client, rewrite_chain(settings), _OUTCOME, saved_at, ["entry_id", "chunk_index", "chunk"], settings.max_in_flight, settings.batch_rows, counters)
 
 
 def saved_chunks(outcome: DataFrame, settings: CptSettings, model: str = "") -> DataFrame:
@@ -104,28 +110,32 @@ def batch_status(outcome: DataFrame, done: DataFrame, batch: str = "batch") -> D
 def build(spark: SparkSession, source: str, settings: CptSettings, client: chat.ChatClient | None = None) -> dict:
     """One run over a source path into settings.output_path; a rerun takes up only what isn't completed.
 
-    Folders: all.jsonl (appended), all.failures.jsonl, train.jsonl and validation.jsonl (rewritten), processed_ids.txt,
-    stats.json. Model results are written before they are split into saved rows and failures.
+    Folders: all.jsonl (appended), all.failures.jsonl, batch_status.jsonl (appended, a row per batch of candidates),
+    train.jsonl and validation.jsonl (rewritten), processed_ids.txt, stats.json. Model results are kept in .work as they
+    come, before they are split into saved rows and failures; the folder is deleted at the end of a run.
     """
     out = settings.output_path.rstrip("/")
     found = entries.with_entry_id(files.entries(spark, source, settings.target_key, settings.id_key, settings.title_key), "id", "title", settings.target_key)
     done = files.read_keys(spark, f"{out}/processed_ids.txt")
     pending = entries.pending_entries(found, done)
     candidates = entries.candidates(pending, settings.target_key, "title", settings.include_title, settings.min_chars, settings.max_chars, settings.overlap_chars)
-    outcome = outcomes(candidates.select("entry_id", "id", "title", "source_file", "chunk_index", "chunk"), settings, client)
-    work = f"{out}/.work"
-    outcome.write.mode("overwrite").parquet(work)
-    outcome = spark.read.parquet(work)
+    candidates = candidates.select("entry_id", "id", "title", "source_file", "chunk_index", "chunk")
+    work, counters = f"{out}/.work", chat.RunCounters(spark)
+    outcome = outcomes(candidates, settings, client, f"{work}/calls", counters)
+    outcome.write.mode("overwrite").parquet(f"{work}/outcome")
+    outcome = spark.read.parquet(f"{work}/outcome")
     model = client.model if client else ""
     saved = spark.read.json(f"{out}/all.jsonl", schema=f"`{settings.text_key}` string") if sinks.exists(spark, f"{out}/all.jsonl") else None
     fresh = deduplicated(saved_chunks(outcome, settings, model), settings, saved)
     per_entry = entries.candidates_per_entry(outcome)
     state = outcome.join(per_entry, "entry_id").join(fresh.select("entry_id", "chunk_index", F.lit(True).alias("_saved")), ["entry_id", "chunk_index"], "left")
     completed = entries.completed_entries(state, saved=F.coalesce("_saved", F.lit(False)), failed=F.col("error").isNotNull())
-    completed.write.mode("overwrite").parquet(f"{work}.done")
-    completed = spark.read.parquet(f"{work}.done")
+    completed.write.mode("overwrite").parquet(f"{work}/done")
+    completed = spark.read.parquet(f"{work}/done")
     sinks.append_json(fresh.drop("entry_id"), f"{out}/all.jsonl")
     sinks.append_json(failures(outcome, model), f"{out}/all.failures.jsonl")
+    numbered = ordinals.with_ordinal(outcome.select("entry_id", "chunk_index", "error"), ["entry_id", "chunk_index"])
+    sinks.append_json(batch_status(ordinals.batches(numbered, settings.batch_rows), completed), f"{out}/batch_status.jsonl")
     sinks.append_keys(completed.select(cache_key("entry_id").alias("value")), f"{out}/processed_ids.txt")
     columns = f"`{settings.text_key}` string, id string, title string, source_file string, chunk_index int, copyright_mitigation boolean, cpt_generator string, bullet_points string, original_text string"
     everything = spark.read.json(f"{out}/all.jsonl", schema=columns)
@@ -133,4 +143,6 @@ def build(spark: SparkSession, source: str, settings: CptSettings, client: chat.
     for part in ("train", "validation"):
         sinks.overwrite_json(split.where(F.col("split") == part).orderBy("ordinal").drop("ordinal", "split"), f"{out}/{part}.jsonl")
     failed = spark.read.json(f"{out}/all.failures.jsonl", schema="error string")
-    return sinks.write_stats(statistics(found, split, failed), f"{out}/stats.json")
+    stats = sinks.write_stats(spark, statistics(found, split, failed), f"{out}/stats.json", {"calls": counters.as_dict()} if settings.copyright_mitigation else {})
+    removed(spark, work)
+    return stats

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import chat
+from ..sources import sinks
 
 
 def rewritten(df: DataFrame, targets: str | list[str], template: str, client: chat.ChatClient, max_in_flight: int = 4, sentinel_to_null: bool = False) -> DataFrame:
@@ -30,6 +31,14 @@ def rewritten(df: DataFrame, targets: str | list[str], template: str, client: ch
     return made.drop(*[f"_new_{n}" for n in names]).withColumn("generator", F.lit(client.model))
 
 
+def append_result(df: DataFrame, source: str, output_path: str) -> str:
+    """Appends rewritten rows to dialect_<stem of the source>.jsonl below output_path and returns that path."""
+    stem = source.rstrip("/").rpartition("/")[2].partition(".")[0]
+    path = f"{output_path.rstrip('/')}/dialect_{stem}.jsonl"
+    sinks.append_json(df, path)
+    return path
+
+
 def keys_consistent(df: DataFrame, targets: list[str], source: str) -> DataFrame:
     """Rows in which a target is null though its source is not; empty if every rewrite came back."""
     lost = F.lit(False)

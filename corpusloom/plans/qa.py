@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import cache_key, chat_messages, random_token
 from ..operators import chat, entries, ordinals
+from ..operators.tables import removed
 from ..settings import QaSettings
 from ..sources import files, sinks
 
@@ -137,27 +137,35 @@ def save_guard(strict: bool = False) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def generate(spark: SparkSession, source: str, target: str, settings: QaSettings, client: chat.ChatClient, start_index: int = 1, max_in_flight: int = 4) -> None:
-    """Saved rows by source_stem, failures beside them, and keys of what was saved; a rerun takes up the rest."""
+def generate(spark: SparkSession, source: str, target: str, settings: QaSettings, client: chat.ChatClient, start_index: int = 1, max_in_flight: int = 4) -> dict[str, int]:
+    """Saved rows, failures beside them, and keys of what was saved; a rerun takes up the rest. Returns the run's counters.
+
+    Everything is kept apart by group: the folder of a text, the stem of a JSON file. A record without id gets one from its
+    source and a digest of its text, the same in every run. Results of calls are kept in .work as they come, so a
+    killed run repeats no more than a batch of them.
+    """
     out = settings.output_path.rstrip("/")
-    texts, records = files.discover_by_kind(source)
+    texts, records = files.discover_by_kind(source, spark)
     if not texts and not records:
         raise FileNotFoundError(f"no source files in {source}")
     rows = files.entries(spark, source, target).withColumn("chunk_index", F.lit(None).cast("int"))
     if records:
         rows = rows.withColumn("chunk_index", F.try_variant_get(F.try_parse_json("record"), "$.chunk_index", "int"))
     stem = F.regexp_replace(F.element_at(F.split("source_file", "/"), -1), r"\.[^.]*$", "")
-    rows = rows.withColumn("source_stem", stem).withColumn("id", F.coalesce("id", F.concat_ws(":", "source_stem", F.col("ordinal").cast("string"))))
+    rows = rows.withColumn("source_stem", stem).withColumn("group", F.coalesce("book", "source_stem"))
+    rows = rows.withColumn("id", F.coalesce("id", F.concat_ws(":", "source_stem", F.substring(F.sha2(F.coalesce("record", target), 256), 1, 16))))
     rows = entries.pending_chunks(rows, files.read_keys(spark, f"{out}/processed_keys.txt"))
-    rows = rows.select("id", "chunk_index", "source_stem", F.array("source_file").alias("source_files"), F.col(target).alias("text"), "ordinal")
-    work = f"{out}/.work"
-    outcomes(items(rows, ["source_stem", "ordinal", "id"], "text", start_index, settings.seed), settings, client, max_in_flight).write.mode("overwrite").parquet(work)
-    outcome = spark.read.parquet(work)
-    stems = outcome.select("item_id", "source_stem")
-    saved = results(outcome, client.model)
-    sinks.append_json(saved.join(stems, "item_id"), f"{out}/rows.jsonl", by="source_stem")
-    sinks.append_json(failures(outcome, client.model), f"{out}/failures.jsonl")
+    rows = rows.select("id", "chunk_index", "group", "source_stem", F.array("source_file").alias("source_files"), F.col(target).alias("text"), "ordinal")
+    work, counters = f"{out}/.work", chat.RunCounters(spark)
+    numbered = items(rows, ["source_stem", "ordinal", "id"], "text", start_index, settings.seed)
+    outcome = chat.run_saved(numbered, client, qa_chain(settings), _RESULT, f"{work}/calls", ["source_stem", "ordinal", "id", "chunk_index", "text"], max_in_flight, settings.batch_rows, counters)
+    outcome.write.mode("overwrite").parquet(f"{work}/outcome")
+    outcome = spark.read.parquet(f"{work}/outcome")
+    groups = outcome.select("item_id", "group")
+    saved = results(outcome, client.model).join(groups, "item_id")
+    sinks.append_json(saved, f"{out}/rows.jsonl", by="group")
+    sinks.append_json(failures(outcome, client.model).join(groups, "item_id"), f"{out}/failures.jsonl", by="group")
     keyed = outcome.where("error is null") if settings.cache_unsaved else saved
-    sinks.append_keys(keyed.select(cache_key("id", "chunk_index").alias("value")), f"{out}/processed_keys.txt")
-
-
+    sinks.append_keys(keyed.select(cache_key("id", "chunk_index").alias("value"), "group"), f"{out}/processed_keys.txt", by="group")
+    removed(spark, work)
+    return counters.as_dict()

@@ -92,12 +92,16 @@ class CptSettings:
     copyright_failure_policy: str = "fail"
     keep_intermediate: bool = False
     enable_thinking: bool | None = None
+    max_in_flight: int = 4
+    batch_rows: int = 5000  # results that are saved at once
     output_path: str = "./test_output/cpt"
     prompts: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.max_chars <= 0 or not 0 <= self.overlap_chars < self.max_chars:
             raise ValueError("max_chars must be positive and overlap_chars between 0 and max_chars")
+        if self.max_in_flight < 1 or self.batch_rows < 1:
+            raise ValueError("max_in_flight and batch_rows must be positive")
         if not 0 < self.train_ratio <= 1:
             raise ValueError("train_ratio must be above 0 and at most 1")
 
@@ -109,7 +113,7 @@ class CptSettings:
     @classmethod
     def of(cls, raw: Mapping[str, Any]) -> CptSettings:
         known = {f.name for f in fields(cls)} - {"prompts"}
-        named = {**raw, "enable_thinking": optional_bool(raw.get("cpt_enable_thinking"))}
+        named = {"max_in_flight": raw.get("batch_size"), **raw, "enable_thinking": optional_bool(raw.get("cpt_enable_thinking"))}
         return cls(**{k: v for k, v in named.items() if k in known and (v is not None or k == "enable_thinking")}, prompts=load_prompts(raw.get("prompts") or []))
 
 
@@ -122,10 +126,11 @@ class QaSettings:
     seed: int = 0
     output_path: str = "./json_output/qa"
     cache_unsaved: bool = False  # also remember keys of rows that were not saved
+    batch_rows: int = 5000  # results that are saved at once
 
     @classmethod
     def of(cls, raw: Mapping[str, Any]) -> QaSettings:
-        return cls(prompts=load_prompts(raw.get("prompts") or []), thinking=thinking_switches(raw.get("thinking_enabled_by_step")), seed=int(raw.get("seed", 0)), output_path=raw.get("output_path", cls.output_path))
+        return cls(prompts=load_prompts(raw.get("prompts") or []), thinking=thinking_switches(raw.get("thinking_enabled_by_step")), seed=int(raw.get("seed", 0)), output_path=raw.get("output_path", cls.output_path), batch_rows=int(raw.get("batch_rows") or cls.batch_rows))
 
 
 def load_prompts(entries: list[Mapping[str, str]], lenient: bool = False) -> dict[str, str]:

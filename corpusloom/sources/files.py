@@ -8,13 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.tables import exists, file_system
 
 # Suffixes of source files.
 JSON_SUFFIXES, TEXT_SUFFIXES = (".json", ".jsonl"), (".txt", ".md")
 
 
-def discover(path: str | Path) -> list[str]:
-    """A file, or the source files below a folder in the order of their paths. Metadata only; on the driver."""
+def _listed(spark: SparkSession, path: str) -> list[str] | None:
+    """The files at or below a path of any file system; null where there is none. Metadata only; on the driver."""
+    system, target = file_system(spark, path)
+    if not system.exists(target):
+        return None
+    if system.getFileStatus(target).isFile():
+        return [path]
+    found, files = [], system.listFiles(target, True)
+    while files.hasNext():
+        found.append(str(files.next().getPath().toString()))
+    return sorted(found)
+
+
+def discover(path: str | Path, spark: SparkSession | None = None) -> list[str]:
+    """A file, or the source files below a folder in the order of their paths. Paths with a scheme need the session."""
+    if "://" in str(path):
+        listed = _listed(spark or SparkSession.active(), str(path))
+        if listed is None:
+            raise FileNotFoundError(f"no such source: {path}")
+        return listed if listed == [str(path)] else [p for p in listed if p.lower().endswith(JSON_SUFFIXES + TEXT_SUFFIXES)]
     root = Path(path)
     if root.is_file():
         return [str(root)]
@@ -23,10 +42,10 @@ def discover(path: str | Path) -> list[str]:
     return sorted(str(p) for p in root.rglob("*") if p.is_file() and p.suffix.lower() in JSON_SUFFIXES + TEXT_SUFFIXES)
 
 
-def discover_by_kind(path: str | Path) -> tuple[list[str], list[str]]:
+def discover_by_kind(path: str | Path, spark: SparkSession | None = None) -> tuple[list[str], list[str]]:
     """Text files and JSON files; both empty where the path doesn't exist or has another suffix."""
     try:
-        found = discover(path)
+        found = discover(path, spark)
     except FileNotFoundError:
         return [], []
     return tuple([p for p in found if Path(p).suffix.lower() in kinds] for kinds in (TEXT_SUFFIXES, JSON_SUFFIXES))
@@ -92,20 +111,22 @@ def field(name: str, kind: str = "string") -> Column:
 
 
 def entries(spark: SparkSession, path: str, target: str = "content", id_key: str = "id", title_key: str = "title") -> DataFrame:
-    """(id, title, <target>, source_file, ordinal, record) of all source files below a path, one union over the formats.
+    """(id, title, <target>, source_file, ordinal, record, book) of all source files below a path, one union over the formats.
+
+    book is the folder of a text, null for records.
 
     Only the target must be a string; ids of another type are cast. A record's own source_file wins over the path.
     """
-    found, parts = discover(path), []
+    found, parts = discover(path, spark), []
     by = {s: [p for p in found if p.lower().endswith(s)] for s in JSON_SUFFIXES + TEXT_SUFFIXES}
     for reader, paths in ((read_json_lines, by[".jsonl"]), (read_json_documents, by[".json"])):
         if paths:
             ident = F.try_variant_get("value", f"$['{id_key}']", "string")
-            parts.append(reader(spark, paths).select(ident.alias("id"), field(title_key).alias("title"), field(target).alias(target), F.coalesce(field("source_file"), "source_file").alias("source_file"), "ordinal", "record"))
+            parts.append(reader(spark, paths).select(ident.alias("id"), field(title_key).alias("title"), field(target).alias(target), F.coalesce(field("source_file"), "source_file").alias("source_file"), "ordinal", "record", F.lit(None).cast("string").alias("book")))
     if texts := by[".txt"] + by[".md"]:
-        parts.append(read_texts(spark, texts, target).drop("book").withColumns({"ordinal": F.lit(0).cast("long"), "record": F.lit(None).cast("string")}))
+        parts.append(read_texts(spark, texts, target).withColumns({"ordinal": F.lit(0).cast("long"), "record": F.lit(None).cast("string")}))
     if not parts:
-        return spark.createDataFrame([], f"id string, title string, `{target}` string, source_file string, ordinal long, record string")
+        return spark.createDataFrame([], f"id string, title string, `{target}` string, source_file string, ordinal long, record string, book string")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -124,7 +145,7 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 def read_keys(spark: SparkSession, path: str) -> DataFrame:
     """(cache_key): the distinct non-blank lines of a key list, stripped at the ends only. A missing list is empty."""
-    if "://" not in path and not Path(path).exists():
+    if not exists(spark, path):
         return spark.createDataFrame([], "cache_key string")
     return spark.read.text(path).select(strip("value").alias("cache_key")).where("cache_key <> ''").distinct()
 

@@ -7,7 +7,8 @@ import pytest
 HERE = Path(__file__).resolve().parent
 sys.path.insert(0, str(HERE.parent))
 # the workers import the package, and the tests' own functions, by name
-os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE.parent), str(HERE), str(HERE / "llm"), os.environ.get("PYTHONPATH", "")])
+folders = [HERE.parent, HERE, *(p for p in HERE.iterdir() if p.is_dir())]
+os.environ["PYTHONPATH"] = os.pathsep.join([*map(str, folders), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")

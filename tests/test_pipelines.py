@@ -1,6 +1,7 @@
 import http.server
 import json
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,57 @@ def test_qa_files_resume(spark, tmp_path):
     assert keys(spark, tmp_path / "out" / "processed_keys.txt") == ["fast"]
 
 
+def test_qa_groups(spark, tmp_path):
+    """Texts by their folder, records by their file; an id that is missing is the same in every run."""
+    for book in ("one", "two"):
+        (tmp_path / "in" / book).mkdir(parents=True)
+        (tmp_path / "in" / book / "t.txt").write_text(f"text {book}")
+    (tmp_path / "in" / "r.jsonl").write_text('{"content": "record"}')
+    out = QaSettings(prompts=QA, output_path=str(tmp_path / "out"))
+    for _ in range(2):
+        n = qa.generate(spark, f"file://{tmp_path}/in", "content", out, chat.FakeChat(answers(lambda p, t: "r")))
+        (tmp_path / "in" / "a.jsonl").write_text('{"content": ""}')
+    assert n["completed"] == 0
+    got = spark.read.json(str(tmp_path / "out" / "rows.jsonl"))
+    assert sorted((r["group"], r["question"]) for r in got.collect()) == [("one", "text one?"), ("r", "record?"), ("two", "text two?")]
+
+
+def sleepy(prompt, step):
+    time.sleep(1.5 if prompt == "slow" else 0.05)
+    return prompt
+
+
+def test_calls_at_a_time(spark):
+    """Several calls run together within the cap, and quick rows don't wait for a slow one."""
+    df = spark.createDataFrame([("slow",)] + [("quick",)] * 40, "p string").repartition(8)
+    counters = chat.RunCounters(spark)
+    out = chat.run_chain(df, chat.FakeChat(sleepy), lambda c, row: {"a": c.complete(row["p"]), "at": time.time()}, "a string, at double", 6, counters)
+    rows = out.collect()
+    n = counters.as_dict()
+    assert n["completed"] == 41 and n["failed"] == 0 and 2 <= n["max_in_flight"] <= 6
+    slow = next(r["at"] for r in rows if r["a"] == "slow")
+    assert sum(r["at"] < slow for r in rows) >= 35
+
+
+def failing(prompt, step):
+    if prompt == "broken":
+        raise RuntimeError("a bug")
+    return prompt
+
+
+def test_killed_run_repeats_no_saved_call(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(40)] + [(None, "x"), (None, "x")], "i int, p string")
+    chain = lambda c, row: {"a": c.complete(row["p"])}
+    path, first, second = str(tmp_path / "calls"), chat.RunCounters(spark), chat.RunCounters(spark)
+    broken = df.withColumn("p", F.when(F.col("i") == 7, "broken").otherwise(F.col("p")))
+    with pytest.raises(Exception, match="a bug"):
+        chat.run_saved(broken, chat.FakeChat(failing), chain, "a string", path, ["i"], 4, 8, first)
+    saved = spark.read.parquet(path).count()
+    out = chat.run_saved(df, chat.FakeChat(failing), chain, "a string", path, ["i"], 4, 8, second)
+    assert out.count() == 42 and out.where("a <> p").count() == 0
+    assert second.as_dict()["completed"] == 41 - saved
+
+
 def test_dialect(spark):
     df = spark.createDataFrame([("a", None, 1), ("|", "b", 2)], "p string, q string, generator int").drop("generator")
     got = dialect.rewritten(df, "p, q", "{text}", chat.FakeChat(lambda p, s: "|||" if p == "|" else f"{p}y"), sentinel_to_null=True).orderBy("q").collect()
@@ -195,6 +247,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["cpt", "-p", str(tmp_path / "s.yaml"), "-s", source(tmp_path, ["a", "b"])]) == 0
     assert cli.main(["upload", "-d", str(tmp_path / "none"), "--dry-run"]) == 1
     assert cli.main(["upload", "-d", str(tmp_path / "none")]) == 1
+    (tmp_path / "out" / "info.json").write_text('{"a": 1}')
+    assert cli.main(["upload", "-d", str(tmp_path / "out"), "-t", "token"]) == 1  # nothing there that could publish
+    pushed = []
+    assert cli.main(["upload", "-d", str(tmp_path / "out"), "-t", "token", "-p", str(tmp_path / "stage")], publish=pushed.append) == 0
+    assert pushed == [str(tmp_path / "stage")] and json.loads((tmp_path / "stage" / "info.json").read_text()) == {"a": 1}
+    assert spark.read.json(str(tmp_path / "out" / "batch_status.jsonl")).first()["output_chunks"] == 2
 
 
 def test_queries_have_rows(spark, small):
@@ -202,5 +260,5 @@ def test_queries_have_rows(spark, small):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    for name in ("normalize_text", "candidates_per_entry", "batch_status", "qa_failures"):
-        assert entry.queries()[name](spark, small).select(F.count("*")).first()[0] >= 0
+    for name in ("normalize_text", "candidates_per_entry", "batch_status", "qa_pipeline"):
+        assert entry.queries()[name](spark, small).select(F.count("*")).first()[0] > 0
