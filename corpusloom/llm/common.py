@@ -45,8 +45,8 @@ def semi(df: DataFrame, keys: DataFrame, on: list[str], rows: int | None = None)
     return df.join(F.broadcast(keys) if rows <= BROADCAST_ROWS else keys, on, "left_semi")
 
 
-def slices(batch: pa.RecordBatch, column: str | None) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about BATCH_CHARS code points of text, or one row; without a column, the batch."""
+def slices(batch: pa.RecordBatch, column: str | None, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about so many code points of text, or one row; without a column, the batch."""
     if column is None:
         yield batch
         return
@@ -54,12 +54,12 @@ def slices(batch: pa.RecordBatch, column: str | None) -> Iterator[pa.RecordBatch
     ends, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + 3 * BATCH_CHARS, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + 3 * chars, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 
 
-def arrow_map(df: DataFrame, column: str | None, schema: str, kernel: Callable[[pa.RecordBatch], dict | None]) -> DataFrame:
+def arrow_map(df: DataFrame, column: str | None, schema: str, kernel: Callable[[pa.RecordBatch], dict | None], chars: int = BATCH_CHARS) -> DataFrame:
     """mapInArrow over bounded pieces; kernel returns the columns of the result by name, or None for no rows."""
     target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     names = target.fieldNames()
@@ -69,7 +69,7 @@ def arrow_map(df: DataFrame, column: str | None, schema: str, kernel: Callable[[
 
         arrow = to_arrow_schema(target)
         for batch in batches:
-            for piece in slices(batch, column):
+            for piece in slices(batch, column, chars):
                 out = kernel(piece)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(out[n], f.type) if not isinstance(out[n], pa.Array | pa.ChunkedArray) else out[n].cast(f.type) for n, f in zip(names, arrow, strict=True)], schema=arrow)
@@ -96,57 +96,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n code points from each place on (as many as fit)."""
-    if len(codes) < n:
-        return np.zeros(0, np.uint64)
-    c = mixed(codes.astype(np.uint64))
-    if n == 1:
-        return c
-    # powers of two by doubling, then the rest: about 2 log2(n) passes
-    h, width, have = c, 1, None
-    parts, left = [], n
-    while left:
-        if left & 1:
-            parts.append((h, width))
-        left >>= 1
-        if left:
-            h = h[:-width] * _M3 + mixed(h[width:])
-            width *= 2
-    size, at = len(codes) - n + 1, 0
-    have = np.zeros(size, np.uint64)
-    for part, width in parts:
-        have = (have * _M3) + mixed(part[at : at + size])
-        at += width
-    return mixed(have)
-
-
-def _sliding(values: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
-    """op over each full window of values; one entry per window start, n - width + 1 of them."""
-    n = len(values)
-    blocks = -(-n // width)
-    padded = np.full(blocks * width, fill, values.dtype)
-    padded[:n] = values
-    grid = padded.reshape(blocks, width)
-    ahead = op.accumulate(grid, axis=1).ravel()
-    behind = op.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return op(behind[: n - width + 1], ahead[width - 1 : n])
-
-
-def sampled_places(codes: np.ndarray, owner: np.ndarray, gram: int, run: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places chosen by content so that any run of code points that two texts share has one chosen in both.
-
-    A place is chosen if the hash of its gram is the least of a window of run - gram + 1 grams; a run
-    of that many code points holds a whole window. Texts are told apart by owner. Returns places and hashes.
-    """
-    hashes = gram_hashes(codes, gram)
-    if not len(hashes):
-        return np.zeros(0, np.int64), hashes
-    none = np.uint64(0xFFFFFFFFFFFFFFFF)
-    hashes[owner[: len(hashes)] != owner[gram - 1 :]] = none
-    width = run - gram + 1
-    spread = np.concatenate([np.full(width - 1, none), hashes, np.full(width - 1, none)])
-    least = _sliding(spread, width, np.minimum, int(none))
-    best = _sliding(np.where(least == none, np.uint64(0), least), width, np.maximum, 0)
-    places = np.flatnonzero((best == hashes) & (hashes != none))
-    return places, hashes[places]
+def agreeing(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, room: np.ndarray, step: int, block: int = 64) -> np.ndarray:
+    """How many code points agree from places x of a and y of b on, forwards (step 1) or backwards (-1), room at most."""
+    out, at, done = np.zeros(len(x), np.int64), np.flatnonzero(room > 0), 0
+    steps = step * np.arange(block)
+    while len(at):
+        p, q = (np.clip((z[at] + step * done)[:, None] + steps, 0, len(c) - 1) for z, c in ((x, a), (y, b)))
+        differ = a[p] != b[q]
+        first = np.where(differ.any(axis=1), differ.argmax(axis=1), block)
+        out[at] = np.minimum(done + first, room[at])
+        done += block
+        at = at[(first == block) & (room[at] > done)]
+    return out

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BATCH_CHARS, arrow_map, blank, code_points, mixed, table
+from .common import BATCH_CHARS, agreeing, arrow_map, blank, code_points, mixed, table
 from .textform import canonical
 
 #: Letters and digits of the least run that counts, by language of the item.
@@ -29,8 +29,8 @@ LEAST_RUN, LEAST_RUN_BY_LANG = 40, {"en": 80}
 BLOCK_CHARS = 8_000_000
 #: Code points of the strings that tell whether a suffix can match, and bits of the table of those that items have.
 _GRAM, _TABLE_BITS = 8, 24
-#: Matches that are extended at once, and the code points compared in a step.
-_EXTEND, _STEP = 50_000, 64
+#: Matches that are extended at once.
+_EXTEND = 50_000
 
 
 @functools.cache
@@ -102,21 +102,6 @@ class Suffixes(Texts):
         self.places, self.keys = at[order], keys[order]
 
 
-def _agreeing(a: Texts, b: Texts, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How many code points agree from places x of a and y of b on, within one text each."""
-    most = np.minimum(a.stop[x] - x, b.stop[y] - y)
-    out, at, done = np.zeros(len(x), np.int64), np.arange(len(x)), 0
-    steps = np.arange(_STEP)
-    while len(at):
-        p, q = (np.minimum((z[at] + done)[:, None] + steps, len(t.codes) - 1) for t, z in ((a, x), (b, y)))
-        differ = a.codes[p] != b.codes[q]
-        first = np.where(differ.any(axis=1), differ.argmax(axis=1), _STEP)
-        out[at] = np.minimum(done + first, most[at])
-        done += _STEP
-        at = at[(first == _STEP) & (most[at] > done)]
-    return out
-
-
 def matches(docs: Suffixes, items: Items) -> np.ndarray:
     """Rows (text of docs, text of items, length): the longest match of each pair that has one of the least length."""
     low, own_low, own_high, high = (np.searchsorted(docs.keys, k, side=s) for k, s in ((items.low, "left"), (items.own, "left"), (items.own, "right"), (items.high, "right")))
@@ -136,7 +121,7 @@ def matches(docs: Suffixes, items: Items) -> np.ndarray:
             place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + a[which]
             for i in range(0, len(which), _EXTEND):
                 x, y = docs.places[place[i : i + _EXTEND]], items.places[which[i : i + _EXTEND]]
-                size = _agreeing(docs, items, x, y)
+                size = agreeing(docs.codes, items.codes, x, y, np.minimum(docs.stop[x] - x, items.stop[y] - y), 1)
                 item = items.owner[y]
                 ok = size >= items.least[item]
                 found.append(_longest(np.stack([docs.owner[x[ok]], item[ok], size[ok]], axis=1)))

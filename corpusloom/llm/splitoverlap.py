@@ -1,17 +1,20 @@
 """Problem 3: records of held-out splits that recur, exactly or nearly, in the training split.
 
-Pairs that can meet the measure come from an exact join of the texts' 5-character strings (prefixjoin), so
-no common run of any length is asked for; each is verified by the exact measure. The held-out texts of
-the pairs form full-text index shards (FM-index: the Burrows-Wheeler transform, kept as the ordered
-positions of each symbol, with sampled locations), and the training texts of the pairs are streamed
-against them: backward search finds the places of a seed, and each place is extended to the maximal
-match. Matches of RUN code points or more are merged to spans per pair and counted.
-
-Seeds are chosen by content, so that any run of RUN code points has one. Equal texts are one class.
+The held-out texts, one of each class of equal forms, make up full-text index shards: FM-indexes with the
+Burrows-Wheeler transform in a wavelet matrix (a bit for each of the bits of a symbol) and sampled locations. The
+training texts are streamed through them: backward search gives the number of places of every 5-character
+string of a text; strings in increasing order of that number are located until so many are that a held-out text
+which meets the measure must hold HITS of them, and by its size mostly many more, however its edits fall. The places
+of the pairs that do are extended to maximal matches, whose spans are merged and counted, and each pair is verified by the exact measure.
+
+The training texts are read once for each shard and never shuffled. Shards are bounded, and one at a time is sent to
+all tasks. Held-out texts are few next to the training texts; if they were not, the passes would grow with them.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
 import re
 
 import numpy as np
@@ -19,135 +22,175 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, blank, code_points, mixed, row_key, sampled_places, semi, table, written
-from .nearcopies import THRESHOLD, class_id, similarity
-from .prefixjoin import prefix_pairs
+from .common import agreeing, arrow_map, blank, code_points, mixed, row_key, semi, table, written
+from .nearcopies import GRAM, THRESHOLD, Strings, class_id, similar
 from .textform import canonical
 
-SEED, RUN = 22, 30
-#: Pairs of texts that one index serves at most.
-GRID = 256
-SAMPLE = 8
+#: The threshold as a fraction, and the strings among the located ones that a pair must share at least, whatever the sizes.
+NUMER, DENOM, HITS = 3, 5, 2
+#: Code points of a match that is counted; code points of a shard; distance of sampled locations; hits looked at in one go.
+RUN, SHARD_CHARS, SAMPLE, HITS_AT_ONCE = 30, 8_000_000, 4, 4_000_000
+#: Code points of training text that a kernel handles at once: a string that several of its texts have is located once.
+STREAM_CHARS = 4_000_000
+#: Bits of the table that tells which strings a shard may have.
+_TABLE_BITS = 24
 _strip = re.compile(r"\s+").sub
 
 
+def suffix_order(rank: np.ndarray) -> np.ndarray:
+    """Suffix array by prefix doubling from as many symbols as fit a number; only suffixes that are still equal are sorted again."""
+    n, size = len(rank), int(rank.max(initial=0)) + 2
+    width = max(1, int(62 / np.log2(size)))
+    key = np.zeros(n, np.int64)
+    for i in range(width):
+        key *= size
+        if i < n:
+            key[: n - i] += rank[i:] + 1
+    order = np.argsort(key)
+    key, slots = key[order], np.arange(n)
+    of = np.empty(n, np.int64)
+    while True:
+        # the rank of a suffix is the first slot of those that are equal to it so far
+        first = np.ones(len(slots), bool)
+        first[1:] = key[1:] != key[:-1]
+        start = slots[np.flatnonzero(first)]
+        run = np.cumsum(first) - 1
+        of[order[slots]] = start[run] if len(slots) else 0
+        open_ = np.bincount(run)[run] > 1 if len(slots) else first
+        slots = slots[open_]
+        if not len(slots):
+            return order
+        at = order[slots]
+        after = np.where(at + width < n, of[np.minimum(at + width, n - 1)] + 1, 0)
+        key = of[at] * (n + 1) + after
+        sub = np.argsort(key)
+        order[slots], key = at[sub], key[sub]
+        width *= 2
+
+
+class Bits:
+    """A bit vector with the number of ones before each place."""
+
+    def __init__(self, bits: np.ndarray):
+        n = len(bits) // 64 + 1
+        padded = np.zeros(n * 64, bool)
+        padded[: len(bits)] = bits
+        self.words = np.packbits(padded, bitorder="little").view(np.uint64)
+        self.before = np.r_[0, np.cumsum(np.bitwise_count(self.words), dtype=np.int64)[:-1]].astype(np.uint32)
+
+    def ones(self, at: np.ndarray) -> np.ndarray:
+        word, bit = at >> 6, (at & 63).astype(np.uint64)
+        return self.before[word] + np.bitwise_count(self.words[word] & ((np.uint64(1) << bit) - np.uint64(1))).astype(np.int64)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 class FullTextIndex:
-    """FM-index of texts given as code points; each text is followed by a 0."""
+    """FM-index of texts; each is followed by an end, and no match goes beyond it."""
 
-    def __init__(self, codes: np.ndarray):
-        self.symbols, ranks = np.unique(codes, return_inverse=True)
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        codes, self.starts = code_points([x + "\0" for x in texts])
         n = self.n = len(codes)
-        ends = codes == 0
-        #: the ends of texts come first and differ, so no comparison leaves a text
-        self.n_ends = int(ends.sum())
-        ranks = np.where(ends, np.cumsum(ends) - 1, ranks + self.n_ends)
-        order = self._suffix_order(ranks)
-        last = ranks[order - 1]
-        #: rows of each symbol in the transform, ascending, in the order of the symbols
-        self.rows = np.sort(last * n + np.arange(n))
-        by_symbol = self.rows % n
-        self.back = np.empty(n, np.int32)
-        self.back[by_symbol] = np.arange(n)
-        self.known = order % SAMPLE == 0
-        self.place = order[self.known].astype(np.int32)
-        self.nth_known = (np.cumsum(self.known) - 1).astype(np.int32)
+        self.symbols, number = np.unique(codes, return_inverse=True)
+        ends = np.zeros(n, bool)
+        ends[self.starts[1:] - 1] = True
+        # ends come first and differ, so no comparison leaves a text; in the transform they are one symbol
+        number = np.where(ends, 0, number + (len(self.symbols) and self.symbols[0] != 0))
+        self.symbols = self.symbols[self.symbols != 0]
+        order = suffix_order(np.where(ends, np.cumsum(ends) - 1, number + int(ends.sum()) - 1))
+        transform = number[order - 1]
+        #: the first suffix of each symbol
+        self.first = np.r_[0, np.cumsum(np.bincount(transform, minlength=len(self.symbols) + 1))]
+        self.n_bits = max(1, int(len(self.symbols)).bit_length())
+        self.levels, self.zeros = [], []
+        rest = transform.astype(np.uint32)
+        for shift in range(self.n_bits - 1, -1, -1):
+            bit = (rest >> np.uint32(shift)) & np.uint32(1) == 1
+            self.levels.append(Bits(bit))
+            self.zeros.append(int(n - bit.sum()))
+            rest = np.concatenate([rest[~bit], rest[bit]])
+        #: where each symbol's run begins on the last level
+        self.bottom = np.searchsorted(_turned(rest, self.n_bits), _turned(np.arange(len(self.symbols) + 1, dtype=np.uint32), self.n_bits))
+        starts = np.zeros(n + 1, bool)
+        starts[self.starts] = True
+        known = (order % SAMPLE == 0) | starts[order]
+        self.known, self.places = Bits(known), order[known].astype(np.int32)
+        strings = Strings(texts, np.zeros(len(texts), np.uint64), places=False)
+        self.sizes = strings.size
+        seen = np.zeros(1 << _TABLE_BITS, bool)
+        seen[self._slot(strings.hash)] = True
+        self.seen = np.packbits(seen, bitorder="little")
 
     @staticmethod
-    def _suffix_order(rank: np.ndarray) -> np.ndarray:
-        """Suffix array by prefix doubling, from as many symbols as fit a number."""
-        n, size = len(rank), int(rank.max(initial=0)) + 2
-        width = max(1, int(62 / np.log2(size)))
-        key = np.zeros(n, np.int64)
-        for i in range(width):
-            key *= size
-            if i < n:
-                key[: n - i] += rank[i:] + 1
-        while True:
-            order = np.argsort(key)
-            ordered = key[order]
-            new = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]])
-            if n == 0 or new[-1] == n - 1:
-                return order
-            rank = np.empty(n, np.int64)
-            rank[order] = new
-            key = rank * (2 * n + 2)
-            if width < n:
-                key[:-width] += rank[width:] + 1
-            width *= 2
+    def _slot(hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
+
+    def may_have(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the shard may have the strings with these hashes; never false where it has."""
+        slot = self._slot(hashes)
+        return (self.seen[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+    @functools.cached_property
+    def _number(self) -> np.ndarray:
+        out = np.full(0x110000, -1, np.int32)
+        out[self.symbols] = np.arange(1, len(self.symbols) + 1)
+        return out
+
+    def _rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the interval that begins at these places begins after the symbol is put in front."""
+        base = self.first[symbol] - self.bottom[symbol]
+        for bits, zeros, shift in zip(self.levels, self.zeros, range(self.n_bits - 1, -1, -1), strict=True):
+            ones = bits.ones(at)
+            at = np.where(symbol >> shift & 1, zeros + ones, at - ones)
+        return base + at
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals (low, high) of patterns of one length, by backward search of all of them in step."""
-        symbol = np.minimum(np.searchsorted(self.symbols, patterns), len(self.symbols) - 1)
-        low = np.zeros(len(patterns), np.int64)
-        high = np.where((self.symbols[symbol] == patterns).all(axis=1), self.n, 0)
-        live = np.flatnonzero(high)
-        for column in symbol.T[::-1]:
-            base = (column[live] + self.n_ends) * self.n
-            low[live], high[live] = self._rank(base + low[live]), self._rank(base + high[live])
+        """Intervals (low, high) of patterns of one length (code points, N x length), by backward search of all of them in step."""
+        symbol = self._number[patterns]
+        low, high = np.zeros(len(patterns), np.int64), np.zeros(len(patterns), np.int64)
+        live = np.flatnonzero((symbol >= 0).all(axis=1))
+        last = symbol[live, -1]
+        low[live], high[live] = self.first[last], self.first[last + 1]
+        for column in symbol.T[-2::-1]:
+            low[live], high[live] = self._rank(column[live], low[live]), self._rank(column[live], high[live])
             live = live[low[live] < high[live]]
         return low, np.maximum(low, high)
 
-    def _rank(self, key: np.ndarray) -> np.ndarray:
-        # rows of smaller symbols and earlier rows of this symbol: where the interval starts in the sorted suffixes
-        return np.searchsorted(self.rows, key)
-
     def locate(self, rows: np.ndarray) -> np.ndarray:
-        """Places of suffixes, by walking to a sampled one."""
+        """Places of suffixes, by walking back to a sampled one."""
         rows, out, steps, todo = rows.copy(), np.zeros(len(rows), np.int64), 0, np.arange(len(rows))
         while len(todo):
             known = self.known[rows[todo]]
             done = todo[known]
-            out[done] = self.place[self.nth_known[rows[done]]] + steps
+            out[done] = self.places[self.known.ones(rows[done])] + steps
             todo = todo[~known]
-            rows[todo] = self.back[rows[todo]]
+            at, symbol = rows[todo], np.zeros(len(todo), np.int64)
+            for bits, zeros in zip(self.levels, self.zeros, strict=True):
+                bit, ones = bits[at], bits.ones(at)
+                at = np.where(bit, zeros + ones, at - ones)
+                symbol = symbol << 1 | bit
+            rows[todo] = self.first[symbol] - self.bottom[symbol] + at
             steps += 1
         return out
 
+    @functools.cached_property
+    def text_of(self) -> np.ndarray:
+        """The number of the text at each place."""
+        return np.repeat(np.arange(len(self.texts), dtype=np.int32), np.diff(self.starts))
 
-def _agreeing(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, step: int) -> np.ndarray:
-    """Equal code points from x of a and y of b on, in one direction; 0 and 1 are ends of texts and never agree."""
-    out, at, i = np.zeros(len(x), np.int64), np.arange(len(x)), 0
-    while len(at):
-        p, q = x[at] + i * step, y[at] + i * step
-        ok = (p >= 0) & (q >= 0) & (p < len(a)) & (q < len(b))
-        at, p, q = at[ok], p[ok], q[ok]
-        at = at[(a[p] == b[q]) & (a[p] > 1)]
-        out[at] += 1
-        i += 1
-    return out
+    @functools.cached_property
+    def codes(self) -> np.ndarray:
+        return code_points([x + "\0" for x in self.texts])[0]
 
 
-def span_sums(texts: list[str], held: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Per pair of a text and a held-out text: the maximal matches of RUN or more (distinct spans of the text), and the code points in them."""
-    index_texts = list(dict.fromkeys(held))
-    number = {x: i for i, x in enumerate(index_texts)}
-    mate = np.fromiter((number[x] for x in held), np.int64, len(held))
-    codes, ends = code_points([x + "\0" for x in index_texts])
-    other, other_ends = code_points([x + "\1" for x in texts])
-    of = np.repeat(np.arange(len(texts)), np.diff(other_ends))
-    start, _ = sampled_places(other, of, SEED, RUN)
-    start = start[other[np.minimum(start + SEED - 1, len(other) - 1)] != 1]
-    counts, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    if not len(start) or not len(codes):
-        return counts, sums
-    index = FullTextIndex(codes)
-    low, high = index.search(other[start[:, None] + np.arange(SEED)])
-    width = high - low
-    seed = np.repeat(np.arange(len(start)), width)
-    place = index.locate(low[seed] + np.arange(len(seed)) - np.repeat(np.cumsum(width) - width, width))
-    own = np.searchsorted(ends, place, side="right") - 1 == mate[of[start[seed]]]
-    at, place = start[seed[own]], place[own]
-    left = _agreeing(other, codes, at - 1, place - 1, -1)
-    right = _agreeing(other, codes, at, place, 1)
-    long = left + right >= RUN
-    spans = np.unique(np.stack([at[long] - left[long], at[long] + right[long]], axis=1), axis=0)
-    if not len(spans):
-        return counts, sums
-    # the spans of a text end before the next text begins
-    reach = np.r_[0, np.maximum.accumulate(spans[:, 1])[:-1]]
-    np.add.at(counts, of[spans[:, 0]], 1)
-    np.add.at(sums, of[spans[:, 0]], np.maximum(0, spans[:, 1] - np.maximum(reach, spans[:, 0])))
-    return counts, sums
+def _turned(values: np.ndarray, n_bits: int) -> np.ndarray:
+    """Values with their bits in reverse: the order of the last level of a wavelet matrix."""
+    out = np.zeros_like(values)
+    for i in range(n_bits):
+        out |= ((values >> np.uint32(i)) & np.uint32(1)) << np.uint32(n_bits - 1 - i)
+    return out
 
 
 def classed(df: DataFrame) -> DataFrame:
@@ -166,48 +209,162 @@ def classed(df: DataFrame) -> DataFrame:
     return arrow_map(df.select("key", "train", "text"), "text", "key string, train boolean, cls long, flat string", kernel)
 
 
-def _measured(joined: DataFrame) -> DataFrame:
-    """(cls_a, cls_b, similarity, n_matches, matched) of those (cls_a, cls_b, flat_a, flat_b) that are equal or reach the threshold."""
-
-    def kernel(batch: pa.RecordBatch) -> dict | None:
-        a, b, flat_a, flat_b = (batch.column(c).to_pylist() for c in ("cls_a", "cls_b", "flat_a", "flat_b"))
-        found = [1.0 if i == j else similarity(x, y) for i, j, x, y in zip(a, b, flat_a, flat_b, strict=True)]
-        use = [i for i, s in enumerate(found) if s >= THRESHOLD]
-        if not use:
-            return None
-        parts = [use[i : i + GRID] for i in range(0, len(use), GRID)]
-        counts, sums = (np.concatenate(x) for x in zip(*(span_sums([flat_a[i] for i in p], [flat_b[i] for i in p]) for p in parts), strict=True))
-        # an equal text below RUN is one match, too
-        whole = np.array([a[i] == b[i] and len(flat_a[i]) < RUN for i in use])
-        counts[whole], sums[whole] = 1, [len(flat_a[i]) for i, w in zip(use, whole, strict=True) if w]
-        return {"cls_a": [a[i] for i in use], "cls_b": [b[i] for i in use], "similarity": [found[i] for i in use], "n_matches": counts, "matched": sums}
-
-    return arrow_map(joined.select("cls_a", "cls_b", "flat_a", "flat_b"), "flat_a", "cls_a long, cls_b long, similarity double, n_matches long, matched long", kernel)
+def _looked_at(size: np.ndarray) -> np.ndarray:
+    """How many of a text's strings are located, those with no place included: all but as many as leave HITS of the shared ones."""
+    shared = -(-NUMER * size // DENOM)
+    return size - shared + np.minimum(HITS, shared)
+
+
+def _hits(s: Strings, index: FullTextIndex):
+    """Blocks (text, held-out text, place in the texts, place in the index) of located strings, a row for each string and held-out text; all rows of a text are in one block."""
+    maybe = np.flatnonzero(index.may_have(s.hash))
+    _, sample, of = np.unique(s.hash[maybe], return_index=True, return_inverse=True)
+    low, high = index.search(s.codes[s.at[maybe[sample]][:, None] + np.arange(GRAM)])
+    count = np.zeros(len(s.hash), np.int64)
+    count[maybe] = (high - low)[of]
+    # the strings with the fewest places first: so many of a text's strings that HITS of them are shared if the measure is met
+    rare = np.argsort((s.owner << 32) | count)
+    shared = -(-NUMER * s.size // DENOM)
+    first = rare[s.nth < _looked_at(s.size)[s.owner]]
+    first = first[count[first] > 0]
+    enough = np.bincount(s.owner[first], minlength=len(s.size)) >= np.minimum(HITS, np.maximum(shared, 1))
+    first = np.sort(first[enough[s.owner[first]]])
+    if not len(first):
+        return
+    string = np.zeros(len(s.hash), np.int64)
+    string[maybe] = of
+    # each different string is located once; of its places in a held-out text the first one stands for all
+    wanted, which = np.unique(string[first], return_inverse=True)
+    width = (high - low)[wanted]
+    at = index.locate(np.repeat(low[wanted], width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width))
+    at += np.repeat(np.arange(len(wanted)), width) * index.n
+    at.sort()
+    of_string, at = at // index.n, at % index.n
+    key = of_string * len(index.texts) + index.text_of[at]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    key, at = key[new], at[new]
+    begin = np.searchsorted(key, np.arange(len(wanted) + 1) * len(index.texts))
+    n = (begin[1:] - begin[:-1])[which]
+    per_text = np.cumsum(np.bincount(s.owner[first], weights=n, minlength=len(s.size)))
+    text = 0
+    while text < len(s.size):
+        done = per_text[text - 1] if text else 0
+        stop = max(text + 1, int(np.searchsorted(per_text, done + HITS_AT_ONCE, side="right")))
+        a, b = np.searchsorted(s.owner[first], [text, stop])
+        m = n[a:b]
+        i = np.repeat(np.arange(a, b), m)
+        hit = np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m) + begin[which[i]]
+        held = key[hit] % len(index.texts)
+        owner = s.owner[first[i]]
+        x, y = s.size[owner], index.sizes[held]
+        ok = np.minimum(x, y) * DENOM >= np.maximum(x, y) * NUMER
+        yield owner[ok], held[ok], s.at[first[i[ok]]], at[hit[ok]]
+        text = stop
+
+
+def _spans(s: Strings, index: FullTextIndex, pair: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarray, held: np.ndarray, n_pairs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per pair the merged spans of maximal matches of RUN code points or more around the hits, and the code points in them."""
+    a, b = at - s.ends[text], place - index.starts[held]
+    left = agreeing(s.codes, index.codes, at - 1, place - 1, np.minimum(a, b), -1)
+    right = agreeing(s.codes, index.codes, at, place, np.minimum(s.ends[text + 1] - at, index.starts[held + 1] - 1 - place), 1)
+    long = left + right >= RUN
+    spans = np.unique(np.stack([pair[long], (at - left)[long], (at + right)[long]], axis=1), axis=0)
+    pair, low, high = spans.T
+    # spans of a pair in order: one that begins after all before it have ended opens a new one
+    base = pair * (len(s.codes) + 1)
+    reach = np.r_[0, np.maximum.accumulate(base + high)[:-1]] - base
+    counts = np.bincount(pair[low > reach] if len(pair) else pair, minlength=n_pairs)
+    if len(pair):
+        opening = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        counts += np.bincount(pair[opening[low[opening] <= np.maximum(reach[opening], 0)]], minlength=n_pairs)
+    return counts, np.bincount(pair, weights=np.maximum(0, high - np.maximum(reach, low)), minlength=n_pairs).astype(np.int64)
+
+
+def streamed(flat: list[str], index: FullTextIndex) -> dict[str, np.ndarray]:
+    """text, held (numbers), similarity, n_matches and matched of the pairs that meet the measure."""
+    s = Strings(flat, np.zeros(len(flat), np.uint64))
+    out = {c: [np.zeros(0, t)] for c, t in (("text", np.int64), ("held", np.int64), ("similarity", np.float64), ("n_matches", np.int64), ("matched", np.int64))}
+    for text, held, at, place in _hits(s, index):
+        pair = text * len(index.texts) + held
+        order = np.argsort(pair)
+        pair = pair[order]
+        begin = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][: len(pair)])
+        n = np.diff(np.r_[begin, len(pair)])
+        # strings shared in all, less those that were not looked at
+        x, y = s.size[text[order[begin]]], index.sizes[held[order[begin]]]
+        enough = n >= -(-NUMER * (x + y) // (NUMER + DENOM)) - (x - _looked_at(x))
+        begin, n = begin[enough], n[enough]
+        hit = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        text, held, at, place = (x[order[hit]] for x in (text, held, at, place))
+        begin = np.cumsum(n) - n
+        found = similar([flat[i] for i in text[begin]], [index.texts[i] for i in held[begin]], THRESHOLD)
+        keep = found > 0
+        begin, n = begin[keep], n[keep]
+        hit = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        counts, matched = _spans(s, index, np.repeat(np.arange(len(n)), n), at[hit], place[hit], text[hit], held[hit], len(n))
+        for c, x in (("text", text[begin]), ("held", held[begin]), ("similarity", found[keep]), ("n_matches", counts), ("matched", matched)):
+            out[c].append(x)
+    return {c: np.concatenate(x) for c, x in out.items()}
+
+
+def index_shards(held: DataFrame) -> DataFrame:
+    """(shard, classes, index) of the held-out (cls, flat): the pickled index of each shard, and the classes of its texts."""
+    chars = held.agg(F.coalesce(F.sum(F.length("flat") + 1), F.lit(0)).alias("n")).first()["n"]
+    shards = max(1, -(-chars // SHARD_CHARS))
+
+    def build(part: pa.Table) -> pa.Table:
+        cls, at = np.unique(part.column("cls").to_numpy(), return_index=True)
+        flat = part.column("flat").take(pa.array(at)).to_pylist()
+        return pa.table({"shard": part.column("shard")[:1], "classes": pa.array([cls.tobytes()]), "index": pa.array([pickle.dumps(FullTextIndex(flat))])})
+
+    return held.withColumn("shard", F.pmod("cls", F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(build, "shard int, classes binary, index binary")
 
 
 def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (key, train, cls) and links (cls_a, cls_b, similarity, n_matches, matched) of rows (key, train, text).
 
-    A link joins the class of a training text (cls_a) and that of a held-out text (cls_b); equal classes
-    are linked with similarity 1. matched counts the code points of the training text in merged maximal
-    matches of RUN or more, of which a near copy need not have any. Null and blank texts are left out by the caller; a null train is no
-    training row; repeated rows and long texts pass.
+    A link joins the class of a training text (cls_a) and that of a held-out text (cls_b) that is equal or meets the
+    measure. n_matches and matched count the merged maximal matches of RUN or more in the training text around its rarer
+    strings, and the code points in them; a near copy need not have any. Equal texts too short for a string
+    of five are linked as one match. Null and blank texts are left out by the caller; a null train is no
+    training row; repeated rows and long texts pass; an empty side gives no links.
     """
     df = df.select("key", F.coalesce("train", F.lit(False)).alias("train"), "text")
     rows = written(classed(df), "classed")
-    # one row stands for its class on a side
-    chosen = written(rows.where("flat is not null").groupBy("cls", "train").agg(F.min("key").alias("key")), "chosen")
-    texts = semi(rows.where("flat is not null"), chosen, ["cls", "train", "key"]).select("cls", F.lit(0).cast("long").alias("salt"), "train", "flat")
-    both = chosen.groupBy("cls").agg(F.count_if("train").alias("t"), F.count_if(~F.col("train")).alias("e")).where("t > 0 and e > 0")
-    pairs = prefix_pairs(texts, two_sides=True).union(both.select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b")))
-    pairs = written(pairs, "pairs")
-
-    def fetched(c: str, side: str) -> DataFrame:
-        involved = pairs.select(F.col(c).alias("cls")).distinct()
-        return semi(texts.where(side), written(involved, "involved"), ["cls"]).dropDuplicates(["cls"]).select(F.col("cls").alias(c), F.col("flat").alias(f"flat_{c[-1]}"))
-
-    joined = pairs.join(fetched("cls_a", "train"), "cls_a").join(fetched("cls_b", "not train"), "cls_b")
-    return rows.select("key", "train", "cls"), written(_measured(joined), "overlaps")
+    full = rows.where("flat is not null")
+    # one row stands for its class on the held-out side
+    chosen = written(full.where("not train").groupBy("cls").agg(F.min("key").alias("key")), "chosen")
+    held = semi(full.where("not train"), chosen, ["cls", "key"]).select("cls", "flat")
+    shards = written(index_shards(held), "shards")
+    schema = "cls_a long, cls_b long, similarity double, n_matches long, matched long"
+    spark, links = df.sparkSession, []
+    for (number,) in sorted(tuple(r) for r in shards.select("shard").collect()):
+        row = shards.where(F.col("shard") == number).first()
+        index = spark.sparkContext.broadcast((np.frombuffer(row["classes"], np.int64), row["index"]))
+
+        def kernel(batch: pa.RecordBatch, index=index) -> dict | None:
+            classes, packed = index.value
+            shard = _unpacked(packed)
+            cls, flat = np.asarray(batch.column("cls")), batch.column("flat").to_pylist()
+            found = streamed(flat, shard)
+            size = np.array([len(x) for x in flat])
+            short = np.flatnonzero((size < GRAM) & np.isin(cls, classes))
+            return {
+                "cls_a": np.r_[cls[found["text"]], cls[short]], "cls_b": np.r_[classes[found["held"]], cls[short]], "similarity": np.r_[found["similarity"], np.ones(len(short))],
+                "n_matches": np.r_[found["n_matches"], np.ones(len(short), np.int64)], "matched": np.r_[found["matched"], size[short]],
+            }
+
+        part = written(arrow_map(full.where("train").select("cls", "flat"), "flat", schema, kernel, STREAM_CHARS), "links")
+        index.unpersist()
+        links.append(part)
+    found = functools.reduce(DataFrame.union, links) if links else spark.createDataFrame([], schema)
+    return rows.select("key", "train", "cls"), found.dropDuplicates(["cls_a", "cls_b"])
+
+
+@functools.lru_cache(maxsize=1)
+def _unpacked(packed: bytes) -> FullTextIndex:
+    return pickle.loads(packed)
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,19 +144,37 @@ def test_full_text_index():
     import numpy as np
 
     rng = random.Random(1)
-    texts = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 40))) for _ in range(50)]
-    codes, ends = common.code_points([t + "\0" for t in texts])
-    index = splitoverlap.FullTextIndex(codes)
-    patterns = ["".join(rng.choice("abcd") for _ in range(3)) for _ in range(60)]
-    low, high = index.search(np.array([[ord(c) for c in p] for p in patterns], np.uint32))
+    texts = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 40))) for _ in range(50)] + ["ab" * 300, "x"]
+    index = splitoverlap.FullTextIndex(texts)
     whole = "".join(t + "\0" for t in texts)
-    for p, a, b in zip(patterns, low, high, strict=True):
-        assert sorted(index.locate(np.arange(a, b))) == [i for i in range(len(whole)) if whole.startswith(p, i)]
+    for size in (1, 3, 5):
+        patterns = ["".join(rng.choice("abcdx") for _ in range(size)) for _ in range(60)]
+        low, high = index.search(np.array([[ord(c) for c in p] for p in patterns], np.uint32))
+        for p, a, b in zip(patterns, low, high, strict=True):
+            assert sorted(index.locate(np.arange(a, b))) == [i for i in range(len(whole)) if whole.startswith(p, i)]
+    assert splitoverlap.FullTextIndex([]).n == 0 and len(splitoverlap.streamed(["abcdefgh"], splitoverlap.FullTextIndex([]))["text"]) == 0
 
 
-@pytest.mark.parametrize("grid", [splitoverlap.GRID, 1])
-def test_overlaps_against_brute_force(spark, collection, grid, monkeypatch):
-    monkeypatch.setattr(splitoverlap, "GRID", grid)
+def test_suffix_order():
+    import numpy as np
+
+    rng = random.Random(2)
+    for text in ("banana", "a" * 50, "ab" * 40, "".join(rng.choice("ab") for _ in range(300))):
+        rank = np.array([ord(c) - 97 for c in text])
+        assert splitoverlap.suffix_order(rank).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_spans_of_matches():
+    index = splitoverlap.FullTextIndex(["".join(chr(0x5200 + i) for i in range(300))])
+    body = index.texts[0]
+    text = body[:100] + "亜" + body[101:200] + "亜" + body[201:]
+    got = splitoverlap.streamed([text, "短い"], index)
+    assert got["text"].tolist() == [0] and got["n_matches"].tolist() == [3] and got["matched"].tolist() == [298]
+
+
+@pytest.mark.parametrize("shard", [splitoverlap.SHARD_CHARS, 2000])
+def test_overlaps_against_brute_force(spark, collection, shard, monkeypatch):
+    monkeypatch.setattr(splitoverlap, "SHARD_CHARS", shard)
     rng = random.Random(9)
     rows = [(k, rng.random() < 0.6, x) for t, k, x in collection if t == "a"]
     df = spark.createDataFrame(rows, "key string, train boolean, text string")
@@ -167,7 +185,7 @@ def test_overlaps_against_brute_force(spark, collection, grid, monkeypatch):
     want |= {(a, b) for i, (a, s, x) in enumerate(rows) for b, u, y in rows[:i] if s != u and canonical(x) == canonical(y)}
     got = {(a, b) for a in side for b in side if side[a] and not side[b] and (cls[a], cls[b]) in linked}
     want = {(a, b) if side[a] else (b, a) for a, b in want}
-    assert got <= want and len(got) >= 0.9 * len(want)
+    assert got == want
     empty = splitoverlap.overlaps(df.limit(0))
     assert empty[0].count() == empty[1].count() == 0
 
