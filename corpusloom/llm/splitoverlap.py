@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import agreeing, arrow_map, blank, code_points, mixed, row_key, semi, table, written
+from .common import BATCH_CHARS, agreeing, arrow_map, blank, code_points, mixed, row_key, semi, table, written
 from .nearcopies import GRAM, THRESHOLD, Strings, class_id, similar
 from .textform import canonical
 
@@ -30,8 +30,6 @@ from .textform import canonical
 NUMER, DENOM, HITS = 3, 5, 2
 #: Code points of a match that is counted; code points of a shard; distance of sampled locations; hits looked at in one go.
 RUN, SHARD_CHARS, SAMPLE, HITS_AT_ONCE = 30, 8_000_000, 4, 4_000_000
-#: Code points of training text that a kernel handles at once: a string that several of its texts have is located once.
-STREAM_CHARS = 4_000_000
 #: Bits of the table that tells which strings a shard may have.
 _TABLE_BITS = 24
 _strip = re.compile(r"\s+").sub
@@ -45,7 +43,8 @@ def suffix_order(rank: np.ndarray) -> np.ndarray:
     for i in range(width):
         key *= size
         if i < n:
-            key[: n - i] += rank[i:] + 1
+            key[: n - i] += rank[i:]
+            key[: n - i] += 1
     order = np.argsort(key)
     key, slots = key[order], np.arange(n)
     of = np.empty(n, np.int64)
@@ -93,19 +92,22 @@ class FullTextIndex:
         self.texts = texts
         codes, self.starts = code_points([x + "\0" for x in texts])
         n = self.n = len(codes)
-        self.symbols, number = np.unique(codes, return_inverse=True)
         ends = np.zeros(n, bool)
         ends[self.starts[1:] - 1] = True
+        present = np.zeros(0x110000, bool)
+        present[codes[~ends]] = True
+        self.symbols = np.flatnonzero(present).astype(np.int32)
         # ends come first and differ, so no comparison leaves a text; in the transform they are one symbol
-        number = np.where(ends, 0, number + (len(self.symbols) and self.symbols[0] != 0))
-        self.symbols = self.symbols[self.symbols != 0]
-        order = suffix_order(np.where(ends, np.cumsum(ends) - 1, number + int(ends.sum()) - 1))
-        transform = number[order - 1]
+        number = np.where(ends, 0, self._number[codes])
+        del codes
+        order = suffix_order(np.where(ends, np.cumsum(ends, dtype=np.int32) - 1, number + np.int32(len(texts) - 1)))
+        transform = number[order - 1].astype(np.uint32)
+        del number
         #: the first suffix of each symbol
         self.first = np.r_[0, np.cumsum(np.bincount(transform, minlength=len(self.symbols) + 1))]
         self.n_bits = max(1, int(len(self.symbols)).bit_length())
         self.levels, self.zeros = [], []
-        rest = transform.astype(np.uint32)
+        rest = transform
         for shift in range(self.n_bits - 1, -1, -1):
             bit = (rest >> np.uint32(shift)) & np.uint32(1) == 1
             self.levels.append(Bits(bit))
@@ -117,11 +119,18 @@ class FullTextIndex:
         starts[self.starts] = True
         known = (order % SAMPLE == 0) | starts[order]
         self.known, self.places = Bits(known), order[known].astype(np.int32)
-        strings = Strings(texts, np.zeros(len(texts), np.uint64), places=False)
-        self.sizes = strings.size
-        seen = np.zeros(1 << _TABLE_BITS, bool)
-        seen[self._slot(strings.hash)] = True
-        self.seen = np.packbits(seen, bitorder="little")
+        del order, rest, transform, known
+        seen, sizes, piece = np.zeros(1 << _TABLE_BITS, bool), [np.zeros(0, np.int64)], 0
+        while piece < len(texts):
+            stop = max(piece + 1, min(piece + 10_000, int(np.searchsorted(self.starts, self.starts[piece] + BATCH_CHARS))))
+            strings = Strings(texts[piece:stop], np.zeros(stop - piece, np.uint64), places=False)
+            sizes.append(strings.size)
+            seen[self._slot(strings.hash)] = True
+            piece = stop
+        self.sizes, self.seen = np.concatenate(sizes), np.packbits(seen, bitorder="little")
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_number", "text_of", "codes")}
 
     @staticmethod
     def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -355,7 +364,7 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
                 "n_matches": np.r_[found["n_matches"], np.ones(len(short), np.int64)], "matched": np.r_[found["matched"], size[short]],
             }
 
-        part = written(arrow_map(full.where("train").select("cls", "flat"), "flat", schema, kernel, STREAM_CHARS), "links")
+        part = written(arrow_map(full.where("train").select("cls", "flat"), "flat", schema, kernel), "links")
         index.unpersist()
         links.append(part)
     found = functools.reduce(DataFrame.union, links) if links else spark.createDataFrame([], schema)
