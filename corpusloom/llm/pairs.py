@@ -4,7 +4,7 @@ Each answer and thinking text gets at most one defect, the first of: empty (answ
 language, truncated. Copies are found by compressing the text with its question as zstandard dictionary:
 what costs next to nothing says nothing beyond the question. Languages are told by scripts and
 dictionaries of function words, refusals by dictionaries of refusing phrases outside of quotations,
-truncation by the terminal-context model of problem 5 over the same fields.
+truncation by the terminal-context model of problem 5, fitted as there.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, table
 from .textform import canonical
-from .truncation import truncated
+from .truncation import truncated, values
 
 #: Bytes that a copy may cost per byte of its length besides the frame, and its length against the question's.
 COPY_COST, COPY_LENGTH = 0.34, 0.6
@@ -108,9 +108,11 @@ def _frame() -> int:
 
 def copy_cost(text: str, question: str) -> float:
     """Bytes of the text, compressed with the question as dictionary, for each byte of it."""
-    raw = text.encode("utf-8", "surrogatepass")
-    prompt = zstandard.ZstdCompressionDict(question.encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    parameters = zstandard.ZstdCompressionParameters(window_log=16, chain_log=10, hash_log=10, search_log=4, min_match=3, target_length=64, strategy=zstandard.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
+    raw, asked = text.encode("utf-8", "surrogatepass"), question.encode("utf-8", "surrogatepass")
+    prompt = zstandard.ZstdCompressionDict(asked, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    # window and tables hold the question and the text, however long they are
+    bits = (len(raw) + len(asked)).bit_length()
+    parameters = zstandard.ZstdCompressionParameters(window_log=min(27, max(16, bits)), chain_log=min(27, max(10, bits)), hash_log=min(26, max(10, bits)), search_log=4, min_match=3, target_length=64, strategy=zstandard.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
     return (len(zstandard.ZstdCompressor(dict_data=prompt, compression_params=parameters).compress(raw)) - _frame()) / len(raw)
 
 
@@ -169,9 +171,10 @@ def pair_fields(df: DataFrame) -> DataFrame:
     return df.select("item_id", "question", F.col("qa_generator").alias("source"), F.explode(F.array(*fields)).alias("f")).select("item_id", "f.field_name", "question", "f.text", "source")
 
 
-def defects(df: DataFrame) -> DataFrame:
+def defects(df: DataFrame, others: DataFrame | None = None) -> DataFrame:
     """(item_id, field_name, defect) of the defective fields of rows (item_id, question, answer, thinking, qa_generator).
 
+    others are further values, as truncation.values gives them, whose sentence ends the terminal contexts are learned from too.
     A null thinking text is no defect, a null answer is empty; a null question allows neither copy nor
     language. Very long texts and repeated rows pass (a row of each); an empty table gives no rows.
     """
@@ -189,18 +192,22 @@ def defects(df: DataFrame) -> DataFrame:
     item = dict(df.dtypes)["item_id"]
     plain = arrow_map(fields.select("item_id", "field_name", "question", "text"), "text", f"item_id {item}, field_name string, defect string", kernel)
     ends = fields.select(F.lit("qa_row").alias("tbl"), F.col("item_id").cast("string").alias("row_key"), "field_name", "source", "text")
-    cut = truncated(ends)[0].where("cut").select(F.col("row_key").cast(item).alias("item_id"), "field_name", F.lit("truncated").alias("defect"))
+    cut = truncated(ends if others is None else ends.union(others))[0].where("cut and tbl = 'qa_row'").select(F.col("row_key").cast(item).alias("item_id"), "field_name", F.lit("truncated").alias("defect"))
     # the other labels come first
     first = F.min_by("defect", F.when(F.col("defect") == "truncated", 1).otherwise(0)).alias("defect")
     return plain.union(cut).groupBy("item_id", "field_name").agg(first)
 
 
+def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects(table(spark, sf_dir, "qa_row"), values(spark, sf_dir).where("tbl <> 'qa_row'"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return defects(table(spark, sf_dir, "qa_row"))
+    return _defects(spark, sf_dir)
 
 
 def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defects per generator and field."""
     rows = table(spark, sf_dir, "qa_row")
-    found = defects(rows).join(rows.select("item_id", "qa_generator"), "item_id")
+    found = _defects(spark, sf_dir).join(rows.select("item_id", "qa_generator"), "item_id")
     return found.groupBy("qa_generator", "field_name", "defect").agg(F.count("*").alias("n"))

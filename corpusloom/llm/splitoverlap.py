@@ -130,7 +130,7 @@ class FullTextIndex:
         self.sizes, self.seen = np.concatenate(sizes), np.packbits(seen, bitorder="little")
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_number", "text_of", "codes")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_number", "text_of", "codes", "found")}
 
     @staticmethod
     def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -184,6 +184,10 @@ class FullTextIndex:
             steps += 1
         return out
 
+    @functools.cached_property
+    def found(self) -> Found:
+        return Found(self)
+
     @functools.cached_property
     def text_of(self) -> np.ndarray:
         """The number of the text at each place."""
@@ -218,6 +222,53 @@ def classed(df: DataFrame) -> DataFrame:
     return arrow_map(df.select("key", "train", "text"), "text", "key string, train boolean, cls long, flat string", kernel)
 
 
+class Found:
+    """What a task has found of strings in a shard so far: a string of several texts is searched and located once. No larger than the shard."""
+
+    def __init__(self, index: FullTextIndex):
+        self.index = index
+        self.hash = np.zeros(0, np.uint64)
+        #: by string: its number of places, its first suffix, and where its postings begin (-1: not located) and how many there are
+        self.count, self.low, self.begin, self.n = (np.zeros(0, np.int64) for _ in range(4))
+        #: of a string's places in a held-out text the first one stands for all
+        self.text, self.place = np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def slots(self, s: Strings, of: np.ndarray) -> np.ndarray:
+        """The slots of the strings with these numbers, after those that are new have been searched."""
+        order = np.argsort(s.hash[of])
+        hashes = s.hash[of][order]
+        new = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+        at = np.searchsorted(self.hash, hashes[new])
+        fresh = np.ones(len(new), bool)
+        fresh[at < len(self.hash)] = self.hash[at[at < len(self.hash)]] != hashes[new[at < len(self.hash)]]
+        if fresh.any():
+            sample = of[order[new[fresh]]]
+            low, high = self.index.search(s.codes[s.at[sample][:, None] + np.arange(GRAM)])
+            where = at[fresh]
+            self.hash = np.insert(self.hash, where, s.hash[sample])
+            self.low, self.count = np.insert(self.low, where, low), np.insert(self.count, where, high - low)
+            self.begin, self.n = np.insert(self.begin, where, -1), np.insert(self.n, where, 0)
+        out = np.empty(len(of), np.int64)
+        out[order] = np.repeat(np.searchsorted(self.hash, hashes[new]), np.diff(np.r_[new, len(hashes)]))
+        return out
+
+    def locate(self, slots: np.ndarray) -> None:
+        """Makes sure that the strings of these slots have their postings."""
+        slots = np.unique(slots[self.begin[slots] < 0])
+        width = self.count[slots]
+        which = np.repeat(np.arange(len(slots)), width)
+        at = self.index.locate(self.low[slots][which] + np.arange(len(which)) - np.repeat(np.cumsum(width) - width, width))
+        at += which * self.index.n
+        at.sort()
+        which, at = at // self.index.n, at % self.index.n
+        text = self.index.text_of[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (text[1:] != text[:-1]) | (which[1:] != which[:-1])
+        n = np.bincount(which[new], minlength=len(slots))
+        self.n[slots], self.begin[slots] = n, len(self.text) + np.cumsum(n) - n
+        self.text, self.place = np.r_[self.text, text[new]], np.r_[self.place, at[new].astype(np.int32)]
+
+
 def _looked_at(size: np.ndarray) -> np.ndarray:
     """How many of a text's strings are located, those with no place included: all but as many as leave HITS of the shared ones."""
     shared = -(-NUMER * size // DENOM)
@@ -226,11 +277,10 @@ def _looked_at(size: np.ndarray) -> np.ndarray:
 
 def _hits(s: Strings, index: FullTextIndex):
     """Blocks (text, held-out text, place in the texts, place in the index) of located strings, a row for each string and held-out text; all rows of a text are in one block."""
-    maybe = np.flatnonzero(index.may_have(s.hash))
-    _, sample, of = np.unique(s.hash[maybe], return_index=True, return_inverse=True)
-    low, high = index.search(s.codes[s.at[maybe[sample]][:, None] + np.arange(GRAM)])
-    count = np.zeros(len(s.hash), np.int64)
-    count[maybe] = (high - low)[of]
+    maybe, found = np.flatnonzero(index.may_have(s.hash)), index.found
+    slot, count = np.full(len(s.hash), -1), np.zeros(len(s.hash), np.int64)
+    slot[maybe] = found.slots(s, maybe)
+    count[maybe] = found.count[slot[maybe]]
     # the strings with the fewest places first: so many of a text's strings that HITS of them are shared if the measure is met
     rare = np.argsort((s.owner << 32) | count)
     shared = -(-NUMER * s.size // DENOM)
@@ -240,21 +290,8 @@ def _hits(s: Strings, index: FullTextIndex):
     first = np.sort(first[enough[s.owner[first]]])
     if not len(first):
         return
-    string = np.zeros(len(s.hash), np.int64)
-    string[maybe] = of
-    # each different string is located once; of its places in a held-out text the first one stands for all
-    wanted, which = np.unique(string[first], return_inverse=True)
-    width = (high - low)[wanted]
-    at = index.locate(np.repeat(low[wanted], width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width))
-    at += np.repeat(np.arange(len(wanted)), width) * index.n
-    at.sort()
-    of_string, at = at // index.n, at % index.n
-    key = of_string * len(index.texts) + index.text_of[at]
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    key, at = key[new], at[new]
-    begin = np.searchsorted(key, np.arange(len(wanted) + 1) * len(index.texts))
-    n = (begin[1:] - begin[:-1])[which]
+    found.locate(slot[first])
+    begin, n = found.begin[slot[first]], found.n[slot[first]]
     per_text = np.cumsum(np.bincount(s.owner[first], weights=n, minlength=len(s.size)))
     text = 0
     while text < len(s.size):
@@ -263,17 +300,24 @@ def _hits(s: Strings, index: FullTextIndex):
         a, b = np.searchsorted(s.owner[first], [text, stop])
         m = n[a:b]
         i = np.repeat(np.arange(a, b), m)
-        hit = np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m) + begin[which[i]]
-        held = key[hit] % len(index.texts)
+        hit = np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m) + begin[i]
+        held = found.text[hit].astype(np.int64)
         owner = s.owner[first[i]]
         x, y = s.size[owner], index.sizes[held]
         ok = np.minimum(x, y) * DENOM >= np.maximum(x, y) * NUMER
-        yield owner[ok], held[ok], s.at[first[i[ok]]], at[hit[ok]]
+        yield owner[ok], held[ok], s.at[first[i[ok]]], found.place[hit[ok]].astype(np.int64)
         text = stop
 
 
 def _spans(s: Strings, index: FullTextIndex, pair: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarray, held: np.ndarray, n_pairs: int) -> tuple[np.ndarray, np.ndarray]:
     """Per pair the merged spans of maximal matches of RUN code points or more around the hits, and the code points in them."""
+    # hits side by side in one match: the first of them stands for all
+    diagonal = at - place
+    order = np.lexsort((at, diagonal, pair))
+    pair, at, place, text, held, diagonal = (x[order] for x in (pair, at, place, text, held, diagonal))
+    first = np.ones(len(at), bool)
+    first[1:] = (pair[1:] != pair[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] - at[:-1] > GRAM)
+    pair, at, place, text, held = (x[first] for x in (pair, at, place, text, held))
     a, b = at - s.ends[text], place - index.starts[held]
     left = agreeing(s.codes, index.codes, at - 1, place - 1, np.minimum(a, b), -1)
     right = agreeing(s.codes, index.codes, at, place, np.minimum(s.ends[text + 1] - at, index.starts[held + 1] - 1 - place), 1)

@@ -111,17 +111,19 @@ def safe_class() -> str:
 @functools.cache
 def _kernel():
     codes = {ord(a): b for a, b in fold_table().items()}
-    return re.compile(f"[{safe_class()}]*\\Z").match, codes, unicodedata.normalize
+    # most code points are safe ones: only the runs of others are looked up
+    others = re.compile(f"[^{safe_class()}]+").sub
+    return re.compile(f"[{safe_class()}]*\\Z").match, functools.partial(others, lambda m: m[0].translate(codes)), codes, unicodedata.normalize
 
 
 def canonical(text: str) -> str:
     """The form of one text. Null is the caller's case; an empty text is its own form."""
-    safe, codes, normalize = _kernel()
+    safe, folded, _, normalize = _kernel()
     if safe(text):
         return text
-    return normalize("NFC", text.translate(codes))
+    return normalize("NFC", folded(text))
 
 
 def canonical_plain(text: str) -> str:
-    """The form by the plain definition, without the shortcut."""
-    return unicodedata.normalize("NFC", text.translate(_kernel()[1]))
+    """The form by the plain definition, without the shortcuts."""
+    return unicodedata.normalize("NFC", text.translate(_kernel()[2]))

@@ -6,7 +6,8 @@ lengths by window functions; a Poisson tail gives its p-value, and the Benjamini
 the false discoveries of a source. Exact copies of a text count once.
 
 Endings: the end of a value either shows that it is whole (final mark, list line, source note, short answer), or
-that it is cut (mid-transfer sign, comma, open quotation), or shows neither. For the last kind a
+that it is cut (mid-transfer sign, comma, open quotation), or shows neither. An ellipsis at the end is no final mark: what
+stands before it is judged. For the last kind a
 terminal-context model decides: the last characters of a sentence and its rough length must be a
 context that sentences of this corpus do end with. At a significant length no unmarked end passes.
 """
@@ -42,6 +43,7 @@ _SENTENCE = re.compile(rf"[^{_MARK}\n]*[{_MARK}]")
 _LIST_LINE = re.compile(r"\s*(?:[・*•‣◦-]|\d+[.)]|[①-⑳])\s*\S")
 _HEADING = re.compile(r"\s*(?:#{1,6}\s.*|=+[^=]+=+)\s*$")
 _POLITE = re.compile(r"(?:です|ます|ません|ました|でした|である|ください)$")
+_ELLIPSIS = re.compile(r"(?:\.{3,}|\u2026+|\u30fb{3,})[\"'\u201d\u300d\u300f)）]*$")
 _JAPANESE_NUMBER = re.compile(r"[぀-ヿ一-鿿][^.]*\d\.$")
 _BRACKET = re.compile(r"^(.*?)\s*[(（][^()（）]*[)）]$", re.S)
 _QUOTES = {"」": "「", "』": "『", "”": "“", '"': '"'}
@@ -72,6 +74,14 @@ def ending(form: str, short_allowed: bool) -> tuple[str, str]:
     line = form.rsplit("\n", 1)[-1]
     if _LIST_LINE.match(line) or _HEADING.match(line):
         return "whole", ""
+    trailing = _ELLIPSIS.search(form)
+    if trailing:
+        # an ellipsis stands for what is missing: the end before it is judged without it, and short answers have none
+        form = form[: trailing.start()].rstrip()
+        tail = re.split(rf"[{_MARK}\n]", form)[-1].rstrip()
+        if not any(c.isalnum() for c in tail) or _POLITE.search(tail):
+            return "whole", ""
+        return "open", context(tail)
     if last in _MARK:
         return ("cut" if last == "." and _JAPANESE_NUMBER.search(line) else "whole"), ""
     if last in ")）":
