@@ -1,18 +1,19 @@
 """Problem 9: the subjects of each document.
 
-Normalised term vectors of all documents are clustered by bisecting k-means with cosine distance. The leaves are
-labelled with subjects: each leaf's share of the labelled sample's subjects, smoothed over leaves by
-their discriminative terms. A term belongs to a subject by its rate in that subject's leaves against the
-other subjects', and a document's mixture is that of its discriminative terms; subjects that fill a
-large part of it are assigned, one or two.
-
-The corpus is read once for the terms. Model sizes are parameters (terms, leaves), so what is broadcast doesn't
-grow with the corpus; the labelled sample is only joined and counted.
+Normalised term vectors of all documents are written once and clustered by bisecting k-means with cosine distance. The
+leaves are labelled with subjects: by each leaf's share of the labelled sample and of the terms of the subjects' descriptions,
+smoothed over leaves with similar discriminative terms. A document is a mixture of leaves: the weights under which the
+discriminative terms of the leaves make its own ones most likely. They give its mixture of subjects; those that
+fill a large part of it are assigned, one or two.
+
+The corpus is read once for the terms. What is sent to tasks is bounded: leaves are a parameter, and a vocabulary holds
+only terms of a least share of documents, so at most the terms of a document divided by that share.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,15 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, arrow_map, blank, table, written
 from .textform import canonical
 
-#: Size of the vocabulary, and the shares of documents that a term occurs in at least (of all) and at most (of those in the same script).
-VOCABULARY, LEAST_SHARE, MOST_SHARE, LEAST_COMMON = 8192, 2e-4, 0.45, 10
+#: The shares of documents that a term of the vocabulary occurs in at least (of all) and at most (of those in the same script).
+LEAST_SHARE, MOST_SHARE, LEAST_COMMON = 2e-4, 0.45, 10
 LEAVES, SCRIPTS, ROUNDS, SEED = 128, 2, 8, 7
 #: Documents per leaf, at least, where the corpus is too small for all leaves.
 LEAF_DOCUMENTS = 30
-#: A term is discriminative for a subject from this part of its rates on; a document has one clear subject from this part on.
-PURITY, CLEAR_PART = 0.6, 0.8
+#: A term is discriminative for a subject from this part of its rates on. Labelled documents that a description counts as.
+PURITY, DESCRIPTION = 0.6, 5.0
+#: Steps of the mixture of leaves, and documents mixed at once.
+STEPS, MIXED = 4, 2000
 #: Part of the usual number of labels of a leaf's size below which it counts as about nothing, and the usual number from which this can be told.
 MISSING_LABELS, LEAST_USUAL = 0.5, 5
 #: Share of a document's discriminative terms from which on a subject is assigned, and the occurrences that a second one needs (a passing mention is
@@ -57,14 +60,14 @@ def _mostly_latin():
 
 
 def frequent_terms(terms: DataFrame) -> tuple[int, list[str]]:
-    """Number of documents, and the vocabulary: terms of enough documents that aren't common in the documents of a script."""
+    """Number of documents, and the vocabulary, 1 / LEAST_SHARE times the terms of a document at most: terms of enough documents that aren't common in the documents of a script."""
     docs = terms.select(_mostly_latin().alias("latin"), F.array_distinct("terms").alias("terms"))
     n = {r["latin"]: r["count"] for r in docs.groupBy("latin").count().collect()}
     total = sum(n.values())
     counts = docs.select("latin", F.explode("terms").alias("term")).groupBy("term").agg(F.count_if("latin").alias("a"), F.count_if(~F.col("latin")).alias("b"))
     common = (F.col("a") > max(LEAST_COMMON, MOST_SHARE * n.get(True, 0))) | (F.col("b") > max(LEAST_COMMON, MOST_SHARE * n.get(False, 0)))
     kept = counts.where((F.col("a") + F.col("b") >= max(3, LEAST_SHARE * total)) & ~common)
-    return total, [r["term"] for r in kept.orderBy(F.desc(F.col("a") + F.col("b")), "term").limit(VOCABULARY).collect()]
+    return total, [r["term"] for r in kept.orderBy("term").collect()]
 
 
 def _known_terms(terms: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -99,7 +102,7 @@ def _leaf_counts(vectors: DataFrame, vocabulary: list[str]) -> np.ndarray:
         leaf, term = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(term.astype(np.int32)), pa.array(total[leaf, term])], ["leaf", "term", "n"])
 
-    rows = vectors.mapInArrow(run, "leaf int, term int, n double").groupBy("leaf", "term").agg(F.sum("n").alias("n")).toPandas()  # LEAVES x VOCABULARY at most
+    rows = vectors.mapInArrow(run, "leaf int, term int, n double").groupBy("leaf", "term").agg(F.sum("n").alias("n")).toPandas()  # LEAVES x vocabulary at most
     out = np.zeros((LEAVES, len(vocabulary)))
     out[rows["leaf"], rows["term"]] = rows["n"]
     return out
@@ -121,15 +124,24 @@ def _leaf_subjects(leaf_terms: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return mixed / (mixed.sum(axis=1, keepdims=True) + 1e-9)
 
 
-def term_subjects(terms: DataFrame, labels: DataFrame, subjects: list[str]) -> tuple[list[str], np.ndarray]:
-    """Vocabulary and, for each term, the weight of each subject (0 where the term is not discriminative) and, last, of none."""
-    n, vocabulary = frequent_terms(terms)
+@dataclass
+class LeafModel:
+    """Terms that are discriminative for a subject, their rates in each leaf, and the subject mixture of each leaf (none last)."""
+
+    terms: list[str]
+    rates: np.ndarray
+    subjects: np.ndarray
+
+
+def leaf_model(terms: DataFrame, labels: DataFrame, subjects: list[str], descriptions: dict[str, list[str]]) -> tuple[DataFrame, LeafModel]:
+    """(doc_id, terms, leaf) of the documents with enough known terms, and the model of the leaves."""
+    _, vocabulary = frequent_terms(terms)
     if not vocabulary:
-        return [], np.zeros((0, len(subjects) + 1))
+        return terms.limit(0).withColumn("leaf", F.lit(0)), LeafModel([], np.zeros((LEAVES, 0)), np.zeros((LEAVES, len(subjects) + 1)))
     counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf")
-    terms = written(_known_terms(terms, vocabulary), "known")
-    tf = counted.transform(terms)
-    unit = Normalizer(inputCol="tfidf", outputCol="features").transform(IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf)).withColumn("latin", _mostly_latin())
+    tf = written(counted.transform(_known_terms(terms, vocabulary)), "tf")
+    unit = Normalizer(inputCol="tfidf", outputCol="features").transform(IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf))
+    unit = written(unit.select("doc_id", "terms", "features", _mostly_latin().alias("latin")), "vectors")
     parts = []
     # texts in different scripts share no term: each script has its own clusters
     for at, rows in enumerate((unit.where("latin"), unit.where("not latin"))):
@@ -155,7 +167,17 @@ def term_subjects(terms: DataFrame, labels: DataFrame, subjects: list[str]) -> t
     observed = by_leaf.sum(axis=1)
     usual = observed.sum() / max(in_leaf.sum(), 1) * in_leaf
     by_leaf[:, -1] = np.where(usual >= LEAST_USUAL, np.maximum(0, MISSING_LABELS * usual - observed), 0)
-    return vocabulary, refined(leaves, vocabulary, _weights(leaf_terms, by_leaf))
+    # a description counts as some labelled documents, in the leaves in which its terms occur
+    place = {t: i for i, t in enumerate(vocabulary)}
+    for i, subject in enumerate(subjects):
+        own = leaf_terms[:, [place[t] for t in set(descriptions.get(subject, [])) if t in place]]
+        if own.sum():
+            by_leaf[:, i] += DESCRIPTION * (own / np.maximum(own.sum(axis=0), 1e-9)).mean(axis=1)
+    mixture = _leaf_subjects(leaf_terms, by_leaf) ** 2  # a leaf speaks for its main subject
+    mixture /= mixture.sum(axis=1, keepdims=True) + 1e-9
+    use = np.flatnonzero(discriminative(mixture.T @ leaf_terms).any(axis=1))
+    rates = leaf_terms[:, use] + 0.01
+    return leaves, LeafModel([vocabulary[i] for i in use], rates / rates.sum(axis=1, keepdims=True) if len(use) else rates, mixture)
 
 
 def _by_doc():
@@ -164,13 +186,6 @@ def _by_doc():
     return Window.partitionBy("doc_id")
 
 
-def _weights(leaf_terms: np.ndarray, by_leaf: np.ndarray) -> np.ndarray:
-    """Terms x subjects, from the leaves."""
-    mixture = _leaf_subjects(leaf_terms, by_leaf) ** 2  # a leaf speaks for its main subject
-    mixture /= mixture.sum(axis=1, keepdims=True) + 1e-9
-    return discriminative(mixture.T @ leaf_terms)
-
-
 def discriminative(own: np.ndarray) -> np.ndarray:
     """Terms x subjects: 1 where the term is discriminative for the subject, of occurrences subjects x terms."""
     rate = (own + own.sum(axis=0) / max(own.sum(), 1e-9)) / (own.sum(axis=1, keepdims=True) + 1)
@@ -178,67 +193,65 @@ def discriminative(own: np.ndarray) -> np.ndarray:
     return np.where((part == part.max(axis=1, keepdims=True)) & (part >= PURITY), 1.0, 0.0)
 
 
-def _scores(lists: pa.Array, vocabulary: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Discriminative occurrences by document and subject (0 where they are too few), and size, documents and term numbers."""
-    size = np.asarray(pc.list_value_length(lists))
-    index = pc.index_in(lists.flatten(), value_set=vocabulary)
-    doc = np.repeat(np.arange(len(lists)), size)[np.asarray(index.is_valid())]
-    term = np.asarray(index.drop_null())
-    score = np.zeros((len(lists), weights.shape[1]))
-    np.add.at(score, doc, weights[term])
-    total = score.sum(axis=1)
-    score[(total < LEAST_OCCURRENCES) | (total < LEAST_DENSITY * size)] = 0
-    return score, size, doc, term
-
-
-def refined(terms: DataFrame, vocabulary: list[str], weights: np.ndarray) -> np.ndarray:
-    """The weights again, from the documents that the weights give one subject."""
-    n_subjects = weights.shape[1]
-
-    def run(batches):
-        total = np.zeros((n_subjects, len(vocabulary)))
-        values = pa.array(vocabulary, pa.string())
-        for b in batches:
-            score, _, doc, term = _scores(b.column("terms"), values, weights)
-            top, one = score.argmax(axis=1), score.max(axis=1) >= CLEAR_PART * np.maximum(score.sum(axis=1), 1)
-            use = one[doc]
-            np.add.at(total, (top[doc[use]], term[use]), 1)
-        subject, term = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(subject.astype(np.int32)), pa.array(term.astype(np.int32)), pa.array(total[subject, term])], ["subject", "term", "n"])
+def leaf_mixture(doc: np.ndarray, term: np.ndarray, count: np.ndarray, rates: np.ndarray, n: int) -> np.ndarray:
+    """Weights of the leaves in each of n documents, of term counts in the order of documents: expectation and maximisation from equal weights on."""
+    weight = np.full((n, len(rates)), 1 / len(rates), np.float32)
+    if not len(doc):
+        return weight
+    start = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    likely, total = rates[:, term].T.astype(np.float32), np.add.reduceat(count, start)[:, None]
+    for _ in range(STEPS):
+        part = likely * weight[doc]
+        part *= (count / (part.sum(axis=1) + 1e-30))[:, None]
+        weight[doc[start]] = np.add.reduceat(part, start, axis=0) / total
+    return weight
 
-    rows = terms.select("terms").mapInArrow(run, "subject int, term int, n double").groupBy("subject", "term").agg(F.sum("n").alias("n")).toPandas()  # subjects x VOCABULARY at most
-    own = np.zeros((n_subjects, len(vocabulary)))
-    own[rows["subject"], rows["term"]] = rows["n"]
-    return discriminative(own)
 
-
-def mixtures(terms: DataFrame, vocabulary: list[str], weights: np.ndarray, subjects: list[str]) -> DataFrame:
-    """(doc_id, subject, share, n_occurrences) of every subject with a discriminative term in the document."""
-    doc_type = dict(terms.dtypes)["doc_id"]
+def mixtures(leaves: DataFrame, model: LeafModel, subjects: list[str]) -> DataFrame:
+    """(doc_id, subject, share, n_occurrences) of the subjects in each document (doc_id, terms, leaf) that has enough discriminative terms; the leaves of its script are mixed."""
+    doc_type, per_script = dict(leaves.dtypes)["doc_id"], LEAVES // SCRIPTS
 
     def kernel(batch: pa.RecordBatch) -> dict | None:
-        score, _, _, _ = _scores(batch.column("terms"), pa.array(vocabulary, pa.string()), weights)
-        total = score.sum(axis=1)
-        row, subject = np.nonzero(score[:, :-1])
+        lists = batch.column("terms")
+        size, script = np.asarray(pc.list_value_length(lists)), np.asarray(batch.column("leaf")) // per_script
+        index = pc.index_in(lists.flatten(), value_set=pa.array(model.terms, pa.string()))
+        key = np.repeat(np.arange(len(size)), size)[np.asarray(index.is_valid())] * max(1, len(model.terms)) + np.asarray(index.drop_null())
+        key, count = np.unique(key, return_counts=True)
+        doc, term = key // max(1, len(model.terms)), key % max(1, len(model.terms))
+        total = np.bincount(doc, weights=count, minlength=len(size))
+        share = np.zeros((len(size), len(subjects) + 1), np.float32)
+        for at in range(SCRIPTS):
+            own = slice(at * per_script, (at + 1) * per_script)
+            for first in range(0, len(size), MIXED):
+                use = np.flatnonzero((doc >= first) & (doc < first + MIXED) & (script[doc] == at))
+                weight = leaf_mixture(doc[use] - first, term[use], count[use].astype(np.float32), model.rates[own], min(MIXED, len(size) - first))
+                rows = np.unique(doc[use])
+                share[rows] = weight[rows - first] @ model.subjects[own]
+        share[(total < LEAST_OCCURRENCES) | (total < LEAST_DENSITY * size)] = 0
+        row, subject = np.nonzero(share[:, :-1] >= LARGE_PART)
         if not len(row):
             return None
-        return {"doc_id": batch.column("doc_id").take(pa.array(row)), "subject": [subjects[i] for i in subject], "share": score[row, subject] / total[row], "n_occurrences": score[row, subject].astype(np.int64)}
+        found = share[row, subject]
+        return {"doc_id": batch.column("doc_id").take(pa.array(row)), "subject": [subjects[i] for i in subject], "share": found.astype(np.float64), "n_occurrences": np.rint(found * total[row]).astype(np.int64)}
 
-    return arrow_map(terms, None, f"doc_id {doc_type}, subject string, share double, n_occurrences long", kernel)
+    return arrow_map(leaves, None, f"doc_id {doc_type}, subject string, share double, n_occurrences long", kernel)
 
 
 def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, subject, share) of one or two subjects of each document that is about any.
 
     Null and blank texts, and texts with hardly any discriminative term, have no subject. Labels of unknown
-    documents or subjects are ignored, repeated labels count once; without labels or subjects nothing is assigned.
+    documents or subjects are ignored, repeated labels count once; without subjects nothing is assigned. subjects has
+    (subject, description); a null description says nothing.
     """
-    names = sorted(r["subject"] for r in subjects.select("subject").where("subject is not null").distinct().collect())  # a row per subject
-    terms = written(terms_of(docs, doc_id, text), "terms")
-    vocabulary, weights = term_subjects(terms, labels, names) if names else ([], np.zeros((0, 1)))
-    found = mixtures(terms, vocabulary, weights, names)
-    ranked = found.withColumn("rank", F.row_number().over(_by_doc().orderBy(F.desc("share"), "subject")))
-    return ranked.where(f"share >= {LARGE_PART} and (rank = 1 or rank = 2 and n_occurrences >= {SECOND_OCCURRENCES})").select("doc_id", "subject", "share")
+    areas = subjects.select("subject", "description" if "description" in subjects.columns else F.lit(None).cast("string").alias("description")).where("subject is not null")
+    said: dict[str, list[str]] = {}
+    for r in areas.distinct().collect():  # a row per subject
+        said.setdefault(r["subject"], []).extend(_TERM.findall(canonical(r["description"] or "").lower()))
+    names = sorted(said)
+    leaves, model = leaf_model(written(terms_of(docs, doc_id, text), "terms"), labels, names, said)
+    ranked = mixtures(leaves, model, names).withColumn("rank", F.row_number().over(_by_doc().orderBy(F.desc("share"), "subject")))
+    return ranked.where(f"rank = 1 or rank = 2 and n_occurrences >= {SECOND_OCCURRENCES}").select("doc_id", "subject", "share")
 
 
 def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
