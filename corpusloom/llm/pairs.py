@@ -34,7 +34,7 @@ _TAG = re.compile(r"</?[A-Za-z_][\w-]*\s*/?>")
 # Texts that stand for no answer.
 _PLACEHOLDERS = frozenset("n/a na null none nil nan undefined tbd todo empty blank 空欄 なし 無し 無回答 未回答 未記入 未入力 該当なし 回答なし 省略".split())
 
-# Function words by language (Latin scripts), and characters that Chinese but not Japanese texts have.
+# Function words by language (Latin scripts).
 _WORDS = {
     "en": "the of and to in is was were that with for by on at from this it as are be an did what which who how why when where about says said more than",
     "es": "el la los las de del que y en un una por con para se es son lo su al como más nadie quién cada año según eso sigue siendo este esta",
@@ -43,7 +43,8 @@ _WORDS = {
     "pt": "o a os as de do da dos das e em um uma que para por com não se é são no na mais ao como seu sua ainda",
     "it": "il lo la gli le di del della che e in un una per con non si è sono da al alla più come questo questa",
 }
-_CHINESE = "的了这们着还个为从后来对时说没过让给见样关发应该问题数减旧认检现实际经济业务与书产产东车门间开长头几么吗呢吧啊哪谁您它她你很都也只又就再才并把被将该其之于而但或若则"
+# Fixed value: function words of Chinese whose characters Japanese has, too, but rarely writes.
+_CHINESE_WORDS = "的了很都也"
 _REQUESTS = {
     "en": r"英語|英文|\bin english\b",
     "ja": r"日本語|和文|\bin japanese\b",
@@ -56,17 +57,18 @@ _REQUESTS = {
     "it": r"イタリア語|\bin italian\b",
 }
 
-# Phrases by which a text declines. Written in the one form where it differs (long vowel mark, 力, 口 ...).
+# Phrases by which a text declines. The expressions are brought to the one form, as the texts are.
 _REFUSALS = re.compile(
-    r"(?:答え|応え|応じ|回答|お?手伝い|提供|対応|協力|協カ|サポート|判断|説明|案内|お伝え|支援)[^。.!?「」]{0,12}?(?:できません|できかねます|できない|いたしかねます|致しかねます|しかねます|られません|られない|られん|ませんので|控えさせて|控えます|お断り|立場にございません|立場にありません|立場ではありません)"
+    canonical(
+    r"(?:答え|応え|応じ|回答|お?手伝い|提供|対応|協力|サポート|判断|説明|案内|お伝え|支援)[^。.!?「」]{0,12}?(?:できません|できかねます|できない|いたしかねます|致しかねます|しかねます|られません|られない|られん|ませんので|控えさせて|控えます|お断り|立場にございません|立場にありません|立場ではありません)"
     r"|(?:控えさせて(?:いただき|頂き)|お断りいたし|お断りし|ご遠慮(?:させて|いたし))"
-    r"|答えられんのよ"
     r"|\b(?:i|we)(?:'m| am|'re| are)? (?:(?:really |very )?(?:sorry|afraid)[, ]+(?:but )?(?:i|we) )?(?:cannot|can't|can not|won't|will not|unable to|not able to|not allowed to|must decline|have to decline|decline to|refuse to)\b[^.!?]{0,40}?\b(?:answer|help|assist|provide|respond|reply|comply|discuss|share|support|fulfil|fulfill|do that|with that|with this)\b"
-    r"|\bas an? (?:ai|language model)\b[^.!?]{0,40}\b(?:cannot|can't|unable|not able|won't)\b",
+    r"|\bas an? (?:ai|language model)\b[^.!?]{0,40}\b(?:cannot|can't|unable|not able|won't)\b"
+    ),
     re.I,
 )
 _QUOTED = re.compile(r"「[^」]*」|『[^』]*』|“[^”]*”|\"[^\"]*\"")
-_POLITE_REST = re.compile(r"申し訳(?:ありません|ございません)が?|すみません(?:が)?|恐れ入りますが|残念ながら|(?:AI|言語モデル)としては|[^。]{0,40}については|専門の窓[口ロ]に[^。]*|別の質問を[^。]*|かんにんして[^。]*|ご了承[^。]*|(?:i'm )?sorry|unfortunately|please[^.!?]*|as an? [^,.]*", re.I)
+_POLITE_REST = re.compile(canonical(r"申し訳(?:ありません|ございません)が?|すみません(?:が)?|恐れ入りますが|残念ながら|(?:AI|言語モデル)としては|[^。]{0,40}については|専門の窓口に[^。]*|別の質問を[^。]*|ご了承[^。]*|(?:i'm )?sorry|unfortunately|please[^.!?]*|as an? [^,.]*"), re.I)
 _LATIN_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ']+")
 
 
@@ -75,6 +77,20 @@ def _word_sets() -> dict[str, frozenset[str]]:
     return {k: frozenset(v.split()) for k, v in _WORDS.items()}
 
 
+def _encodes(c: str, codec: str) -> bool:
+    try:
+        return bool(c.encode(codec))
+    except UnicodeEncodeError:
+        return False
+
+
+@functools.cache
+def _chinese() -> frozenset[str]:
+    """Characters of the Chinese standards (GB 2312, Big5) that the Japanese one (JIS X 0208) does not have, and some function words."""
+    han = map(chr, range(0x4E00, 0xA000))
+    return frozenset(c for c in han if (_encodes(c, "gb2312") or _encodes(c, "big5")) and not _encodes(c, "shift_jis")) | frozenset(_CHINESE_WORDS)
+
+
 def language(text: str) -> str | None:
     """ja, zh, ko, or a language of the word lists; null if the text doesn't show it."""
     hiragana = sum("ぁ" <= c <= "ゖ" for c in text)
@@ -82,7 +98,8 @@ def language(text: str) -> str | None:
     han = sum("㐀" <= c <= "鿿" for c in text)
     if hangul >= 3 and hangul > hiragana:
         return "ko"
-    chinese = sum(c in _CHINESE for c in text)
+    marks = _chinese()
+    chinese = sum(c in marks for c in text)
     if chinese >= 3 and chinese > 2 * hiragana:
         return "zh"
     if hiragana >= 2:

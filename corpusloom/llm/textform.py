@@ -22,7 +22,10 @@ KEPT_TAGS = ("", "<wide>", "<narrow>", "<noBreak>", "<compat>", "<isolated>", "<
 
 # Look-alike letters, each string of the left written as the letter of the same place on the right.
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνο", "ABEZHIKMNOPTYXvo")
-CYRILLIC = ("АВЕЅІЈКМНОРСТУХаеорсухѕіјԁһԛԝ", "ABESIJKMHOPCTYXaeopcyxsijdhqw")
+CYRILLIC = ("АВЕЅІЈКМНОРСТУХаеорсухѕіјԁһԛԝѵѴԌԚԜүҮ", "ABESIJKMHOPCTYXaeopcyxsijdhqwvVGQWyY")
+ARMENIAN = ("օսոհզցյՏԼՕՍ", "ounhqgjSLOU")
+CHEROKEE = ("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᏔᏃ", "ABCDEGHJKLMPRSTVWZ")
+DOTS = ("·‧∙⋅ᐧ᛫", "・・・・・・")
 LATIN_FORMS = ("ıɡɑ", "iga")
 HYPHENS = ("‐‑‒–−〜", "-----~")
 KANA_HAN = ("一二八口力工夕卜丿ヘベペ", "ーニハロカエタトノへべぺ")
@@ -44,7 +47,7 @@ def _decompose(ch: str) -> str:
 
 @functools.cache
 def lookalikes() -> dict[str, str]:
-    pairs = (GREEK, CYRILLIC, LATIN_FORMS, HYPHENS, KANA_HAN)
+    pairs = (GREEK, CYRILLIC, ARMENIAN, CHEROKEE, LATIN_FORMS, DOTS, HYPHENS, KANA_HAN)
     return {a: b for left, right in pairs for a, b in zip(left, right, strict=True)}
 
 
