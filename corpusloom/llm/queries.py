@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import leakage, mixing, nearcopies, pairs, pieces, splitoverlap, subjects, truncation, visual
+from .oracles import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": visual.p1_found,
@@ -32,5 +33,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_subjects": subjects.p9_subjects,
     "p9_composition": subjects.p9_composition,
 }
-
-ORACLE: dict[str, str] = {"p4_found": pieces.P4_FOUND_SQL}
