@@ -67,7 +67,7 @@ _LEAKS = f"""{_forms("select 'd' as tbl, cast(doc_id as varchar) as k, text from
     leaks as materialized (select doc_id, item_id, max(n + least_run - 1) as n_chars from runs group by doc_id, item_id)"""
 P7_FOUND = f"with {_LEAKS} select doc_id, item_id from leaks"
 P7_LEAKED_ITEMS = f"with {_LEAKS} select item_id, count(*) as n_docs, max(n_chars) as longest from leaks group by item_id"
-P7_CLEAN_DOCUMENTS = f"with {_LEAKS} select * from documents where doc_id not in (select doc_id from leaks)"
+P7_CLEAN_DOCUMENTS = f"with {_LEAKS} select * replace (cast(fetched_at as timestamp) as fetched_at) from documents where doc_id not in (select doc_id from leaks)"
 
 ORACLE: dict[str, str] = {
     "p1_found": P1_FOUND,
