@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import col
 from .ordinals import with_ordinal
 
 
-def digest(text: str):
-    return F.sha2(F.coalesce(F.col(text), F.lit("\0null")), 256)
+def digest(text: Column | str) -> Column:
+    return F.sha2(F.coalesce(col(text), F.lit("\0null")), 256)
 
 
 def first_of_each(df: DataFrame, text: str, order: list[str], within: list[str] | None = None) -> DataFrame:

@@ -237,9 +237,10 @@ def test_stream(spark, tmp_path):
     conf = CptSettings(include_title=False, min_chars=1, max_chars=50, overlap_chars=0, output_path=str(tmp_path / "out"))
     (tmp_path / "in").mkdir()
     for n, texts in enumerate((["a", "b", "a"], ["b", "c"])):
-        (tmp_path / "in" / f"{n}.json").write_text("\n".join(json.dumps({"id": t, "content": t}) for t in texts))
+        (tmp_path / "in" / f"{n}.json").write_text("\n".join([*(json.dumps({"id": t, "content": t}) for t in texts), "{broken"]))
         stream_chunks(spark, str(tmp_path / "in"), str(tmp_path / "check"), conf).awaitTermination()
         assert spark.read.json(str(tmp_path / "out" / "all.jsonl")).count() == (2, 3)[n]
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out" / "rejected.jsonl")).collect()] == ["{broken"]
 
 
 def test_command_line(spark, tmp_path, capsys):
