@@ -8,8 +8,8 @@ number. A replaced character flips two bits at most, an inserted or a lost one (
 two as well. Each word is decoded to the indices of the Golay codewords near it, and words at a distance of two
 or less share one, so a segment with one edit still gives an equal key. At the threshold a text has about one edit in 20
 characters, so by the pigeonhole principle the segments of the shared anchors have one edit or less on average, and some have
-no more than that. Texts with few strings have all of them as anchors, and are paired by the anchor alone. Pairs with an equal
-key are filtered by sizes and by a sketch, and then verified by the exact measure.
+no more than that. Short texts are paired by the anchor alone: as many of their first strings are anchors as any text that
+agrees to 0.6 must share one of. Pairs with an equal key are filtered by sizes and by a sketch, and then verified by the exact measure.
 
 Exact copies are one class before anything is joined, so a text that a third of all rows repeat is one row. An
 anchor that very many texts have is split over a grid of cells. Nothing is capped.
@@ -31,7 +31,7 @@ from .golaycode import near_codewords
 from .textform import canonical
 
 GRAM, THRESHOLD = 5, 0.6
-#: Anchors of a text, characters of a segment, and strings up to which all of a text's strings are anchors.
+#: Anchors of a text, characters of a segment, and strings up to which a text is paired by its anchors alone.
 ANCHORS, SEGMENT, SHORT = 10, 20, 24
 #: A string is frequent if so many texts have it among their first COUNTED ones; it then stands later in the order by that factor.
 FREQUENT, COUNTED = 50, 32
@@ -107,7 +107,9 @@ class Strings:
 
     def anchors(self, frequent: np.ndarray, factor: np.ndarray) -> np.ndarray:
         """Numbers of the strings that are anchors."""
-        use = self.size[self.owner] <= SHORT
+        use = np.zeros(len(self.hash), bool)
+        # texts that are short, or may agree with a short one: one more than the strings that need not be shared
+        most = np.where(self.size <= SHORT * 5 // 3, self.size - -(-3 * self.size // 5) + 1, ANCHORS)
         # no string stands earlier than its hash says, so the first ones by hash mostly have all anchors among them
         todo = np.ones(len(self.size), bool)
         for ahead in (COUNTED, 4 * COUNTED, len(self.hash) + 1):
@@ -125,8 +127,9 @@ class Strings:
             count = np.bincount(owner, minlength=len(self.size))
             nth = np.arange(len(near)) - (np.cumsum(count) - count)[owner]
             # complete if the last anchor stands before all strings that were not looked at
-            short_of = np.bincount(owner, weights=(nth < ANCHORS) & (order > last[owner]), minlength=len(self.size)) > 0
-            use[near[(nth < ANCHORS) & ~short_of[owner]]] = True
+            anchor = nth < most[owner]
+            short_of = np.bincount(owner, weights=anchor & (order > last[owner]), minlength=len(self.size)) > 0
+            use[near[anchor & ~short_of[owner]]] = True
             todo &= short_of
             if not todo.any():
                 break
