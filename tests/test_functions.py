@@ -107,3 +107,11 @@ def test_clean_wiki_text(spark):
     text = "{{t|{{u}}}}'''霧浜'''は[[浦県|浦]]<br/>の__TOC__<span>市</span>。\n{|\n|x\n|}\n== 脚注 ==\ny"
     assert column(spark, wikitext.clean_wiki_text, [text, None, ""]) == ["霧浜は浦\nの市。", None, ""]
     assert column(spark, lambda c: wikitext.strip_residue(wikitext.strip_markup(c)), ["''a''<b>c</b>[[d]]{{e}}"]) == ["acde"]
+
+
+def test_sql_functions(spark):
+    chunker.register(spark)
+    spark.createDataFrame([("a  b\r\n\n\n\nc", "x<q> y </q>", "[[a|b]]"), (None, None, None)], "t string, q string, w string").createOrReplaceTempView("sql_texts")
+    got = spark.sql("select normal_text(t) as t, tag_content(q, 'q') as q, clean_wiki(w) as w from sql_texts order by t nulls last").collect()
+    assert [tuple(r) for r in got] == [("a b\n\nc", "y", "b"), (None, "", None)]
+    assert spark.sql("select s.chunk_index, s.chunk from sql_texts, lateral chunk_text(t, 4, 0) s where t is not null order by 1").count() >= 2
