@@ -40,20 +40,18 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or _own_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 
-@functools.lru_cache
-def _application_dir(shared: str, application: str) -> str:
-    spark = SparkSession.getActiveSession()
-    base = f"{shared}/corpusloom/{application}"
-    # results read these tables lazily, so they stay until the application ends
-    system, target = file_system(spark, base)
-    system.mkdirs(target)
-    system.deleteOnExit(target)
-    return base
+_made: set[str] = set()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path of its own below the shared folder; it is deleted when the application ends."""
-    return f"{_application_dir(shared_dir(spark), spark.sparkContext.applicationId)}/{name}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder. Results read such tables lazily, so they are deleted when the application ends."""
+    base = f"{shared_dir(spark)}/corpusloom/{spark.sparkContext.applicationId}"
+    if base not in _made:
+        system, target = file_system(spark, base)
+        system.mkdirs(target)
+        system.deleteOnExit(target)
+        _made.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import png
 from ..functions.text import strip
 from ..operators.tables import exists, file_system
 
@@ -162,6 +165,29 @@ def crop_box(box: tuple[float, float, float, float], width: int, height: int, ma
     return max(0, int(left * low * width / 1000)), max(0, int(top * low * height / 1000)), min(width, int(right * high * width / 1000)), min(height, int(bottom * high * height / 1000))
 
 
+def crop_images(images: DataFrame, box: str = "box", content: str = "content", margin: float = 0.1) -> DataFrame:
+    """images with column image: the part of each PNG image (binary) within its box, as PNG in base64.
+
+    A box is an array of left, top, right and bottom in thousandths of the image. Null where image or box is null, holds no pixel
+    or cannot be read.
+    """
+
+    @F.pandas_udf("binary")
+    def crop(contents: pd.Series, boxes: pd.Series) -> pd.Series:
+        def one(data, where):
+            if data is None or where is None:
+                return None
+            try:
+                pixels, _ = png.read(data)
+                return png.cropped(data, crop_box(tuple(where), pixels.shape[1], pixels.shape[0], margin))
+            except (ValueError, KeyError, TypeError, zlib.error):
+                return None
+
+        return pd.Series([one(d, w) for d, w in zip(contents, boxes, strict=True)])
+
+    return images.withColumn("image", F.base64(crop(F.col(content), F.col(box))))
+
+
 def pdf_pages(spark: SparkSession, path: str, dpi: int = 200) -> DataFrame:
     """(source_file, page, png) of PDF files, where an optional PDF library is installed."""
     try:

@@ -90,3 +90,31 @@ def test_images_and_boxes(spark, tmp_path):
     assert files.read_images(spark, str(tmp_path)).first()["image"] == "iVBORw=="
     assert files.crop_box((100, 100, 500, 1000), 1000, 500) == (90, 45, 550, 500)
     assert files.read_any(spark, write(tmp_path / "t.csv", "a,b\n1,2")).select(F.col("record")).first()[0] == "a,b\n1,2"
+
+
+def test_crop_images(spark):
+    import base64
+    import zlib
+
+    import numpy as np
+
+    from corpusloom.functions import png
+
+    rng = np.random.default_rng(0)
+    head = b"\0\0\0\0\0\0\0\0\x08\x02\0\0\0"
+    pixels = rng.integers(0, 256, (20, 10, 3)).astype(np.uint8)
+    data = png.write(pixels, {b"IHDR": head})
+    assert (png.read(data)[0] == pixels).all()
+    # the five filters, by their definition
+    rows, above = [], np.zeros(30, int)
+    for y, line in enumerate(pixels.reshape(20, 30).astype(int)):
+        left, corner = np.r_[0, 0, 0, line[:-3]], np.r_[0, 0, 0, above[:-3]]
+        p = left + above - corner
+        near = np.where((abs(p - left) <= abs(p - above)) & (abs(p - left) <= abs(p - corner)), left, np.where(abs(p - above) <= abs(p - corner), above, corner))
+        rows.append(np.r_[y % 5, (line - (0, left, above, (left + above) // 2, near)[y % 5]) % 256])
+        above = line
+    filtered = png.write(pixels, {b"IHDR": head}).replace(zlib.compress(np.c_[np.zeros(20, int), pixels.reshape(20, 30)].astype(np.uint8).tobytes()), zlib.compress(np.array(rows).astype(np.uint8).tobytes()))
+    assert (png.read(filtered)[0] == pixels).all()
+    df = spark.createDataFrame([(1, bytearray(data), [0.0, 0.0, 500.0, 500.0]), (2, None, [0.0] * 4), (3, bytearray(b"x"), [0.0, 0.0, 9.0, 9.0]), (4, bytearray(data), None)], "i int, content binary, box array<double>")
+    got = {r["i"]: r["image"] for r in files.crop_images(df, margin=0.0).collect()}
+    assert (png.read(base64.b64decode(got[1]))[0] == pixels[:10, :5]).all() and got[2] is got[3] is got[4] is None
