@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None, client=None, publish=None) -> int:
         elif args.command == "qa":
             raw = load_yaml(args.settings_path)
             settings = QaSettings.of(raw)
-            endpoint = Endpoint.of(raw, max_retries=8, wait_seconds=0.25)
+            endpoint = Endpoint.of(raw, max_retries=8, wait_seconds=0.25, retry_jitter_seconds=raw.get("wait_seconds", 0.25))
             print(qa.generate(spark, args.source, args.target_key, settings, client or HttpChat(endpoint, dict(settings.thinking)), args.start_index, endpoint.max_in_flight))
         else:
             if not args.dry_run and not args.hf_token:

@@ -106,20 +106,25 @@ class HttpChat:
         kept = _kept.__dict__.setdefault("connections", {})
         where = (url.scheme, url.netloc)
         while True:
-            fresh = where not in kept
-            if fresh:
-                kept[where] = _connected(url, self.endpoint)
+            connection, used = kept.pop(where, (None, 0.0))
+            if connection and time.monotonic() - used > self.endpoint.keepalive_expiry:
+                connection.close()
+                connection = None
+            fresh = connection is None
+            connection = connection or _connected(url, self.endpoint)
             try:
-                kept[where].request("POST", url.path, body, headers)
-                reply = kept[where].getresponse()
+                connection.request("POST", url.path, body, headers)
+                reply = connection.getresponse()
                 text = reply.read()
             except (OSError, http.client.HTTPException):
-                kept.pop(where).close()
+                connection.close()
                 if fresh:
                     raise
                 continue
             if reply.will_close:
-                kept.pop(where).close()
+                connection.close()
+            else:
+                kept[where] = connection, time.monotonic()
             if reply.status >= 400:
                 raise HttpError(reply.status, reply.headers.get("Retry-After"))
             return json.loads(text)

@@ -158,7 +158,7 @@ def generate(spark: SparkSession, source: str, target: str, settings: QaSettings
     rows = rows.select("id", "chunk_index", "group", "source_stem", F.array("source_file").alias("source_files"), F.col(target).alias("text"), "ordinal")
     work, counters = f"{out}/.work", chat.RunCounters(spark)
     numbered = items(rows, ["source_stem", "ordinal", "id"], "text", start_index, settings.seed)
-    outcome = chat.run_saved(numbered, client, qa_chain(settings), _RESULT, f"{work}/calls", ["source_stem", "ordinal", "id", "chunk_index", "text"], max_in_flight, settings.batch_rows, counters)
+    outcome = chat.run_saved(numbered, client, qa_chain(settings), _RESULT, f"{work}/calls", ["source_stem", "id", "chunk_index", "text"], max_in_flight, settings.batch_rows, counters)
     outcome.write.mode("overwrite").parquet(f"{work}/outcome")
     outcome = spark.read.parquet(f"{work}/outcome")
     groups = outcome.select("item_id", "group")

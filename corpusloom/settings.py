@@ -51,6 +51,7 @@ class Endpoint:
     top_p: float = 1.0
     timeout: float = 600
     connect_timeout: float = 5
+    keepalive_expiry: float = 120
     max_retries: int = 3
     wait_seconds: float = 5
     retry_jitter_seconds: float = 0.2

@@ -182,11 +182,15 @@ def test_dialect(spark):
 class Stub(http.server.BaseHTTPRequestHandler):
     script: list = []
     seen: list = []
+    peers: set = set()
+    protocol_version = "HTTP/1.1"
 
     def do_POST(self):
+        self.peers.add(self.client_address)
         self.seen.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
         code, headers, body = self.script.pop(0)
         self.send_response(code)
+        self.send_header("Content-Length", str(len(body.encode())))
         for k, v in headers.items():
             self.send_header(k, v)
         self.end_headers()
@@ -200,7 +204,7 @@ class Stub(http.server.BaseHTTPRequestHandler):
 def stub():
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Stub)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    Stub.script, Stub.seen = [], []
+    Stub.script, Stub.seen, Stub.peers = [], [], set()
     yield f"http://127.0.0.1:{server.server_port}"
     server.shutdown()
 
@@ -220,6 +224,10 @@ def test_http_client(stub):
     Stub.script = [(200, {}, "no json")] * 4
     assert client.complete("p") == ""
     assert chat.retry_delay(Endpoint(wait_seconds=5, retry_max_delay=30), 9) == 30
+    assert len(Stub.peers) == 1  # one kept connection
+    Stub.script = [ok("a"), ok("b")]
+    hasty = chat.HttpChat(Endpoint(base_url=stub, model="m", keepalive_expiry=0))
+    assert [hasty.complete("p"), hasty.complete("p")] == ["a", "b"] and len(Stub.peers) == 3
 
 
 def test_settings(tmp_path):
