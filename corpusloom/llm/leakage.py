@@ -163,15 +163,15 @@ def _least(lang: str | None) -> int:
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_chars): documents with a run of an item (item_id, lang, text), and the longest run's length.
 
-    Null, blank and short texts have no run. Equal documents are all reported, a repeated id once. Any
+    Null, blank and short texts have no run; documents and items without an id are left out. Equal documents are all reported, a repeated id once. Any
     other columns are ignored; an empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
-    items = items.where(~blank(F.col("text"))).select("item_id", "lang", "text")
+    items = items.where(~blank(F.col("text")) & F.col("item_id").isNotNull()).select("item_id", "lang", "text")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // BLOCK_CHARS))
     schema = "doc_id long, item_id long, n_chars long"
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(~blank(F.col("text")))
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(~blank(F.col("text")) & F.col("doc_id").isNotNull())
     out = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()

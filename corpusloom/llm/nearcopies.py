@@ -85,10 +85,7 @@ class Strings:
         for i, m in enumerate(_PLACES):
             hashes += wide[i : i + fit] * np.uint64(m)
         owner = np.repeat(np.arange(n, dtype=np.uint64), np.diff(self.ends))
-        inside = np.ones(fit, bool)
-        for i in range(1, GRAM):
-            inside[np.maximum(self.ends[1:-1] - i, 0)[self.ends[1:-1] - i < fit]] = False
-        at = np.flatnonzero(inside & (owner[:fit] == owner[GRAM - 1 :][:fit]))
+        at = np.flatnonzero(owner[:fit] == owner[GRAM - 1 :][:fit])
         # only equal salts share strings
         owner = owner[at]
         key = (mixed(hashes[at] ^ (salt[0] if n and (salt == salt[0]).all() else salt[owner.astype(np.int64)])) >> np.uint64(64 - _BITS)) | (owner << np.uint64(_BITS))
@@ -317,10 +314,10 @@ def near_copies(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
 
     Rows of a class have the same form and table; a link joins two classes of one table whose forms
     differ and whose similarity reaches the threshold, which is THRESHOLD at least. Null and blank texts must be left out before; a key
-    may repeat with equal or other texts; a form with fewer than five characters has no link. Repeated rows, ties and very long texts pass; an
+    may repeat with equal or other texts; rows without a table or key are left out; a form with fewer than five characters has no link. Repeated rows, ties and very long texts pass; an
     empty frame gives empty results. Both results are tables in the shared folder.
     """
-    df = df.select("tbl", "key", "text")
+    df = df.select("tbl", "key", "text").where("tbl is not null and key is not null")
     members = written(classes(df), "members")
     pairs, texts = candidates(members)
     return members.select("tbl", "key", "cls"), written(verified(written(pairs, "pairs"), texts, threshold), "links")

@@ -380,10 +380,10 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     A link joins the class of a training text (cls_a) and that of a held-out text (cls_b) that is equal or meets the
     measure. n_matches and matched count the merged maximal matches of RUN or more in the training text around its rarer
     strings, and the code points in them; a near copy need not have any. Equal texts too short for a string
-    of five are linked as one match. Null and blank texts are left out by the caller; a null train is no
+    of five are linked as one match. Null and blank texts are left out by the caller; rows without a key are left out; a null train is no
     training row; repeated rows and long texts pass; an empty side gives no links.
     """
-    df = df.select("key", F.coalesce("train", F.lit(False)).alias("train"), "text")
+    df = df.select("key", F.coalesce("train", F.lit(False)).alias("train"), "text").where("key is not null")
     rows = written(classed(df), "classed")
     full = rows.where("flat is not null")
     # one row stands for its class on the held-out side

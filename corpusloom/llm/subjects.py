@@ -51,7 +51,7 @@ def terms_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         found = [_TERM.findall(canonical(t).lower()) for t in batch.column("text").to_pylist()]
         return {"doc_id": batch.column("doc_id"), "terms": found}
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(~blank(F.col(text)))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(~blank(F.col(text)) & F.col(doc_id).isNotNull())
     return arrow_map(rows, "text", f"doc_id {dict(rows.dtypes)['doc_id']}, terms array<string>", kernel)
 
 
@@ -240,7 +240,7 @@ def mixtures(leaves: DataFrame, model: LeafModel, subjects: list[str]) -> DataFr
 def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, subject, share) of one or two subjects of each document that is about any.
 
-    Null and blank texts, and texts with hardly any discriminative term, have no subject. Labels of unknown
+    Null and blank texts, documents without an id, and texts with hardly any discriminative term have no subject. Labels of unknown
     documents or subjects are ignored, repeated labels count once; without subjects nothing is assigned. subjects has
     (subject, description); a null description says nothing.
     """

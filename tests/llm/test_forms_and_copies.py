@@ -236,20 +236,29 @@ def test_near_copies_without_long_runs(spark):
 def test_overlaps_of_odd_rows(spark):
     """Short and very long texts, a null split, repeated rows, sides without rows."""
     long = "".join(chr(0x5200 + i % 700) for i in range(150_000))
-    rows = [("a", True, "短い"), ("b", False, "短い"), ("c", False, "短か"), ("d", None, "短 い"), ("e", True, long), ("f", False, long[:-50]), ("f", False, long[:-50]), ("g", True, "あ" * 5000), ("h", False, "あ" * 4000)]
+    rows = [(None, True, "短い"), ("a", True, "短い"), ("b", False, "短い"), ("c", False, "短か"), ("d", None, "短 い"), ("e", True, long), ("f", False, long[:-50]), ("f", False, long[:-50]), ("g", True, "あ" * 5000), ("h", False, "あ" * 4000)]
     df = spark.createDataFrame(rows, "key string, train boolean, text string")
     members, links = splitoverlap.overlaps(df)
     cls = {r["key"]: r["cls"] for r in members.collect()}
     got = {(r["cls_a"], r["cls_b"]): r for r in links.collect()}
-    assert set(got) == {(cls["a"], cls["b"]), (cls["e"], cls["f"]), (cls["g"], cls["h"])} and members.count() == len(rows)
+    assert set(got) == {(cls["a"], cls["b"]), (cls["e"], cls["f"]), (cls["g"], cls["h"])} and members.count() == len(rows) - 1
     assert got[cls["a"], cls["b"]]["matched"] == 2 and got[cls["e"], cls["f"]]["matched"] >= len(long) - 60
     for part in ("train", "not train", "train is null"):
         assert splitoverlap.overlaps(df.where(part))[1].count() == 0
 
 
+def test_strings_of_short_texts():
+    import numpy as np
+
+    for texts in ([], [""], ["ab", "", "c"], ["", "abcdefg", "", "xy", "abcde"], ["abcdeabcde"]):
+        s = nearcopies.Strings(texts, np.zeros(len(texts), np.uint64))
+        assert s.size.tolist() == [len({t[i : i + 5] for i in range(len(t) - 4)}) for t in texts]
+        assert len(s.anchors(np.zeros(0, np.uint64), np.zeros(0))) <= len(s.hash)
+
+
 def test_near_copies_of_odd_rows(spark):
     """Texts without a string of five, a run of one character, extra columns with the names of results."""
-    rows = [("a", "1", "短い"), ("a", "2", "短い "), ("a", "3", "あ" * 5000), ("a", "4", "あ" * 4000), ("a", "4", "あ" * 4000), ("b", "1", "あ" * 5000), ("a", "5", "   い")]
+    rows = [("a", "1", "短い"), ("a", "2", "短い "), ("a", "3", "あ" * 5000), ("a", "4", "あ" * 4000), ("a", "4", "あ" * 4000), ("b", "1", "あ" * 5000), ("a", "5", "   い"), ("a", None, "あ" * 5000), (None, "6", "あ" * 5000)]
     df = rows_of(spark, [(*r, 0) for r in rows]).withColumn("flat", F.lit("x")).withColumn("similarity", F.lit(None).cast("double"))
     members, links = nearcopies.near_copies(df)
-    assert members.count() == len(rows) and found_pairs(members, links) == {("a", "3", "4")}
+    assert members.count() == len(rows) - 2 and found_pairs(members, links) == {("a", "3", "4")}

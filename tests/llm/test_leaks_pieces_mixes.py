@@ -22,8 +22,8 @@ def test_leaks_against_brute_force(spark):
         a = rng.randrange(len(item))
         docs.append((i, text(rng.randrange(0, 200)) + "、".join(item[a : a + rng.randrange(5, 150)]) + text(50), i))
     docs += [(100, None, 0), (101, "", 0), (102, items[0][2], 0), (102, items[0][2], 0), (103, "あ" * 39, 0), (104, "あ" * 41, 0), (105, text(200000) + items[1][2], 0)]
-    d = spark.createDataFrame(docs, "doc_id long, text string, item_id int")
-    q = spark.createDataFrame(items, "item_id long, lang string, text string")
+    d = spark.createDataFrame([*docs, (None, items[0][2], 0)], "doc_id long, text string, item_id int")
+    q = spark.createDataFrame([*items, (None, "ja", items[0][2])], "item_id long, lang string, text string")
     got = {(r["doc_id"], r["item_id"]): r["n_chars"] for r in leakage.leaks(d, q).collect()}
     want = set()
     for j, lang, t in items:
