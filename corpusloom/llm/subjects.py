@@ -13,6 +13,7 @@ only terms of a least share of documents, so at most the terms of a document div
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -142,16 +143,20 @@ def leaf_model(terms: DataFrame, labels: DataFrame, subjects: list[str], descrip
     tf = written(counted.transform(_known_terms(terms, vocabulary)), "tf")
     unit = Normalizer(inputCol="tfidf", outputCol="features").transform(IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf))
     unit = written(unit.select("doc_id", "terms", "features", _mostly_latin().alias("latin")), "vectors")
-    parts = []
-    # texts in different scripts share no term: each script has its own clusters
-    for at, rows in enumerate((unit.where("latin"), unit.where("not latin"))):
+
+    def clustered(at: int) -> DataFrame:
+        rows = unit.where(F.col("latin") == (at == 0))
         size = rows.count()
         if size >= 2 * LEAF_DOCUMENTS:
             means = BisectingKMeans(k=min(LEAVES // SCRIPTS, size // LEAF_DOCUMENTS), maxIter=ROUNDS, seed=SEED, distanceMeasure="cosine", featuresCol="features", predictionCol="leaf", minDivisibleClusterSize=max(10.0, size / 1000))
             rows = means.fit(rows.select("features")).transform(rows)
         else:
             rows = rows.withColumn("leaf", F.lit(0))
-        parts.append(rows.select("doc_id", "terms", (F.col("leaf") + at * (LEAVES // SCRIPTS)).cast("int").alias("leaf")))
+        return rows.select("doc_id", "terms", (F.col("leaf") + at * (LEAVES // SCRIPTS)).cast("int").alias("leaf"))
+
+    # texts in different scripts share no term: each script has its own clusters, found side by side
+    with ThreadPoolExecutor(SCRIPTS) as pool:
+        parts = list(pool.map(clustered, range(SCRIPTS)))
     leaves = written(parts[0].union(parts[1]), "leaves")
     leaf_terms = _leaf_counts(leaves.select("terms", "leaf"), vocabulary)
     known = labels.where(F.col("subject").isin(subjects)).select("doc_id", "subject").distinct()
