@@ -437,8 +437,8 @@ def _fake_rewrite(prompt: str, step) -> str:
     return f"- {prompt[2:]}" if step == "to_bullet_points" else f"<{prompt[2:]}>"
 
 
-def _rewrite(spark, sf_dir, policy: str) -> tuple[DataFrame, CptSettings, chat.FakeChat]:
-    settings = CptSettings(min_chars=1, copyright_mitigation=True, copyright_failure_policy=policy, keep_intermediate=True, prompts={"to_bullet_points_prompt": "B:{text}", "bullet_points_to_text_prompt": "T:{text}"})
+def _rewrite(spark, sf_dir, policy: str, min_chars: int = 1) -> tuple[DataFrame, CptSettings, chat.FakeChat]:
+    settings = CptSettings(min_chars=min_chars, copyright_mitigation=True, copyright_failure_policy=policy, keep_intermediate=True, prompts={"to_bullet_points_prompt": "B:{text}", "bullet_points_to_text_prompt": "T:{text}"})
     rows = _t(spark, sf_dir, "cpt_chunk").where(F.length(tx.strip("text")) > 0)
     rows = rows.select(F.col("row_id").cast("string").alias("entry_id"), "id", "title", "source_file", "chunk_index", tx.strip("text").alias("chunk"))
     client = chat.FakeChat(_fake_rewrite)

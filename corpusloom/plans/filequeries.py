@@ -165,3 +165,54 @@ def extract_tag_if_present(spark, sf_dir):
 @query("select item_id from qa_row where length(question) > 0 and length(answer) > 0 and length(qa_generator) > 0 and len(messages) > 0 and length(thinking) > 0 and length(eval) > 0")
 def qa_save_guard_strict(spark, sf_dir):
     return _t(spark, sf_dir, "qa_row").where(qa.save_guard(strict=True)).select("item_id")
+
+
+@query(f"""select cast(doc_id as varchar) as id, title, content from (select doc_id, p.title, {catalog._sql_lines("d.text || chr(10) || 'sx'")} as content
+    from {catalog._SQL_REASON} r join {catalog._SQL_PAGES} p using (doc_id) join documents d using (doc_id) where match_reason is not null) where content <> ''""")
+def wiki_extract(spark, sf_dir):
+    """A dump in, articles about the keyword out as JSON Lines, read back."""
+    base = new_path(spark, "extract")
+    pages = catalog._pages(spark, sf_dir).select("id", "title", "ns", F.array(F.struct("text")).alias("revision"))
+    pages.write.format("xml").option("rowTag", "page").save(f"{base}/dump")
+    for _ in range(2):
+        sinks.overwrite_json(wiki.articles(wiki.read_dump(spark, f"{base}/dump"), catalog._KEYWORD).drop("match_reason"), f"{base}/articles.jsonl")
+    return spark.read.json(f"{base}/articles.jsonl", schema="id string, title string, content string")
+
+
+@query("select cast(item_id as varchar) as item, to_base64(encode(text || chr(10))) as image from eval_item where text is not null")
+def binary_files(spark, sf_dir):
+    """Files read as base64, whatever they hold."""
+    path = new_path(spark, "images")
+    _t(spark, sf_dir, "eval_item").where("text is not null").select("text", F.col("item_id").alias("item")).write.partitionBy("item").text(path)
+    return files.read_images(spark, f"{path}/*/*.txt").select(F.regexp_extract("source_file", "item=([0-9]+)", 1).alias("item"), F.regexp_replace("image", "[\r\n]", "").alias("image"))
+
+
+@query("select cast(item_id as varchar) || chr(9) || text || chr(10) as record from eval_item where text is not null")
+def raw_tables(spark, sf_dir):
+    """Files of another kind come as they are: a tab-separated file each."""
+    path = new_path(spark, "tables")
+    rows = _t(spark, sf_dir, "eval_item").where("text is not null")
+    rows.select(F.concat_ws("\t", F.col("item_id").cast("string"), "text").alias("value"), "item_id").write.partitionBy("item_id").text(path)
+    return files.read_any(spark, f"{path}/*/*.txt").select("record")
+
+
+@query(f"""with recursive {catalog._SQL_CHUNKS}, saved as (select * from {_SQL_SAVED.format(MIN)}), n as (select count(*) as m from saved)
+    select (select count(*) from documents) as entries, m as chunks, case when m > 1 and floor(m * 0.98::double) = m then m - 1 else floor(m * 0.98::double)::bigint end as train_chunks,
+    m - case when m > 1 and floor(m * 0.98::double) = m then m - 1 else floor(m * 0.98::double)::bigint end as validation_chunks, 0::bigint as failed_chunks from n""")
+def cpt_build_stats(spark, sf_dir):
+    """The statistics file of a build."""
+    return spark.read.json(f"{_built(spark, sf_dir)}/stats.json", multiLine=True, schema="entries long, chunks long, train_chunks long, validation_chunks long, failed_chunks long")
+
+
+@query(f"select id, 2 as failed_step, 'Step 2 returned empty answer.' as error from {catalog._SQL_DUMMY} where contains(s, '登記')")
+def qa_generate_failures(spark, sf_dir):
+    """Questions and answers over files: the failures beside the saved rows."""
+    return spark.read.json(f"{_generated(spark, sf_dir)[0]}/failures.jsonl", schema="id string, failed_step int, error string").select("id", "failed_step", "error")
+
+
+@query(f"""select cast(row_id as varchar) as entry_id, case when contains(s, '登記') then 'Bullet point generation returned blank text.' else 'Generated text was empty or too short.' end as error
+    from {catalog._SQL_STRIPPED} where contains(s, '登記') or length(s) + 4 < 300""")
+def cpt_rewrite_too_short(spark, sf_dir):
+    """Rewritten texts below the least length are failures."""
+    outcome, _, client = catalog._rewrite(spark, sf_dir, "fail", min_chars=300)
+    return cpt.failures(outcome, client.model).select("entry_id", "error")
