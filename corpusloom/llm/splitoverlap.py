@@ -19,6 +19,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -362,14 +363,14 @@ def streamed(flat: list[str], index: FullTextIndex) -> dict[str, np.ndarray]:
 
 
 def index_shards(held: DataFrame) -> DataFrame:
-    """(shard, classes, index) of the held-out (cls, flat): the pickled index of each shard, and the classes of its texts."""
+    """(shard, classes, index) of the held-out (cls, flat): the packed index of each shard, and the classes of its texts."""
     chars = held.agg(F.coalesce(F.sum(F.length("flat") + 1), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-chars // SHARD_CHARS))
 
     def build(part: pa.Table) -> pa.Table:
         cls, at = np.unique(part.column("cls").to_numpy(), return_index=True)
         flat = part.column("flat").take(pa.array(at)).to_pylist()
-        return pa.table({"shard": part.column("shard")[:1], "classes": pa.array([cls.tobytes()]), "index": pa.array([pickle.dumps(FullTextIndex(flat))])})
+        return pa.table({"shard": part.column("shard")[:1], "classes": pa.array([cls.tobytes()]), "index": pa.array([zstandard.compress(pickle.dumps(FullTextIndex(flat)))])})
 
     return held.withColumn("shard", F.pmod("cls", F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(build, "shard int, classes binary, index binary")
 
@@ -417,7 +418,7 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @functools.lru_cache(maxsize=1)
 def _unpacked(packed: bytes) -> FullTextIndex:
-    return pickle.loads(packed)
+    return pickle.loads(zstandard.decompress(packed))
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
