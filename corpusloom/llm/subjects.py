@@ -20,7 +20,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,15 +61,16 @@ def _mostly_latin():
     return F.size(F.filter("terms", lambda t: t < "\u0250")) * 2 > F.size("terms")
 
 
-def frequent_terms(terms: DataFrame) -> tuple[int, list[str]]:
-    """Number of documents, and the vocabulary, 1 / LEAST_SHARE times the terms of a document at most: terms of enough documents that aren't common in the documents of a script."""
+def frequent_terms(terms: DataFrame) -> tuple[int, list[str], np.ndarray]:
+    """Number of documents, and the vocabulary, 1 / LEAST_SHARE times the terms of a document at most: terms of enough documents that aren't common in the documents of a script, and their numbers of documents."""
     docs = terms.select(_mostly_latin().alias("latin"), F.array_distinct("terms").alias("terms"))
     n = {r["latin"]: r["count"] for r in docs.groupBy("latin").count().collect()}
     total = sum(n.values())
     counts = docs.select("latin", F.explode("terms").alias("term")).groupBy("term").agg(F.count_if("latin").alias("a"), F.count_if(~F.col("latin")).alias("b"))
     common = (F.col("a") > max(LEAST_COMMON, MOST_SHARE * n.get(True, 0))) | (F.col("b") > max(LEAST_COMMON, MOST_SHARE * n.get(False, 0)))
     kept = counts.where((F.col("a") + F.col("b") >= max(3, LEAST_SHARE * total)) & ~common)
-    return total, [r["term"] for r in kept.orderBy("term").collect()]
+    rows = kept.orderBy("term").collect()
+    return total, [r["term"] for r in rows], np.array([r["a"] + r["b"] for r in rows], np.float64)
 
 
 def _known_terms(terms: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -136,12 +138,12 @@ class LeafModel:
 
 def leaf_model(terms: DataFrame, labels: DataFrame, subjects: list[str], descriptions: dict[str, list[str]]) -> tuple[DataFrame, LeafModel]:
     """(doc_id, terms, leaf) of the documents with enough known terms, and the model of the leaves."""
-    _, vocabulary = frequent_terms(terms)
+    total, vocabulary, documents = frequent_terms(terms)
     if not vocabulary:
         return terms.limit(0).withColumn("leaf", F.lit(0)), LeafModel([], np.zeros((LEAVES, 0)), np.zeros((LEAVES, len(subjects) + 1)))
     counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf")
-    tf = written(counted.transform(_known_terms(terms, vocabulary)), "tf")
-    unit = Normalizer(inputCol="tfidf", outputCol="features").transform(IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf))
+    rare = ElementwiseProduct(scalingVec=Vectors.dense(np.log((total + 1) / (documents + 1))), inputCol="tf", outputCol="tfidf")
+    unit = Normalizer(inputCol="tfidf", outputCol="features").transform(rare.transform(counted.transform(_known_terms(terms, vocabulary))))
     unit = written(unit.select("doc_id", "terms", "features", _mostly_latin().alias("latin")), "vectors")
 
     def clustered(at: int) -> DataFrame:
@@ -161,7 +163,7 @@ def leaf_model(terms: DataFrame, labels: DataFrame, subjects: list[str], descrip
     leaf_terms = _leaf_counts(leaves.select("terms", "leaf"), vocabulary)
     known = labels.where(F.col("subject").isin(subjects)).select("doc_id", "subject").distinct()
     known = known.withColumn("weight", 1 / F.count("*").over(_by_doc()))
-    labelled = written(leaves.join(F.broadcast(known) if known.count() <= BROADCAST_ROWS else known, "doc_id"), "labelled")
+    labelled = leaves.join(F.broadcast(known) if known.count() <= BROADCAST_ROWS else known, "doc_id")
     by_leaf = np.zeros((LEAVES, len(subjects) + 1))
     for r in labelled.groupBy("leaf", "subject").agg(F.sum("weight").alias("w")).collect():  # LEAVES x subjects at most
         by_leaf[r["leaf"], subjects.index(r["subject"])] = r["w"]
