@@ -31,6 +31,8 @@ from .textform import canonical
 NUMER, DENOM, HITS = 3, 5, 2
 #: Code points of a match that is counted; code points of a shard; distance of sampled locations; hits looked at in one go.
 RUN, SHARD_CHARS, SAMPLE, HITS_AT_ONCE = 30, 8_000_000, 4, 4_000_000
+#: Code points of training text that are streamed at once; what was found of their strings is kept for the next ones.
+STREAM_CHARS = 500_000
 #: Bits of the table that tells which strings a shard may have.
 _TABLE_BITS = 24
 _strip = re.compile(r"\s+").sub
@@ -409,7 +411,7 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
                 "n_matches": np.r_[found["n_matches"], np.ones(len(short), np.int64)], "matched": np.r_[found["matched"], size[short]],
             }
 
-        part = written(arrow_map(full.where("train").select("cls", "flat"), "flat", schema, kernel), "links")
+        part = written(arrow_map(full.where("train").select("cls", "flat"), "flat", schema, kernel, STREAM_CHARS), "links")
         index.unpersist()
         links.append(part)
     found = functools.reduce(DataFrame.union, links) if links else spark.createDataFrame([], schema)
