@@ -84,7 +84,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 # Odd multipliers of the 64-bit mixing steps.
-_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0xD6E8FEB86659FD93)
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

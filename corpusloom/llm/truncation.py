@@ -18,7 +18,6 @@ import functools
 import math
 import re
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
