@@ -29,9 +29,11 @@ def text_folder(spark, sf_dir):
 
 @query("select cast(doc_id as varchar) as id, title, text as content from documents where text is not null")
 def json_documents(spark, sf_dir):
-    """JSON documents with a list of records each."""
+    """JSON documents with a list of about a thousand records each."""
     path = new_path(spark, "documents")
-    rows = _t(spark, sf_dir, "documents").select(F.struct(F.col("doc_id").cast("string").alias("id"), "title", F.col("text").alias("content")).alias("r"), F.pmod("doc_id", F.lit(64)).alias("part"))
+    d = _t(spark, sf_dir, "documents")
+    parts = d.count() // 1000 + 1
+    rows = d.select(F.struct(F.col("doc_id").cast("string").alias("id"), "title", F.col("text").alias("content")).alias("r"), F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"))
     rows.groupBy("part").agg(F.to_json(F.collect_list("r")).alias("value")).write.partitionBy("part").text(path)
     found = files.read_json_documents(spark, path)
     return found.select(files.field("id").alias("id"), files.field("title").alias("title"), files.field("content").alias("content")).where("content is not null")
