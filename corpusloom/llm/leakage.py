@@ -81,10 +81,23 @@ class Items(Texts):
         self.least, self.run = least, int(least.min())
         self.longest = int(np.bincount(self.owner, minlength=1).max()) if len(self.owner) else 0
         self.places = np.flatnonzero(self.stop - np.arange(len(self.codes)) >= least[self.owner])
-        self.seen = np.zeros(1 << _TABLE_BITS, bool)
-        self.seen[_slots(self.codes)] = True
-        # every suffix of an item, from its first code points without and with the one before it on
-        self.low, self.own, self.high = (self.heads(self.places, self.run, x) for x in (0, self.before[self.places], 0xFFFFFFFF))
+        seen = np.zeros(1 << _TABLE_BITS, bool)
+        seen[_slots(self.codes)] = True
+        self.packed = np.packbits(seen)
+
+    def __getstate__(self) -> dict:
+        # what a task can make itself is not sent
+        return {k: v for k, v in self.__dict__.items() if k not in ("seen", "searched")}
+
+    @functools.cached_property
+    def seen(self) -> np.ndarray:
+        """Whether an item may have a string of this slot."""
+        return np.unpackbits(self.packed).view(bool)
+
+    @functools.cached_property
+    def searched(self) -> tuple[np.ndarray, ...]:
+        """Every suffix of an item, as it stands before, at and after the suffixes with its own code point in front."""
+        return tuple(self.heads(self.places, self.run, x) for x in (0, self.before[self.places], 0xFFFFFFFF))
 
 
 class Suffixes(Texts):
@@ -104,7 +117,8 @@ class Suffixes(Texts):
 
 def matches(docs: Suffixes, items: Items) -> np.ndarray:
     """Rows (text of docs, text of items, length): the longest match of each pair that has one of the least length."""
-    low, own_low, own_high, high = (np.searchsorted(docs.keys, k, side=s) for k, s in ((items.low, "left"), (items.own, "left"), (items.own, "right"), (items.high, "right")))
+    lowest, own, highest = items.searched
+    low, own_low, own_high, high = (np.searchsorted(docs.keys, k, side=s) for k, s in ((lowest, "left"), (own, "left"), (own, "right"), (highest, "right")))
     # where both texts begin, or the code points before differ, a match is maximal to the left
     starts = items.before[items.places] == 0
     own_low, own_high = np.where(starts, low, own_low), np.where(starts, low, own_high)
