@@ -75,9 +75,9 @@ _BITS = 48
 
 
 class Strings:
-    """The distinct strings of several texts by text and hash: hash, text, a place of each; and each text's number of them."""
+    """The distinct strings of several texts by text and hash: hash, text, a place of each (the first, if asked for); and each text's number of them."""
 
-    def __init__(self, flat: list[str], salt: np.ndarray, places: bool = True):
+    def __init__(self, flat: list[str], salt: np.ndarray, places: bool = True, first: bool = False):
         self.codes, self.ends = code_points(flat)
         n, fit = len(flat), max(0, len(self.codes) - GRAM + 1)
         wide = self.codes.astype(np.uint64)
@@ -98,6 +98,8 @@ class Strings:
         new[1:] = key[1:] != key[:-1]
         key = key[new]
         self.at = at[order[new]] if places else None
+        if first and len(key):
+            self.at = np.minimum.reduceat(at[order], np.flatnonzero(new))
         self.hash, self.owner = key & np.uint64((1 << _BITS) - 1), (key >> np.uint64(_BITS)).astype(np.int64)
         self.size = np.bincount(self.owner, minlength=n)
         self.nth = np.arange(len(self.hash)) - (np.cumsum(self.size) - self.size)[self.owner]

@@ -7,8 +7,12 @@ string of a text; strings in increasing order of that number are located until s
 which meets the measure must hold HITS of them, and by its size mostly many more, however its edits fall. The places
 of the pairs that do are extended to maximal matches, whose spans are merged and counted, and each pair is verified by the exact measure.
 
-The training texts are read once for each shard and never shuffled. Shards are bounded, and one at a time is sent to
-all tasks. Held-out texts are few next to the training texts; if they were not, the passes would grow with them.
+Only shards that may hold a partner of a training text see that text. The strings of all texts stand in one order, those that
+are rare among the held-out texts first; two texts that meet the measure share FIRST strings near the beginning of both orders, and how
+near follows from their sizes. A file of the first strings of all held-out texts goes to every machine, where
+the tasks map it; the training texts are read once beside it, and of each text that shares FIRST such strings with a
+held-out one a copy is kept for the shard of that one. So the work at the shards grows with the texts found, not with texts
+times shards. Shards are bounded, and one at a time is sent to all tasks.
 """
 
 from __future__ import annotations
@@ -16,13 +20,17 @@ from __future__ import annotations
 import functools
 import pickle
 import re
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.tables import new_path, removed
 from .common import BATCH_CHARS, agreeing, arrow_map, blank, code_points, mixed, row_key, semi, table, written
 from .nearcopies import GRAM, THRESHOLD, Strings, class_id, similar
 from .textform import canonical
@@ -33,6 +41,10 @@ NUMER, DENOM, HITS = 3, 5, 2
 RUN, SHARD_CHARS, SAMPLE, HITS_AT_ONCE = 30, 8_000_000, 4, 4_000_000
 #: Code points of training text that are streamed at once; what was found of their strings is kept for the next ones.
 STREAM_CHARS = 500_000
+#: Strings near the beginning of both orders that a pair must share, or all that it shares; postings looked at in one go.
+FIRST, POSTINGS_AT_ONCE = 8, 1_000_000
+#: Bits of the slots that one row of a table of counts has; at most, bits of slots of counts and of postings.
+_PIECE_BITS, _COUNT_BITS, _SLOT_BITS = 22, 28, 25
 #: Bits of the table that tells which strings a shard may have.
 _TABLE_BITS = 24
 _strip = re.compile(r"\s+").sub
@@ -339,7 +351,8 @@ def _spans(s: Strings, index: FullTextIndex, pair: np.ndarray, at: np.ndarray, p
 
 def streamed(flat: list[str], index: FullTextIndex) -> dict[str, np.ndarray]:
     """text, held (numbers), similarity, n_matches and matched of the pairs that meet the measure."""
-    s = Strings(flat, np.zeros(len(flat), np.uint64))
+    # a string's place doesn't depend on the texts beside it
+    s = Strings(flat, np.zeros(len(flat), np.uint64), first=True)
     out = {c: [np.zeros(0, t)] for c, t in (("text", np.int64), ("held", np.int64), ("similarity", np.float64), ("n_matches", np.int64), ("matched", np.int64))}
     for text, held, at, place in _hits(s, index):
         pair = text * len(index.texts) + held
@@ -364,17 +377,187 @@ def streamed(flat: list[str], index: FullTextIndex) -> dict[str, np.ndarray]:
     return {c: np.concatenate(x) for c, x in out.items()}
 
 
-def index_shards(held: DataFrame) -> DataFrame:
+def _limit(size: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """The largest size of a text with which a text of this size may share its nth string as one of the first FIRST, if the two meet the measure."""
+    # of the strings shared, NUMER / (NUMER + DENOM) of both sizes at least, all but FIRST - 1 stand at this one or after it
+    return np.minimum((NUMER + DENOM) * (size - nth + FIRST - 1) // NUMER - size, DENOM * size // NUMER)
+
+
+@functools.lru_cache(maxsize=8)
+def _mapped(name: str, kind: str) -> np.ndarray:
+    """A file that all machines have, mapped and not read."""
+    return np.memmap(name if "/" in name else SparkFiles.get(name), np.dtype(kind), "r")
+
+
+def _sent(spark: SparkSession, name: str, write: Callable[[BinaryIO], None]) -> str:
+    """The path of a file in the shared folder; where that is no path of a mounted file system, the name of a file that is sent to every machine. It is deleted when the application ends."""
+    path = new_path(spark, name)
+    mounted = re.fullmatch(r"(?:file:(?://)?)?(/.*)", path)
+    local = mounted[1] if mounted else f"{SparkFiles.getRootDirectory()}/{path.rsplit('/', 1)[1]}"
+    with open(local, "wb") as f:
+        write(f)
+    if mounted:
+        return local
+    spark.sparkContext.addFile(local)
+    return local.rsplit("/", 1)[1]
+
+
+def _pieces(df: DataFrame, name: str) -> Iterator:
+    """The rows of a frame with one row per part, in order of the parts and one at a time; they are written before, and deleted afterwards."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    for (part,) in sorted(tuple(r) for r in table.select("part").collect()):
+        yield table.where(F.col("part") == part).first()
+    removed(spark, path)
+
+
+def _by_part(part: np.ndarray, **columns: np.ndarray) -> dict:
+    """Rows of bytes, one for each part of columns that are sorted by it."""
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+    ends = np.append(cut, len(part))[1:]
+    return {"part": part[cut].astype(np.int32)} | {k: [x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)] for k, x in columns.items()}
+
+
+class FirstStrings:
+    """The order of all strings, and the first strings of the held-out texts by slot of their hashes: mapped files.
+
+    A posting has the number of a text (32 bits), its size and the largest size of a partner (16 bits each; more is
+    no limit). Texts or strings that fall together can only add partners.
+    """
+
+    def __init__(self, chars: int):
+        self.count_bits = min(_COUNT_BITS, max(16, (chars // 2).bit_length()))
+        self.slot_bits = min(_SLOT_BITS, max(16, (chars // 4).bit_length()))
+        self.part_bits = min(self.slot_bits, (chars // 4_000_000).bit_length())
+        self.counts = self.starts = self.postings = self.kind = ""
+
+    def ranked(self, s: Strings) -> tuple[np.ndarray, np.ndarray]:
+        """The strings by text in the common order, and for each how often it is found: 0 if no held-out text has it."""
+        often = _mapped(self.counts, "u1")[(s.hash & np.uint64((1 << self.count_bits) - 1)).astype(np.int64)]
+        # strings of a text stand by hash; that decides between equal ones
+        order = np.argsort(s.owner << 8 | often, kind="stable")
+        return order, often[order]
+
+    def slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64((1 << self.slot_bits) - 1)).astype(np.int64)
+
+    def build(self, held: DataFrame) -> FirstStrings:
+        """Counts of the strings of the held-out (cls, flat), then the postings in the order that they give."""
+        spark = held.sparkSession
+        count_bits, piece_bits, part_shift = self.count_bits, min(_PIECE_BITS, self.count_bits), self.slot_bits - self.part_bits
+
+        def counted(batch: pa.RecordBatch) -> dict:
+            s = Strings(batch.column("flat").to_pylist(), np.zeros(batch.num_rows, np.uint64), places=False)
+            slot, n = np.unique((s.hash & np.uint64((1 << count_bits) - 1)).astype(np.int64), return_counts=True)
+            return _by_part(slot >> piece_bits, slots=slot.astype(np.uint32), n=n.astype(np.uint32))
+
+        def codes(part: pa.Table) -> pa.Table:
+            total = np.zeros(1 << piece_bits, np.int64)
+            for slots, n in zip(part.column("slots").to_pylist(), part.column("n").to_pylist(), strict=True):
+                total[np.frombuffer(slots, np.uint32) & np.uint32((1 << piece_bits) - 1)] += np.frombuffer(n, np.uint32)
+            code = np.where(total > 0, np.minimum(255, 1 + 8 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)
+            return pa.table({"part": part.column("part")[:1], "codes": pa.array([code.tobytes()])})
+
+        pieces = arrow_map(held, "flat", "part int, slots binary, n binary", counted).groupBy("part").applyInArrow(codes, "part int, codes binary")
+
+        def write_counts(f: BinaryIO) -> None:
+            f.truncate(1 << count_bits)
+            for row in _pieces(pieces, "codes"):
+                f.seek(row["part"] << piece_bits)
+                f.write(row["codes"])
+
+        self.counts = _sent(spark, "counts", write_counts)
+
+        def posted(batch: pa.RecordBatch, index=self) -> dict:
+            s = Strings(batch.column("flat").to_pylist(), np.zeros(batch.num_rows, np.uint64), places=False)
+            order, _ = index.ranked(s)
+            size = s.size[s.owner]
+            limit = _limit(size, s.nth)
+            use = np.flatnonzero(DENOM * limit >= NUMER * size)
+            slot = index.slot(s.hash[order[use]])
+            by_slot = np.argsort(slot)
+            use, slot = use[by_slot], slot[by_slot]
+            text = np.asarray(batch.column("cls")).view(np.uint64)[s.owner[use]] & np.uint64(0xFFFFFFFF)
+            packed = text | np.minimum(size[use], 0xFFFF).astype(np.uint64) << np.uint64(32) | np.minimum(limit[use], 0xFFFF).astype(np.uint64) << np.uint64(48)
+            return _by_part(slot >> part_shift, slots=slot.astype(np.uint32), postings=packed)
+
+        def joined(part: pa.Table) -> pa.Table:
+            slot, posting = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("slots", np.uint32), ("postings", np.uint64)))
+            slot = slot & np.uint32((1 << part_shift) - 1)
+            n = np.bincount(slot, minlength=1 << part_shift).astype(np.uint32)
+            return pa.table({"part": part.column("part")[:1], "n": pa.array([n.tobytes()]), "postings": pa.array([posting[np.argsort(slot, kind="stable")].tobytes()])})
+
+        lists = arrow_map(held, "flat", "part int, slots binary, postings binary", posted).groupBy("part").applyInArrow(joined, "part int, n binary, postings binary")
+        n = np.zeros(1 << self.slot_bits, np.uint32)
+
+        def write_postings(f: BinaryIO) -> None:
+            for row in _pieces(lists, "lists"):
+                n[row["part"] << part_shift : (row["part"] + 1) << part_shift] = np.frombuffer(row["n"], np.uint32)
+                f.write(row["postings"])
+            f.write(bytes(8))  # an empty file can't be mapped
+
+        self.postings = _sent(spark, "postings", write_postings)
+        starts = np.r_[0, np.cumsum(n, dtype=np.int64)]
+        self.kind = "u4" if starts[-1] < 1 << 32 else "i8"
+        self.starts = _sent(spark, "starts", lambda f: starts.astype(self.kind).tofile(f))
+        return self
+
+    def partners(self, s: Strings) -> tuple[np.ndarray, np.ndarray]:
+        """(text, number of a held-out text) of all pairs that may meet the measure."""
+        order, often = self.ranked(s)
+        size = s.size[s.owner]
+        limit = _limit(size, s.nth)
+        use = np.flatnonzero((often > 0) & (DENOM * limit >= NUMER * size))
+        slot, starts, postings = self.slot(s.hash[order[use]]), _mapped(self.starts, self.kind), _mapped(self.postings, "u8")
+        begin = starts[slot].astype(np.int64)
+        n = starts[slot + 1] - begin
+        use, begin, n = use[n > 0], begin[n > 0], n[n > 0]
+        owner, most, least = s.owner[use], limit[use].astype(np.int32), np.minimum(size[use], 0xFFFF).astype(np.int32)
+        total, a, keys = np.cumsum(n), 0, [np.zeros(0, np.int64)]
+        while a < len(use):
+            b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + POSTINGS_AT_ONCE, side="right")))
+            m = n[a:b]
+            found = postings[np.arange(m.sum()) + np.repeat(begin[a:b] - (np.cumsum(m) - m), m)]
+            ok = np.flatnonzero(((found >> np.uint64(32)).astype(np.int32) & 0xFFFF <= np.repeat(most[a:b], m)) & ((found >> np.uint64(48)).astype(np.int32) >= np.repeat(least[a:b], m)))
+            keys.append(np.repeat(owner[a:b], m)[ok] << 32 | (found[ok] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+            a = b
+        key, shared = np.unique(np.concatenate(keys), return_counts=True)
+        text = key >> 32
+        enough = shared >= np.minimum(FIRST, -(-NUMER * s.size // DENOM))[text]
+        return text[enough], key[enough] & 0xFFFFFFFF
+
+
+def routed(train: DataFrame, first: FirstStrings, shards: int) -> DataFrame:
+    """(shard, cls, flat) of the training (cls, flat): a row for each shard that may hold a partner of the text."""
+
+    def kernel(batch: pa.RecordBatch) -> dict:
+        flat = batch.column("flat").to_pylist()
+        s = Strings(flat, np.zeros(len(flat), np.uint64), places=False)
+        text, held = first.partners(s)
+        # texts without strings can only be equal
+        short = np.flatnonzero(s.size == 0)
+        own = np.asarray(batch.column("cls")).view(np.uint64)[short] & np.uint64(0xFFFFFFFF)
+        pairs = np.unique(np.r_[text, short] * shards + np.r_[held, own.astype(np.int64)] % shards)
+        at = pa.array(pairs // shards)
+        return {"shard": (pairs % shards).astype(np.int32), "cls": batch.column("cls").take(at), "flat": batch.column("flat").take(at)}
+
+    return arrow_map(train, "flat", "shard int, cls long, flat string", kernel, STREAM_CHARS)
+
+
+def shards_of(chars: int) -> int:
+    return max(1, -(-chars // SHARD_CHARS))
+
+
+def index_shards(held: DataFrame, shards: int) -> DataFrame:
     """(shard, classes, index) of the held-out (cls, flat): the packed index of each shard, and the classes of its texts."""
-    chars = held.agg(F.coalesce(F.sum(F.length("flat") + 1), F.lit(0)).alias("n")).first()["n"]
-    shards = max(1, -(-chars // SHARD_CHARS))
 
     def build(part: pa.Table) -> pa.Table:
         cls, at = np.unique(part.column("cls").to_numpy(), return_index=True)
         flat = part.column("flat").take(pa.array(at)).to_pylist()
         return pa.table({"shard": part.column("shard")[:1], "classes": pa.array([cls.tobytes()]), "index": pa.array([zstandard.compress(pickle.dumps(FullTextIndex(flat)))])})
 
-    return held.withColumn("shard", F.pmod("cls", F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(build, "shard int, classes binary, index binary")
+    return held.withColumn("shard", F.pmod(F.col("cls").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(build, "shard int, classes binary, index binary")
 
 
 def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -391,8 +574,13 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     full = rows.where("flat is not null")
     # one row stands for its class on the held-out side
     chosen = written(full.where("not train").groupBy("cls").agg(F.min("key").alias("key")), "chosen")
-    held = semi(full.where("not train"), chosen, ["cls", "key"]).select("cls", "flat")
-    shards = written(index_shards(held), "shards")
+    held = written(semi(full.where("not train"), chosen, ["cls", "key"]).select("cls", "flat"), "held")
+    chars = held.agg(F.coalesce(F.sum(F.length("flat") + 1), F.lit(0)).alias("n")).first()["n"]
+    n_shards = shards_of(chars)
+    shards = written(index_shards(held, n_shards), "shards")
+    train = routed(full.where("train").select("cls", "flat"), FirstStrings(chars).build(held), n_shards)
+    # rows of a shard are side by side, so that the others can be skipped
+    train = written(train if n_shards == 1 else train.repartition("shard", F.pmod("cls", F.lit(8))).sortWithinPartitions("shard"), "routed")
     schema = "cls_a long, cls_b long, similarity double, n_matches long, matched long"
     spark, links = df.sparkSession, []
     for (number,) in sorted(tuple(r) for r in shards.select("shard").collect()):
@@ -411,7 +599,7 @@ def overlaps(df: DataFrame) -> tuple[DataFrame, DataFrame]:
                 "n_matches": np.r_[found["n_matches"], np.ones(len(short), np.int64)], "matched": np.r_[found["matched"], size[short]],
             }
 
-        part = written(arrow_map(full.where("train").select("cls", "flat"), "flat", schema, kernel, STREAM_CHARS), "links")
+        part = written(arrow_map(train.where(F.col("shard") == number).select("cls", "flat"), "flat", schema, kernel, STREAM_CHARS), "links")
         index.unpersist()
         links.append(part)
     found = functools.reduce(DataFrame.union, links) if links else spark.createDataFrame([], schema)

@@ -225,6 +225,27 @@ def test_overlaps_without_long_runs(spark):
     assert got == want and len(want) > 120
 
 
+def test_training_texts_reach_only_shards_of_partners(spark):
+    """No partner is lost on the way to the shards, whatever the sizes; texts without one are streamed through none."""
+    rng = random.Random(23)
+    base, other = dense_edits(rng)
+    text = lambda n: "".join(chr(rng.randrange(0x4E10, 0x9E00)) for _ in range(n))
+    huge, small = text(110_000), ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 14))) for _ in range(150)]
+    other = sorted({*other, *small[:75], huge[20_000:], *(x[: len(x) * 5 // 8] for x in base[:40])})
+    train = [*base, *small[75:], huge, huge[45_000:], *(x + x[::-1][: len(x) // 2] for x in other[:300]), *(text(300) for _ in range(200))]
+    frame = lambda texts: spark.createDataFrame(list(enumerate(texts)), "cls long, flat string")
+    shards = 40
+    first = splitoverlap.FirstStrings(sum(map(len, other))).build(frame(other))
+    got = [(r["cls"], r["shard"]) for r in splitoverlap.routed(frame(train), first, shards).collect()]
+    grams = [[{x[i : i + 5] for i in range(len(x) - 4)} for x in texts] for texts in (train, other)]
+    near = lambda a, b: 8 * len(a & b) >= 3 * (len(a) + len(b))
+    want = {(i, j % shards) for i, a in enumerate(grams[0]) for j, b in enumerate(grams[1]) if a and b and near(a, b)}
+    want |= {(i, i % shards) for i, a in enumerate(grams[0]) if not a}
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) > 250
+    # the passes of all texts over all shards would be a row for each of both
+    assert len(got) < 1.3 * len(want) and not any(i >= len(train) - 200 for i, _ in got)
+
+
 def test_near_copies_without_long_runs(spark):
     base, other = dense_edits(random.Random(22))
     rows = [("t", f"{s}{i}", x) for s, texts in (("a", base), ("b", other)) for i, x in enumerate(texts)] + [("u", k, x) for k, x in enumerate(base[:5])]
